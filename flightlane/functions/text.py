@@ -45,11 +45,13 @@ def has_field(json: Column, name: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(json), name), F.lit(False))
 
 
-def unescape_all(texts: Column) -> Column:
-    """HTML entities decoded in an array of text. Only arrays with an ampersand in them go
-    through Python (in Arrow batches); for all others it is handed a null."""
-    has_entity = F.exists(texts, lambda text: text.contains("&"))
-    return F.when(has_entity, _unescape()(F.when(has_entity, texts))).otherwise(texts)
+def decode_entities(texts: Column) -> Column:
+    """An array of texts with HTML entities decoded, or null when none of them has any.
+
+    Only arrays with an ampersand in them go through Python (in Arrow batches); for all
+    others it is handed a null.
+    """
+    return _unescape()(F.when(F.exists(texts, lambda text: text.contains("&")), texts))
 
 
 def _unescape():

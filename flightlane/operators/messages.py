@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import FIELD_ROUTES, RECORD_KEY_SUFFIX, SOURCE_ROUTES, UNKNOWN_ROUTE
-from flightlane.functions.text import has_field, record_json
+from flightlane.functions.text import record_json
+from flightlane.operators.reshape import explode_once, settled
 
 MAX_RECORDS = 10_000
 
@@ -40,7 +41,7 @@ def pack_batches(
 def pack_arrays(rows: DataFrame, source: str | Column, array: str, keep: list[str] | None = None) -> DataFrame:
     """One message per row that has records in its array, keyed by source; nothing is moved."""
     value = F.to_json(F.col(array), {"ignoreNullFields": "false"})
-    return rows.where(F.size(array) > 0).select(
+    return settled(rows, [array]).where(F.size(array) > 0).select(
         (F.lit(source) if isinstance(source, str) else source).alias("key"),
         F.size(array).alias("records"), value.alias("value"), *keep or [],
     )
@@ -61,25 +62,23 @@ def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def unpack_batches(messages: DataFrame, schema: str, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """A row per record; a value that is one object counts as an array of one."""
-    kept = keep or []
-    records = messages.select(*kept, F.explode(F.from_json(F.col(value), f"ARRAY<STRUCT<{schema}>>")).alias("_record"))
-    return records.select(*kept, "_record.*")
+    records = explode_once(messages, F.from_json(F.col(value), f"ARRAY<STRUCT<{schema}>>"), "_record", keep)
+    return records.select(*keep or [], "_record.*")
 
 
 def route_by_key(key: str | Column = "key", routes: dict[str, str] = SOURCE_ROUTES, other: str = UNKNOWN_ROUTE) -> Column:
-    """Where a message goes by its key; a key nobody knows goes to ``other``."""
-    return _first_match([((F.col(key) if isinstance(key, str) else key) == name, to) for name, to in routes.items()], F.lit(other))
+    """Where a message goes by its key; a key nobody knows, or none, goes to ``other``."""
+    source = F.col(key) if isinstance(key, str) else key
+    known = F.create_map(*[F.lit(part) for pair in routes.items() for part in pair])
+    return F.coalesce(F.element_at(known, source), F.lit(other))
 
 
 def route_by_field(value: str | Column = "value", routes: dict[str, str] = FIELD_ROUTES) -> Column:
-    """Where a record goes by the first listed field it has, null when it has none of them."""
-    text = F.col(value) if isinstance(value, str) else value
-    return _first_match([(has_field(text, name), to) for name, to in routes.items()], F.lit(None).cast("string"))
+    """Where a record goes by the first listed field it has, null when it has none of them.
 
-
-def _first_match(cases: list[tuple[Column, str]], otherwise: Column) -> Column:
-    condition, to = cases[0]
-    chain = F.when(condition, to)
-    for condition, to in cases[1:]:
-        chain = chain.when(condition, to)
-    return chain.otherwise(otherwise)
+    Presence counts, a null value included. The text is parsed once for all fields.
+    """
+    fields = F.json_object_keys(F.col(value) if isinstance(value, str) else value)
+    listed = F.array(*[F.lit(name) for name in routes])
+    first = F.get(F.array_intersect(listed, fields), F.lit(0))
+    return F.element_at(F.create_map(*[F.lit(part) for pair in routes.items() for part in pair]), first)

@@ -6,9 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def explode_once(
+    rows: DataFrame, array: Column, alias: str, keep: list[str] | None = None, pos: str = "_pos"
+) -> DataFrame:
+    """A row per element of a computed array, which is computed once.
+
+    A plain explode makes the optimizer ask for a non-empty array first, and that question
+    computes the array (parses the JSON, runs the patterns) a second time.
+    """
+    exploded = rows.select(*keep or [], F.posexplode_outer(array).alias(pos, alias)).where(F.col(pos).isNotNull())
+    return exploded.drop(pos) if pos == "_pos" else exploded
+
+
+def settled(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` with the named columns computed before anything that follows.
+
+    The optimizer moves a filter on a computed column below the computation by repeating it
+    there. For parsed text that is the most expensive part of a row done twice; a filter on
+    what a generator returns stays where it is.
+    """
+    others = [name for name in rows.columns if name not in names]
+    generated = rows.select(*others, F.explode_outer(F.array(F.struct(*names))).alias("_settled"))
+    return generated.select(*[F.col(f"_settled.{name}") if name in names else F.col(name) for name in rows.columns])
+
+
 def explode_records(documents: DataFrame, array: str = "data", alias: str = "record") -> DataFrame:
     """A row per element of a document's array; null and empty arrays give none."""
-    return documents.select(F.explode(array).alias(alias))
+    return explode_once(documents, F.col(array), alias)
 
 
 def flatten(records: DataFrame, paths: dict[str, str], record: str = "record") -> DataFrame:

@@ -11,7 +11,7 @@ from flightlane.functions.text import geopoint
 from flightlane.operators.documents import append_actions, index_actions
 from flightlane.operators.lookup import BROADCAST_BYTES, role_lookups
 from flightlane.operators.quality import complete, drop_incomplete
-from flightlane.operators.reshape import explode_records, flatten
+from flightlane.operators.reshape import explode_records, flatten, settled
 
 ROLES = {"departure": "departure_iata", "arrival": "arrival_iata"}
 COORDINATES = [f"{role}_{part}" for role in ROLES for part in ("latitude", "longitude")]
@@ -27,11 +27,12 @@ def flat_flights(documents: DataFrame) -> DataFrame:
 
 def typed_flights(flat: DataFrame) -> DataFrame:
     """Dates and times parsed; a flight with any gap, unreadable times included, is gone."""
-    return drop_incomplete(flat.withColumns({
+    times = {
         "flight_date": t.parse_date("flight_date"),
         "departure_scheduled": t.parse_instant("departure_scheduled"),
         "arrival_scheduled": t.parse_instant("arrival_scheduled"),
-    }))
+    }
+    return drop_incomplete(settled(flat.withColumns(times), list(times)))
 
 
 def located_flights(flights: DataFrame, airports: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

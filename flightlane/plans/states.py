@@ -12,25 +12,31 @@ from flightlane.operators.documents import append_actions, index_actions
 from flightlane.operators.quality import complete
 
 
-def state_columns(states: DataFrame, keep: list[str] | None = None) -> DataFrame:
+# the two time texts are missing exactly when time_position is, and the geo text never is:
+# asking for the landed columns lets rows go before anything is derived from them
+REDUCED_NEEDS = ["icao24", "origin_country", "time_position", "longitude", "latitude"]
+NEEDS = REDUCED_NEEDS + ["altitude", "velocity", "heading", "vertical_rate", "squawk"]
+
+
+def state_columns(states: DataFrame, fields: list[str], keep: list[str] | None = None) -> DataFrame:
     """The indexed columns of raw states, times as text and the position as geo text."""
     derived = states.withColumns({
         "time_position_date": epoch_to_text("time_position"),
         "geopoint": geopoint("latitude", "longitude"),
         "timestamp": epoch_to_iso("time_position"),
     })
-    return derived.select(*STATE_INDEX_FIELDS, *keep or [])
+    return derived.select(*fields, *keep or [])
 
 
 def valid_states(states: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Complete states of aircraft in the air."""
-    required = [name for name in STATE_INDEX_FIELDS if name != "on_ground"]
-    return state_columns(states, keep).where(complete(required, is_false(F.col("on_ground"))))
+    airborne = states.where(complete(NEEDS, is_false(F.col("on_ground"))))
+    return state_columns(airborne, STATE_INDEX_FIELDS, keep)
 
 
 def valid_states_reduced(states: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The variant with fewer columns, on the ground or in the air."""
-    return state_columns(states, keep).select(*STATE_REDUCED_FIELDS, *keep or []).where(complete(STATE_REDUCED_FIELDS))
+    return state_columns(states.where(complete(REDUCED_NEEDS)), STATE_REDUCED_FIELDS, keep)
 
 
 def state_actions(states: DataFrame, index: str, keep: list[str] | None = None) -> DataFrame:

@@ -5,11 +5,14 @@ Markup is expected to close its rows and cells; rows do not nest.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import RATING_NAME_CLASS, RATING_STARS_CLASS, RATING_TABLE_ID
-from flightlane.functions.text import digits_to_int, strip, unescape_all
+from flightlane.functions.text import decode_entities, digits_to_int, strip
+from flightlane.operators.reshape import explode_once
 
 # what may stand inside an opening tag, quoted values with a '>' in them included
 _PIECE = r"""(?:[^>"'\s]++|\s|"[^"]*+"|'[^']*+')"""
@@ -29,11 +32,10 @@ def element(tag: str, id: str | None = None, css_class: str | None = None) -> st
     return rf"(?is)<{tag}\b{wanted}({_INSIDE})>(.*?)</{tag}\s*>"
 
 
-def attribute(text: Column, pattern: str, name: str) -> Column:
-    """An attribute of the first element; empty when it or the element is missing."""
-    inside = F.regexp_extract(text, pattern, 1)
-    value = rf"""(?is)(?:^|\s){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.coalesce(F.concat(*[F.regexp_extract(inside, value, group) for group in (1, 2, 3)]), F.lit(""))
+def attribute(inside: Column, name: str) -> Column:
+    """An attribute's value out of the inside of an opening tag; empty when it is missing."""
+    quoted = F.regexp_extract(inside, rf"""(?is)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.regexp_replace(quoted, "^[\"']|[\"']$", "")
 
 
 def without_tags(markup: Column) -> Column:
@@ -56,16 +58,15 @@ def row_fragments(html: Column, regions: list[str], row: str) -> Column:
 def with_links(pages: DataFrame, regions: list[str], row: str, out: str = "links", html: str = "html") -> DataFrame:
     """Pages with an array of text and href: the first link of every row that has link text."""
     link = element("a")
-    cut = pages.withColumn("_rows", row_fragments(F.col(html), regions, row))
-    raw = cut.withColumns({
-        "_texts": unescape_all(F.transform("_rows", lambda r: without_tags(F.regexp_extract(r, link, 2)))),
-        "_hrefs": unescape_all(F.transform("_rows", lambda r: attribute(r, link, "href"))),
-    })
+
+    def read(fragment: Column) -> list[Column]:
+        return [without_tags(F.regexp_extract(fragment, link, 2)), attribute(F.regexp_extract(fragment, link, 1), "href")]
+
+    decoded = _decoded_fields(pages, row_fragments(F.col(html), regions, row), read, 2)
     links = F.transform(
-        F.arrays_zip("_texts", "_hrefs"),
-        lambda r, i: F.struct(i.alias("pos"), strip(r["_texts"]).alias("text"), r["_hrefs"].alias("href")),
+        "_fields", lambda f, i: F.struct(i.alias("pos"), strip(f[0]).alias("text"), f[1].alias("href"))
     )
-    return raw.withColumn(out, F.filter(links, lambda r: F.length(r["text"]) > 0)).drop("_rows", "_texts", "_hrefs")
+    return decoded.withColumn(out, F.filter(links, lambda r: F.length(r["text"]) > 0)).drop("_fields")
 
 
 def with_ratings(pages: DataFrame, out: str = "ratings", html: str = "html") -> DataFrame:
@@ -77,39 +78,47 @@ def with_ratings(pages: DataFrame, out: str = "ratings", html: str = "html") ->
     stars_cell = element("td", css_class=RATING_STARS_CLASS)
     name_cell = element("td", css_class=RATING_NAME_CLASS)
     link = element("a")
+
+    def read(fragment: Column) -> list[Column]:
+        name = F.regexp_extract(fragment, name_cell, 2)
+        return [
+            without_tags(F.regexp_extract(name, link, 2)),
+            without_padded_tags(F.regexp_extract(fragment, stars_cell, 2)),
+            attribute(F.regexp_extract(name, link, 1), "href"),
+        ]
+
     tables = pages.where(F.col(html).contains(RATING_TABLE_ID))
-    cut = tables.withColumn("_rows", row_fragments(F.col(html), regions, element("tr")))
-    cells = cut.withColumn(
-        "_cells",
-        F.transform("_rows", lambda r: F.struct(
-            F.regexp_extract(r, stars_cell, 2).alias("stars"), F.regexp_extract(r, name_cell, 2).alias("name")
-        )),
-    )
-    raw = cells.withColumns({
-        "_stars": unescape_all(F.transform("_cells", lambda c: without_padded_tags(c["stars"]))),
-        "_names": unescape_all(F.transform("_cells", lambda c: without_tags(F.regexp_extract(c["name"], link, 2)))),
-        "_urls": unescape_all(F.transform("_cells", lambda c: attribute(c["name"], link, "href"))),
-    })
+    decoded = _decoded_fields(tables, row_fragments(F.col(html), regions, element("tr")), read, 3)
     ratings = F.transform(
-        F.arrays_zip("_names", "_stars", "_urls"),
-        lambda r: F.struct(
-            strip(r["_names"]).alias("Airline"),
-            digits_to_int(strip(r["_stars"])).alias("Stars"),
-            r["_urls"].alias("URL"),
+        "_fields",
+        lambda f: F.struct(
+            strip(f[0]).alias("Airline"), digits_to_int(strip(f[1])).alias("Stars"), f[2].alias("URL")
         ),
     )
-    named = raw.withColumn(out, F.filter(ratings, lambda r: F.length(r["Airline"]) > 0))
-    return named.drop("_rows", "_cells", "_names", "_stars", "_urls")
+    return decoded.withColumn(out, F.filter(ratings, lambda r: F.length(r["Airline"]) > 0)).drop("_fields")
+
+
+def _decoded_fields(
+    pages: DataFrame, fragments: Column, read: Callable[[Column], list[Column]], width: int
+) -> DataFrame:
+    """Pages with ``_fields``: per fragment the ``width`` texts that ``read`` takes from it,
+    entities decoded. All texts of a page go through the decoder together."""
+    raw = pages.withColumn("_raw", F.transform(fragments, lambda fragment: F.array(*read(fragment))))
+    flat = raw.withColumn("_flat", F.flatten("_raw")).withColumn("_decoded", decode_entities(F.col("_flat")))
+    # the lambda runs per fragment: it may only touch finished columns
+    fields = F.transform("_raw", lambda _, i: F.slice(F.coalesce("_decoded", "_flat"), i * width + 1, F.lit(width)))
+    return flat.withColumn("_fields", fields).drop("_raw", "_flat", "_decoded")
 
 
 def extract_links(pages: DataFrame, regions: list[str], row: str, keep: list[str], html: str = "html") -> DataFrame:
     """A row per link: pos, text and href."""
-    return with_links(pages, regions, row, "_links", html).select(*keep, F.inline("_links"))
+    return explode_once(with_links(pages, regions, row, "_links", html), F.col("_links"), "_link", keep).select(*keep, "_link.*")
 
 
 def extract_ratings(
     pages: DataFrame, html: str = "html", keep: list[str] | None = None, with_url: bool = True
 ) -> DataFrame:
     """A row per rated airline: Airline, Stars (or null) and URL."""
-    rows = with_ratings(pages, "_ratings", html).select(*keep or [], F.inline("_ratings"))
+    keep = keep or []
+    rows = explode_once(with_ratings(pages, "_ratings", html), F.col("_ratings"), "_rating", keep).select(*keep, "_rating.*")
     return rows if with_url else rows.drop("URL")

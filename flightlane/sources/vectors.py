@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import STATE_POSITIONS, VECTOR_PAYLOAD_SCHEMA
+from flightlane.operators.reshape import explode_once
 
 
 def name_positions(vector: str | Column, positions: list[tuple[str, str]] = STATE_POSITIONS) -> list[Column]:
@@ -43,6 +44,5 @@ def decode_vectors(
     ``cap`` belongs to one payload, so it is applied before the rows exist.
     """
     states = F.from_json(F.col(value), VECTOR_PAYLOAD_SCHEMA)["states"]
-    kept = [F.col(name) for name in keep or []]
-    vectors = payloads.select(*kept, F.explode(head(states, cap)).alias("_vector"))
-    return vectors.select(*kept, *name_positions("_vector", positions))
+    vectors = explode_once(payloads, head(states, cap), "_vector", keep)
+    return vectors.select(*keep or [], *name_positions("_vector", positions))

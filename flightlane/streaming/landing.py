@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from flightlane.operators.documents import latest_by
 from flightlane.operators.messages import route_by_field
+from flightlane.operators.reshape import settled
 from flightlane.operators.snapshots import SnapshotTable
 
 
@@ -69,7 +70,8 @@ def stream_routes(
 
     Records that fit no route are dropped. A repeated batch overwrites its own folder.
     """
-    routed = messages.withColumn("route", route_by_field() if route is None else route).where("route is not null")
+    routed = messages.withColumn("route", route_by_field() if route is None else route)
+    routed = settled(routed, ["route"]).where("route is not null")
 
     def land(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={number}")

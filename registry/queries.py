@@ -94,7 +94,7 @@ def cap_array_head(spark, sf):
     states = F.transform(F.split("text", " "), lambda word: F.array(word))
     payloads = documents.select("doc_id", F.to_json(F.struct(states.alias("states"))).alias("value"))
     capped = vectors.with_vectors(payloads, cap=v.STATE_FETCH_CAP, positions=[("word", "string")])
-    words = capped.select("doc_id", F.posexplode("vectors").alias("pos", "vector"))
+    words = reshape.explode_once(capped, F.col("vectors"), "vector", ["doc_id"], pos="pos")
     return words.select("doc_id", "pos", F.col("vector.word").alias("word"))
 
 
@@ -402,7 +402,7 @@ def route_by_key(spark, sf):
 @query
 def route_by_field(spark, sf):
     routed = i.event_state(i.table(spark, sf, "events")).withColumn("route", messages.route_by_field())
-    return routed.where("route is not null").select("event_id", "route")
+    return reshape.settled(routed, ["route"]).where("route is not null").select("event_id", "route")
 
 
 @query
