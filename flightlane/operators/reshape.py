@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def explode_once(
     rows: DataFrame, array: Column, alias: str, keep: list[str] | None = None, pos: str = "_pos"
 ) -> DataFrame:
-    """A row per element of a computed array, which is computed once.
+    """A row per element of an array, which is computed once.
 
-    A plain explode makes the optimizer ask for a non-empty array first, and that question
-    computes the array (parses the JSON, runs the patterns) a second time.
+    A plain explode of a computed column makes the optimizer ask for a non-empty array first,
+    and that question computes it (parses the JSON, runs the patterns) a second time.
     """
     exploded = rows.select(*keep or [], F.posexplode_outer(array).alias(pos, alias)).where(F.col(pos).isNotNull())
     return exploded.drop(pos) if pos == "_pos" else exploded
