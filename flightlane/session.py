@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # a literal 'Z' is printed behind local time, so local time has to be UTC
@@ -56,6 +56,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back: computed once however often they
+    are used, and still there when an executor is lost."""
+    path = new_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def object_store_settings(endpoint: str, path_style: bool = True) -> dict[str, str]:
     """Hadoop settings to read and write ``s3a://`` paths of an S3-compatible store in place.
 

@@ -271,7 +271,7 @@ def role_playing_lookup(spark, sf):
 @query
 def role_playing_lookup_large(spark, sf):
     """The way a dimension beyond the broadcast bound takes."""
-    return lookup.role_lookups(_legs(spark, sf), _suppliers(spark, sf), "s_suppkey", ROLES, broadcast_bytes=0)
+    return lookup.role_lookups(_legs(spark, sf), _suppliers(spark, sf), "s_suppkey", ROLES, broadcast_bytes=0, hot_rows=1000)
 
 
 def _known_customers(spark, sf):
@@ -290,7 +290,7 @@ def left_lookup_unmatched(spark, sf):
 @query
 def left_lookup_unmatched_large(spark, sf):
     orders = i.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"))
-    return lookup.left_lookup(orders, _known_customers(spark, sf), "o_custkey", "c_custkey", broadcast_bytes=0)
+    return lookup.left_lookup(orders, _known_customers(spark, sf), "o_custkey", "c_custkey", broadcast_bytes=0, hot_rows=15)
 
 
 @query

@@ -69,12 +69,12 @@ def test_drop_incomplete(spark):
 keys = st.one_of(st.none(), st.integers(0, 5))
 
 
-@pytest.mark.parametrize("bound", [lookup.BROADCAST_BYTES, 0])
-def test_lookup_is_a_left_join(spark, bound):
+@pytest.mark.parametrize("bound, hot", [(lookup.BROADCAST_BYTES, 1), (0, 10**6), (0, 250), (0, 1)])
+def test_lookup_is_a_left_join(spark, bound, hot):
     # key 1 holds a third of the rows, key 2 is listed twice, key 9 is unknown
     facts = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 2).otherwise(F.when(F.col("id") > 450, 9)).alias("k"))
-    dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "deux"), (5, "five")], "key int, name string")
-    got = Counter(tuple(r) for r in lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=bound, lanes=4).collect())
+    dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "deux"), (5, "five"), (None, "none")], "key bigint, name string")
+    got = Counter(tuple(r) for r in lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=bound, hot_rows=hot).collect())
     names = {1: ["one"], 2: ["two", "deux"]}
     want = Counter((r["id"], r["k"], n) for r in facts.collect() for n in names.get(r["k"], [None]))
     assert got == want
@@ -84,31 +84,43 @@ def test_lookup_is_a_left_join(spark, bound):
 def test_roles_share_a_dimension(spark, rows, bound):
     flights = spark.createDataFrame([(1, "CDG", "LHR"), (2, "ZZZ", "CDG"), (3, None, "\\N")], "id int, a string, b string")
     dim = spark.createDataFrame([("CDG", 49.01), ("LHR", 51.47)], "iata string, latitude double")
-    found = lookup.role_lookups(flights, dim, "iata", {"departure": "a", "arrival": "b"}, bound, 3)
+    found = lookup.role_lookups(flights, dim, "iata", {"departure": "a", "arrival": "b"}, bound, 1)
     assert found.columns == ["id", "a", "b", "departure_latitude", "arrival_latitude"]
     assert [(r["departure_latitude"], r["arrival_latitude"]) for r in rows(found, "id")] == [(49.01, 51.47), (None, 49.01), (None, None)]
 
 
 def test_large_lookup_spreads_a_hot_key(spark):
-    facts = lookup.with_position(spark.range(0, 8000, 1, 8).select("id", F.lit(1).alias("k")))
+    # key 1 is hot and known, key 9 hot and unknown, the rest has no key
+    facts = spark.range(0, 9000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 9).alias("k"))
     dim = spark.createDataFrame([(1, "one")], "key int, name string")
     settings_before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup._spread_lookup(facts, dim, "k", "key", 32)
+        joined = lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=0, hot_rows=1000)
+        assert "SortMergeJoin" in plan(joined)
         sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", settings_before)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 8000 and max(sizes) < 8000 / 2
+    assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / 8
+
+
+def test_hot_keys_that_do_not_fit_join_by_shuffle(spark):
+    facts = spark.range(300).select("id", F.when(F.col("id") < 200, 1).otherwise(2).alias("k"))
+    dim = spark.range(600).select(F.when(F.col("id") < 3, 1).otherwise(2).alias("key"), F.repeat(F.lit("x"), 4000).alias("wide"))
+    hot = lookup.hot_keys(facts, ["k"], 1)
+    assert sorted(r["hot_key"] for r in hot.collect()) == [1, 2]
+    kept = lookup._hot_part(dim, "key", hot, 0)
+    assert lookup.measured_bytes(kept) <= 1024 * 1024
+    assert lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=0, hot_rows=1).count() == 200 * 3 + 100 * 597
 
 
 @given(st.lists(keys, max_size=30), st.sampled_from([(10**6, 10**6), (0, 10**6), (0, 3), (0, 1)]))
 @settings(max_examples=12, deadline=None)
 def test_group_count_is_the_window_count(spark, values, bounds):
     df = spark.createDataFrame(list(enumerate(values)), "id int, k int")
-    counted = lookup.with_group_count(df, "k", "n", broadcast_bytes=bounds[0], hot_rows=bounds[1], lanes=3)
+    counted = lookup.with_group_count(df, "k", "n", broadcast_bytes=bounds[0], hot_rows=bounds[1])
     size = Counter(values)
     assert sorted((r["id"], r["k"], r["n"]) for r in counted.collect()) == [
         (i, k, 0 if k is None else size[k]) for i, k in enumerate(values)]
