@@ -39,12 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may fall back to a folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    setting = "spark.checkpoint.dir"
+    named = spark.conf.get(setting, None) or context.getConf().get(setting) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="flightlane-")
     spark.conf.set("spark.checkpoint.dir", folder)

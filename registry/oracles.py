@@ -61,9 +61,9 @@ FLIGHTS = f"""
                prefix || cast(event_id as varchar) as flight_iata, 'Airline ' || cast(user_id as varchar) as airline_name,
                start as departure_iata, stop as arrival_iata,
                concat_ws(',', alat, alon) as departure_geopoint, concat_ws(',', blat, blon) as arrival_geopoint,
-               strftime(to_timestamp(takeoff) at time zone 'UTC', {ISO}) as departure_scheduled,
-               strftime(to_timestamp(landing) at time zone 'UTC', {ISO}) as arrival_scheduled,
-               hour(ts) as departure_hour, hour(to_timestamp(landing) at time zone 'UTC') as arrival_hour,
+               strftime(make_timestamp(takeoff * 1000000), {ISO}) as departure_scheduled,
+               strftime(make_timestamp(landing * 1000000), {ISO}) as arrival_scheduled,
+               cast(hour(ts) as int) as departure_hour, cast(hour(make_timestamp(landing * 1000000)) as int) as arrival_hour,
                round((landing - takeoff) / 3600.0::double, 1) as flight_duration_hours,
                (landing - takeoff) / 60.0::double as flight_duration_minutes,
                'Europe/Paris' as departure_timezone, 'UTC' as arrival_timezone
@@ -86,8 +86,8 @@ STATES = f"""
                case when event_type <> 'view' then 'false' end as spi
         from events
     ), t as (
-        select *, strftime(to_timestamp(time_position) at time zone 'UTC', '%Y-%m-%d %H:%M:%S') as time_position_date,
-               strftime(to_timestamp(time_position) at time zone 'UTC', {ISO}) as timestamp,
+        select *, strftime(make_timestamp(time_position * 1000000), '%Y-%m-%d %H:%M:%S') as time_position_date,
+               strftime(make_timestamp(time_position * 1000000), {ISO}) as timestamp,
                concat_ws(',', latitude, longitude) as geopoint
         from s
     )"""
@@ -183,7 +183,7 @@ ORACLES = {
         select o_orderkey, case when o_orderstatus <> 'P' then strftime(date_trunc('day', o_orderdate), {ISO}) end as day,
                case when o_orderpriority <> '5-LOW' then strftime(date_trunc('day', o_orderdate) + interval 510 minute, {ISO}) end as moment
         from orders""",
-    "calendar_features": "select event_id, dayofweek(ts) + 1 as day, hour(ts) as hour from events",
+    "calendar_features": "select event_id, cast(dayofweek(ts) + 1 as int) as day, cast(hour(ts) as int) as hour from events",
     "to_epoch_seconds": f"select event_id, {EPOCH} as seconds from events",
     "duration_hours": f"""
         with h as (select event_id, round(({EPOCH} - cast(epoch(date_trunc('day', ts)) as bigint)) / 3600.0::double, 1) as hours from events)
@@ -238,6 +238,7 @@ ORACLES = {
         select 'customers' as index, cast(c_custkey as varchar) as id, c_custkey, case when c_acctbal >= 0 then c_name end as name,
                true as has_name, 'true' as doc_as_upsert from customer""",
     "pack_batch_messages": "select event_type as key, event_id, user_id, value, props, true as bounded from events",
+    "pack_batch_messages_one_key": "select 'aviation_data' as key, event_type, event_id, value from events",
     "pack_record_messages": """
         select event_type || '_data' as key, event_id, user_id, case when value > 20 then props end as note, true as has_note
         from events""",

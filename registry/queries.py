@@ -384,6 +384,13 @@ def pack_batch_messages(spark, sf):
     return records.select("key", *columns, F.col("records").between(1, 500).alias("bounded"))
 
 
+@query
+def pack_batch_messages_one_key(spark, sf):
+    columns = ["event_type", "event_id", "value"]
+    packed = messages.pack_batches(i.table(spark, sf, "events"), v.BATCH_KEY, columns)
+    return messages.unpack_batches(packed, "event_type STRING, event_id BIGINT, value DOUBLE", keep=["key"])
+
+
 @query
 def pack_record_messages(spark, sf):
     events = i.table(spark, sf, "events").withColumn("note", F.when(F.col("value") > 20, F.col("props")))
