@@ -56,13 +56,13 @@ def documents(actions: DataFrame) -> DataFrame:
     return actions.select("id", "source.*", *kept)
 
 
-def latest_by(rows: DataFrame, key: list[str], order_by: list[str]) -> DataFrame:
+def latest_by(rows: DataFrame, key: list[str], order_by: list[str], keep: list[str] | None = None) -> DataFrame:
     """One row per key: the one with the highest ``order_by``, nulls lowest.
 
     Each task first reduces its own rows to one per key, so a hot key reaches the shuffle as
-    one row per task.
+    one row per task. ``keep`` names the columns to carry beside the key, all by default.
     """
-    values = [name for name in rows.columns if name not in key]
+    values = [name for name in rows.columns if name not in key] if keep is None else keep
     return rows.groupBy(*key).agg(F.max_by(F.struct(*values), F.struct(*order_by)).alias("_last")).select(*key, "_last.*")
 
 
@@ -82,11 +82,17 @@ def merge_documents(
     return _combine(current, updates, fields, order_by, key, survive=True)
 
 
+def index_documents(actions: DataFrame, order_by: list[str]) -> DataFrame:
+    """The documents that index actions leave behind in an empty index."""
+    fields = actions.select("source.*").columns
+    return latest_by(documents(actions), ["id"], order_by, keep=fields)
+
+
 def _combine(
     current: DataFrame, incoming: DataFrame, fields: list[str], order_by: list[str], key: str, survive: bool
 ) -> DataFrame:
     # one row per id on both sides, so no id can be hot in the join
-    last = latest_by(incoming.select(key, *dict.fromkeys([*fields, *order_by])), [key], order_by)
+    last = latest_by(incoming, [key], order_by, keep=fields)
     new = last.select(F.col(key).alias("_key"), F.struct(*fields).alias("_new"), F.lit(True).alias("_hit"))
     joined = current.join(new, F.col(key) == F.col("_key"), "full_outer")
 

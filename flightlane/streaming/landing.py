@@ -30,6 +30,17 @@ def history_per_second(messages: DataFrame, source: str, order_by: list[str], ti
     return latest_by(stamped, [source, "epoch_second"], order_by)
 
 
+def land_objects(landed: DataFrame, path: str) -> None:
+    """Write the values of a small landing, one folder per object name: objects that come
+    again are replaced, all others stay. Read one with ``object_path``."""
+    writer = landed.select("object", "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("object").text(path)
+
+
+def object_path(path: str, name: str) -> str:
+    return f"{path}/object={name}"
+
+
 def land_history(history: DataFrame, path: str, source: str) -> None:
     """Append to a table with one folder per source; values are written as they are."""
     history.write.mode("append").partitionBy(source).parquet(path)

@@ -282,6 +282,10 @@ ORACLES = {
     "ingest_land_latest": f"""
         with m as ({MESSAGES}), r as (select *, row_number() over (partition by route order by fetch_no desc) as n from m)
         select route, route || '_data.json' as object, fetch_no, records, first from r where n = 1""",
+    "ingest_read_landed": f"""{STATES}
+        select * exclude (event_id, time_position_date, timestamp, geopoint) from t where event_id = (select max(event_id) from events)
+        union all
+        select 'x', null, null, null, null, null, null, null, null, null, null, null, null, null, null""",
     "ingest_land_history": f"""
         with m as ({MESSAGES}),
         r as (select *, {EPOCH} as s, row_number() over (partition by route, {EPOCH} order by fetch_no desc) as n from m)

@@ -489,7 +489,7 @@ def _valid_flights(spark, sf, duration):
 @query
 def flights_index(spark, sf):
     actions = flights.flight_actions(_valid_flights(spark, sf, "hours"), "flights")
-    return d.latest_by(d.documents(actions), ["id"], ["order"]).drop("order")
+    return d.index_documents(actions, ["order"])
 
 
 @query
@@ -507,7 +507,7 @@ def flights_preview(spark, sf):
 @query
 def states_index(spark, sf):
     valid = states.valid_states(_states(spark, sf), keep=["event_id"])
-    return d.latest_by(d.documents(states.state_actions(valid, "states", keep=["event_id"])), ["id"], ["event_id"]).drop("event_id")
+    return d.index_documents(states.state_actions(valid, "states", keep=["event_id"]), ["event_id"])
 
 
 @query
@@ -542,6 +542,14 @@ def ingest_land_latest(spark, sf):
     return _first_record(landed).select("route", "object", "fetch_no", "records", "first")
 
 
+@query
+def ingest_read_landed(spark, sf):
+    """The landed object of the last fetch, read as the states job reads it."""
+    path = new_path(spark, "objects")
+    landing.land_objects(ingest.land_latest(_fetched(spark, sf), ["fetch_no"]), path)
+    return files.read_json(spark, landing.object_path(path, "opensky_data.json"), v.STATE_FILE_SCHEMA)
+
+
 @query
 def ingest_land_history(spark, sf):
     landed = ingest.land_history(_fetched(spark, sf), ["fetch_no"], "ts")

@@ -8,6 +8,7 @@ from flightlane.operators import documents as d
 from flightlane.plans import flights, ingest, ratings, states
 from flightlane.sources.files import read_dimension, read_json
 from flightlane.sources.vectors import decode_vectors
+from flightlane.streaming import landing
 
 
 def flight(number="1", start="2025-01-25T10:00:00+00:00", end="2025-01-25T12:05:00+00:00", **changes):
@@ -53,7 +54,7 @@ def test_flights(landed, rows, bound):
     valid = flights.valid_flights(*landed, broadcast_bytes=bound)
     assert sorted(r["flight_number"] for r in rows(valid)) == ["1"] * 4 + ["8"] * 2
     actions = flights.flight_actions(valid, "flights")
-    index = rows(d.latest_by(d.documents(actions), ["id"], ["order"]).drop("order"), "id")
+    index = rows(d.index_documents(actions, ["order"]), "id")
     assert [r["id"] for r in index] == ["1_2025-01-25_10", "8_2025-01-25_10"]
     assert index[0] == {
         "id": "1_2025-01-25_10", "flight_date": "2025-01-25", "flight_number": "1", "flight_iata": "X1", "airline_name": "Y",
@@ -152,11 +153,13 @@ def test_ingest_feeds_the_jobs(spark, tmp_path, rows):
     assert [(r["route"], r["object"], r["fetch"]) for r in latest] == [
         ("opensky", "opensky_data.json", 2), ("skytrax", "skytrax_data.json", 2)]
 
-    for landed in latest:
-        (tmp_path / landed["object"]).write_text(landed["value"])
-    read = read_json(spark, str(tmp_path / "skytrax_data.json"), RATING_FILE_SCHEMA, multiline=True)
+    path = str(tmp_path / "lake")
+    landing.land_objects(ingest.land_latest(sent.where("fetch = 1"), ["fetch"]), path)
+    landing.land_objects(ingest.land_latest(sent.where("key = 'Skytrax'"), ["fetch"]), path)
+    read = read_json(spark, landing.object_path(path, "skytrax_data.json"), RATING_FILE_SCHEMA)
     assert [(r["airline"], r["stars"]) for r in rows(ratings.valid_ratings(read))] == [("BB", 5)]
-    read = read_json(spark, str(tmp_path / "opensky_data.json"), STATE_FILE_SCHEMA, multiline=True)
+    read = read_json(spark, landing.object_path(path, "opensky_data.json"), STATE_FILE_SCHEMA)
+    assert {r["icao24"][:2] for r in rows(read)} == {"1-"}
     assert states.valid_states(read).count() == 50
 
 
