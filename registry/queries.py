@@ -201,7 +201,7 @@ def duration_minutes(spark, sf):
 @query
 def leg_duration_hours(spark, sf):
     orders = i.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    legs = i.table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    legs = lookup.left_lookup(i.table(spark, sf, "lineitem"), orders, "l_orderkey", "o_orderkey")
     return legs.select("l_orderkey", "l_linenumber", "l_partkey", t.duration_hours("o_orderdate", "l_shipdate").alias("hours")).where("hours > 0")
 
 
