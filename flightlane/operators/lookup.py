@@ -122,16 +122,13 @@ def _hot_part(dimension: DataFrame, key: str, hot: DataFrame, broadcast_bytes: i
 
 def _scattered_join(rows: DataFrame, cold: DataFrame, row_key: str, settled: Column) -> DataFrame:
     """Left join on the key by shuffle. Rows that are settled, or have no key, match nothing
-    here: they get a lane of their own each, which spreads them over all tasks.
-
-    Key and lane are compared as one struct: as two columns the optimizer would see that the
-    cold lane is always 0 and shuffle by the key alone.
-    """
+    here: they get a lane of their own each, which spreads them over all tasks."""
     alone = settled | F.col(row_key).isNull()
     lane = F.when(alone, F.col(POSITION) + 1).otherwise(F.lit(0).cast("bigint"))
-    laned = rows.withColumn("_row", F.struct(F.col(row_key).alias("key"), lane.alias("lane")))
-    ground = F.struct(F.col("_cold_key").alias("key"), F.lit(0).cast("bigint").alias("lane"))
-    return laned.join(cold.withColumn("_ground", ground), F.col("_row") == F.col("_ground"), "left")
+    # always 0, but not as a literal: seeing one, the optimizer would shuffle by the key alone
+    ground = F.pmod(F.xxhash64("_cold_key"), F.lit(1).cast("bigint"))
+    on = (F.col(row_key) == F.col("_cold_key")) & (F.col("_lane") == F.col("_ground"))
+    return rows.withColumn("_lane", lane).join(cold.withColumn("_ground", ground), on, "left")
 
 
 def with_group_count(
