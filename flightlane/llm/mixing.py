@@ -101,9 +101,10 @@ def fit_rates(rows: DataFrame, weights: list[float], budget: float | None = None
     # GW has no eigenvalue above its largest column sum
     size = 1.0 / max(s / t for s, t in zip(now, targets))
     steps: list[list[float]] = []
-    while len(steps) < iterations and max(abs(s - t) for s, t in zip(now, targets)) > tolerance * budget:
+    before = targets  # ends at the targets, or where a step no longer changes anything
+    while len(steps) < iterations and all(max(abs(s - t) for s, t in zip(now, x)) > tolerance * budget for x in (targets, before)):
         steps.append([size * (s - t) / t for s, t in zip(now, targets)])
-        now = _totals(rows, _rate(steps, least), k)
+        before, now = now, _totals(rows, _rate(steps, least), k)
     return _rate(steps, least), now, targets
 
 
