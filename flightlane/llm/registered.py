@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlane.llm import exact_dedup, mixing, quality_rules
+from flightlane.llm import exact_dedup, jaccard_join, mixing, quality_rules
 from flightlane.llm.common import table
 
 LANGUAGE_WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
@@ -19,11 +19,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), LANGUAGE_WEIGHTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_quality_rules, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_quality_rules, op7_jaccard_join, op10_mixing)}
 
 ORACLES = {
     "op1_exact_dedup": """
