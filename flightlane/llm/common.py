@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import string
+import sys
+import types
+from collections.abc import Callable
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Words whose hashes a task remembers.
+WORDS_KEPT = 300_000
 FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
@@ -38,3 +44,21 @@ def fold_words(text: str | None) -> list[bytes]:
 def crc_remainder(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; a null key gives null."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
+
+
+def kept(name, make: Callable):
+    """What ``make`` gives, made once in the life of a Python worker; only for what can be made anew."""
+    state = vars(sys.modules.setdefault("_flightlane_worker", types.ModuleType("_flightlane_worker")))
+    if name not in state:
+        state[name] = make()
+    return state[name]
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; forgets all when it holds too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value

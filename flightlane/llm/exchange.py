@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from flightlane.llm.packing import bucket_cuts, pack, pack_sorted, unpack, unpack_sorted
+from flightlane.session import new_path
 
 SENT = "block long, bucket int, keys binary, numbers binary"
 ANSWERED = "block long, bucket int, answer binary"
@@ -27,12 +28,24 @@ def bucket_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def sent_rows(block: int, keys: np.ndarray, numbers: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """The rows of SENT for a block's ascending distinct keys."""
+def block_table(blocks: DataFrame, name: str) -> DataFrame:
+    """One row per block, written to the shared folder in buckets by block.
+
+    What is grouped by block later is read from its bucket, so the blocks are never shuffled.
+    """
+    spark = blocks.sparkSession
+    path = new_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    blocks.write.bucketBy(bucket_count(spark), "block").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def sent_rows(block: int, keys: np.ndarray, numbers: np.ndarray, buckets: int, bits: int = 64) -> Iterator[tuple]:
+    """The rows of SENT for a block's ascending keys, of which the first ``bits`` are sent."""
     cuts = bucket_cuts(keys, buckets)
     for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if b > a:
-            yield block, bucket, pack_sorted(keys[a:b]), pack(numbers[a:b])
+            yield block, bucket, pack_sorted(keys[a:b] >> np.uint64(64 - bits)), pack(numbers[a:b])
 
 
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlane.llm import exact_dedup, jaccard_join, mixing, quality_rules
+from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, token_counts, wavelet
 from flightlane.llm.common import table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 LANGUAGE_WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
 
 
@@ -14,11 +16,28 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepiece_fst.encode_documents(table(spark, sf_dir, "documents"), PIECES)
+    return sentencepiece_fst.decode_documents(encoded, PIECES)
+
+
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     # which rule came first depends on the measured order, so the result carries the verdict alone
     return quality_rules.quality(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -27,7 +46,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), LANGUAGE_WEIGHTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_quality_rules, op7_jaccard_join, op10_mixing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op10_mixing)
+}
 
 ORACLES = {
     "op1_exact_dedup": """
