@@ -93,17 +93,18 @@ def standard_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def order_rules(rows: DataFrame, rules: Iterable[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+def rule_sample(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``sample_rows`` rows of a table, drawn before anything is computed on it."""
+    return docs.sample(min(1.0, sample_rows / max(1, docs.count())), seed=7)
+
+
+def order_rules(sample: DataFrame, rules: Iterable[Rule]) -> list[Rule]:
     """The rules by rejections per second among what the rules before them let through.
 
-    Each rule is timed on a sample of about ``sample_rows`` rows; which rules reject together is one
-    count per pattern of verdicts. An empty sample leaves the order as given.
+    Each rule is timed on the sample; which rules reject together is one count per pattern of
+    verdicts. An empty sample leaves the order as given.
     """
-    rules = list(rules)
-    total = rows.count()
-    if not total:
-        return rules
-    sample = stored(rows.sample(min(1.0, sample_rows / total), seed=7), "rule-sample")
+    rules, sample = list(rules), stored(sample, "rule-sample")
     flags = [F.coalesce(r.reject, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
     patterns = [(row[:-1], row[-1]) for row in sample.select(*flags).groupBy(*(f"r{i}" for i in range(len(rules)))).count().collect()]
     left, order = {i: _seconds(sample, flag) for i, flag in enumerate(flags)}, []
@@ -140,8 +141,9 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     Null and empty texts have no words, so they fail. Repeated rows and null keys are judged like
     any other; other columns of ``docs`` are ignored; an empty table gives an empty result.
     """
-    rows = with_text_counts(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
-    order = order_rules(rows, standard_rules())
+    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = with_text_counts(texts)
+    order = order_rules(with_text_counts(rule_sample(texts)), standard_rules())
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), cascade(order).alias("failed_rule"),
