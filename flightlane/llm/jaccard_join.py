@@ -12,39 +12,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import fold_words
+from flightlane.llm.common import WordHashes, fold_words
 from flightlane.llm.components import components
-from flightlane.llm.exchange import SENT_ARROW, answers_of, bucket_count, exchange, sent_rows
+from flightlane.llm.exchange import SENT, SENT_ARROW, answers_of, block_table, bucket_count, exchange, sent_rows, to_batch
 from flightlane.llm.packing import mixed, pack, pack_sorted, unpack, unpack_sorted
-from flightlane.session import new_path, stored
+from flightlane.session import stored
 
 SHINGLE_WORDS = 4
 #: Linked when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
 #: A block ends behind the text with which it reaches so many characters.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
 #: Shingles in one tree at most, on average; larger groups are joined piece by piece.
 TREE_SHINGLES = 1_000_000
-WORDS_KEPT = 500_000
 
-_BLOCKS = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()),
-                     ("numbers", pa.binary()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
-                     ("print_a", pa.int64()), ("print_b", pa.int64())])
-_BLOCKS_DDL = ("kind string, block long, bucket int, keys binary, numbers binary, row long, doc_id long, n long, "
-               "print_a long, print_b long")
+_BLOCKS = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("which", pa.binary()), ("lengths", pa.binary()),
+                     ("places", pa.binary()), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64()), ("print_a", pa.int64()), ("print_b", pa.int64())])))])
+_BLOCKS_DDL = ("block long, keys binary, counts binary, which binary, lengths binary, places binary, "
+               "docs array<struct<doc_id: long, n: long, print_a: long, print_b: long>>")
 _CANDIDATES = "row long, n long, posted array<long>, shingles binary, counts binary"
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingle_set(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
     """The distinct shingles of a text as ascending 64-bit hashes; shorter texts are one shingle."""
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -67,17 +55,16 @@ def needed(a: int, b: int, threshold: int) -> int:
     return -((-threshold * (a + b)) // (100 + threshold))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int, buckets: int, chars: int) -> Iterator[pa.RecordBatch]:
-    """Per block: one 'sets' row, its 'sent' rows, and a 'doc' row for each document."""
-    base, hashes = TaskContext.get().partitionId() << 16, WordHashes()
-    number = 0
+def _blocks(batches: Iterator[pa.RecordBatch], size: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """A row per block: its different shingles, in how many of its different sets each is, the sets as
+    places among the shingles, which document has each set, and all documents."""
+    base, number, hashes = TaskContext.get().partitionId() << 16, 0, WordHashes()
     names: list = []
     sets: list[np.ndarray] = []
     held = 0
 
     def flush() -> pa.RecordBatch:
         nonlocal number, names, sets, held
-        block = base + number
         prints = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
         first: dict[int, int] = {}
         for i, (p, s) in enumerate(zip(prints, sets)):
@@ -86,14 +73,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, buckets: int, chars: i
         own = [sets[i] for i in first.values()]  # a text that is repeated in a block counts once
         lengths = np.array([len(s) for s in own], np.uint32)
         keys, place, n = np.unique(np.concatenate(own or [np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
-        rows = [("sets", block, None, pack_sorted(keys), pack(lengths), None, None, None, None, None),
-                ("places", block, None, pack(_steps(place, lengths)), pack(np.array(list(first.values()), np.uint32)), None, None, None, None, None)]
-        rows += [("sent", *r, None, None, None, None, None) for r in sent_rows(block, keys, n.astype(np.uint32), buckets)]
-        for i, (name, p, s) in enumerate(zip(names, prints, sets)):
-            a, b = np.array([p >> 64, p & (2**64 - 1)], np.uint64).view(np.int64).tolist()
-            rows.append(("doc", block, None, None, None, (block << 24) + i, name, len(s), a, b))
+        halves = np.array([[p >> 64, p & (2**64 - 1)] for p in prints], np.uint64).view(np.int64).tolist()
+        docs = [{"doc_id": name, "n": len(s), "print_a": a, "print_b": b} for name, s, (a, b) in zip(names, sets, halves)]
+        row = (base + number, pack_sorted(keys), pack(n.astype(np.uint32)), pack(np.array(list(first.values()), np.uint32)),
+               pack(lengths), pack(_steps(place, lengths)), docs)
         number, names, sets, held = number + 1, [], [], 0
-        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _BLOCKS)], schema=_BLOCKS)
+        return to_batch([row], _BLOCKS)
 
     for batch in batches:
         for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -107,6 +92,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, buckets: int, chars: i
         yield flush()
 
 
+def _send_counts(buckets: int, bits: int):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield to_batch(list(sent_rows(row["block"], unpack_sorted(row["keys"]), unpack(row["counts"]), buckets, bits)), SENT_ARROW)
+
+    return send
+
+
 def _steps(place: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Ascending places per set as differences; each set starts anew."""
     place = place.astype(np.uint32)
@@ -117,7 +111,7 @@ def _steps(place: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _document_counts(distinct, place, blocks, numbers):
-    """In how many sets each key is."""
+    """In how many sets each key is, at least: keys that begin alike are counted together."""
     return np.bincount(place, numbers, len(distinct)).astype(np.uint32)[place], None
 
 
@@ -125,9 +119,9 @@ def _candidates(threshold: int):
     """Per block: the sets that could link with another one, with the shingles to find it by."""
 
     def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = {r["kind"]: r for r in left.to_pylist()}
-        keys, lengths = unpack_sorted(rows["sets"]["keys"]), unpack(rows["sets"]["numbers"])
-        steps, which = unpack(rows["places"]["keys"]), unpack(rows["places"]["numbers"])
+        row = left.to_pylist()[0]
+        keys, lengths = unpack_sorted(row["keys"]), unpack(row["lengths"])
+        steps, which = unpack(row["places"]), unpack(row["which"])
         counts = answers_of([(r["bucket"], r["answer"]) for r in right.to_pylist()])
         out: dict[str, list] = {name: [] for name in ("row", "n", "posted", "shingles", "counts")}
         at = 0
@@ -140,7 +134,7 @@ def _candidates(threshold: int):
             order = np.argsort(df, kind="stable")  # rarest first, ties by the key
             prefix = order[: prefix_length(n, threshold)]
             posted = keys[here[prefix[df[prefix] > 1]]]
-            out["row"].append((rows["sets"]["block"] << 24) + i)
+            out["row"].append((row["block"] << 24) + i)
             out["n"].append(n)
             out["posted"].append(posted.view(np.int64).tolist())
             out["shingles"].append(pack_sorted(keys[here]))
@@ -305,23 +299,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     buckets = bucket_count(spark)
-    path = new_path(spark, "shingle-blocks")
-    docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        lambda batches: _blocks(batches, size, buckets, block_chars), _BLOCKS_DDL).write.partitionBy("kind").parquet(path)
-    blocks = spark.read.schema(_BLOCKS_DDL).parquet(path)
-    kind = F.col("kind")
-    answers = exchange(blocks.where(kind == "sent").select("block", "bucket", "keys", "numbers"), _document_counts)
-    found = blocks.where(kind.isin("sets", "places")).select("kind", "block", "keys", "numbers").groupBy("block").cogroup(
-        answers.groupBy("block")).applyInArrow(_candidates(threshold), _CANDIDATES)
-    rows = blocks.where(kind == "doc").select("row", "doc_id", "n", "print_a", "print_b")
+    # the order needs no exact counts; with 24 bits more than rows, few keys begin alike
+    bits = min(64, docs.count().bit_length() + 24)
+    blocks = block_table(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+        lambda batches: _blocks(batches, size, block_chars), _BLOCKS_DDL), "shingle-blocks")
+    answers = exchange(blocks.select("block", "keys", "counts").mapInArrow(_send_counts(buckets, bits), SENT), _document_counts)
+    candidates = stored(blocks.select("block", "keys", "which", "lengths", "places").groupBy("block").cogroup(
+        answers.groupBy("block")).applyInArrow(_candidates(threshold), _CANDIDATES), "set-candidates")
+    rows = blocks.select("block", F.posexplode("docs").alias("i", "d")).select(
+        (F.shiftleft("block", 24) + F.col("i")).alias("row"), "d.doc_id", "d.n", "d.print_a", "d.print_b")
     sets = stored(rows.where("n > 0").groupBy("print_a", "print_b").agg(F.min("row").alias("row"), F.min("doc_id").alias("doc_id")), "sets")
-    candidates = stored(found.join(sets.select("row"), "row", "left_semi"), "set-candidates")
 
-    posted = candidates.select("row", F.explode("posted").alias("shingle"))
+    posted = candidates.select("row", "posted").join(sets.select("row"), "row", "left_semi").select("row", F.explode("posted").alias("shingle"))
     shared = posted.groupBy("shingle").agg(F.min("row").alias("least"), F.count("*").alias("n")).where("n > 1").select("shingle", "least")
     groups = components(posted.join(shared, "shingle").select(F.col("row").alias("a"), F.col("least").alias("b")))
-    links = _links(candidates.join(groups, candidates["row"] == groups["node"]).drop("node", "posted"), threshold, buckets, tree_shingles)
-    classes = components(links)
+    classes = components(_links(candidates, groups, threshold, buckets, tree_shingles))
 
     labelled = stored(sets.join(classes, sets["row"] == classes["node"], "left").select(
         "print_a", "print_b", F.coalesce("label", "row").alias("label"), "doc_id"), "set-classes")
@@ -331,18 +323,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _links(members: DataFrame, threshold: int, buckets: int, tree_shingles: int) -> DataFrame:
-    """a, b: links that connect all members of a group (label) that any links connect."""
-    members = stored(members, "group-members")
+def _links(candidates: DataFrame, groups: DataFrame, threshold: int, buckets: int, tree_shingles: int) -> DataFrame:
+    """a, b: links that connect all members of a group (node, label) that any links connect."""
+    members = stored(groups.join(candidates.select("row", "n"), F.col("node") == F.col("row")).select("row", "n", "label"), "group-members")
     sizes = members.groupBy("label").agg(F.ceil(F.sum("n") / tree_shingles).alias("pieces"))
     total = members.agg(F.sum("n")).first()[0] or 0
     slots = max(buckets, 2 * total // tree_shingles)
     piece = F.pmod(F.xxhash64("row"), F.col("pieces"))
     meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
                         lambda x: F.struct(F.least("piece", x).alias("i"), F.greatest("piece", x).alias("j")))
-    spread = members.join(sizes, "label").withColumn("piece", piece).withColumn("meet", F.explode(meets))
-    spread = spread.select("label", "row", "n", "shingles", "counts", "meet.i", "meet.j")
-    dealt = spread.withColumn("slot", F.pmod(F.xxhash64("label", "i", "j"), F.lit(slots)))
+    spread = members.join(sizes, "label").withColumn("piece", piece).withColumn("meet", F.explode(meets)).select(
+        "label", "row", "meet.i", "meet.j", F.pmod(F.xxhash64("label", "meet.i", "meet.j"), F.lit(slots)).alias("slot"))
+    # the sets themselves move twice: to their members here and to the slot where they are joined
+    dealt = candidates.select("row", "n", "shingles", "counts").join(spread, "row")
     return dealt.groupBy("slot").applyInArrow(_join_slot(threshold), "a long, b long")
 
 
