@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, token_counts, wavelet
+from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, token_counts, toxicity, wavelet
 from flightlane.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -17,8 +17,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = sentencepiece_fst.encode_documents(table(spark, sf_dir, "documents"), PIECES)
-    return sentencepiece_fst.decode_documents(encoded, PIECES)
+    return sentencepiece_fst.encode_documents(table(spark, sf_dir, "documents"), PIECES, decoded=True)
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,13 +41,18 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), LANGUAGE_WEIGHTS)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op10_mixing)
+    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op8_toxicity, op10_mixing)
 }
 
 ORACLES = {
