@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, token_counts, toxicity, wavelet
+from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, style_tree, token_counts, toxicity, wavelet
 from flightlane.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,13 +46,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), LANGUAGE_WEIGHTS)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op8_toxicity, op10_mixing)
+    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op8_toxicity, op9_style_tree, op10_mixing)
 }
 
 ORACLES = {
