@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -32,7 +33,7 @@ UNIGRAM, BPE = 1, 2
 #: What the score of an unknown character lies below the least score of a piece.
 UNKNOWN_PENALTY = 10.0
 #: Different words, and pairs of pieces, that a worker remembers.
-CHUNKS_KEPT = 700_000
+CHUNKS_KEPT, PAIRS_KEPT = 600_000, 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -111,7 +112,7 @@ class Transducer:
         self.user = re.compile("|".join(map(re.escape, sorted(user, key=len, reverse=True)))) if user else None
         normal = [p for p, (_, _, kind) in zip([x[0] for x in model.pieces], model.pieces) if kind == NORMAL]
         self.penalty = min((self.scores[p] for p in normal), default=0.0) - UNKNOWN_PENALTY
-        self.chunks: dict[str, list[int]] = {}
+        self.chunks: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
         # a piece whose own merges end in other pieces is on no path of merges
         self.halves = {p: h for p in self.ids if len(p) > 1 and (h := self._last_merge(p))} if model.bpe else {}
@@ -124,6 +125,7 @@ class Transducer:
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = self._number(piece)
+        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         # pieces never reach over the start of a word, if none holds a space behind another character
         self.by_word = all(SPACE not in p.lstrip(SPACE) for p in self.ids) and not user
         alone = all("\n" not in p or len(p) == 1 for p in self.ids)
@@ -197,32 +199,51 @@ class Transducer:
                 before, equal_too, a = made_a, False, self.halves[a][1]
             else:
                 before, equal_too, b = made_b, True, self.halves[b][0]
-        if len(self.apart) >= 2 * CHUNKS_KEPT:
+        if len(self.apart) >= PAIRS_KEPT:
             self.apart.clear()
         self.apart[left << 32 | right] = known
         return known
 
+    def _matches(self, text: str, start: int) -> list[tuple[int, int]]:
+        """Arcs from a place and where they lead, the longest last."""
+        node, end, n, found = self.tree.get(text[start]), start + 1, len(text), []
+        if node is None:  # no piece has this character
+            return [(self._number(text[start]), end)]
+        while True:
+            if "" in node:
+                found.append((node[""], end))
+            if end == n or (node := node.get(text[end])) is None:
+                return found
+            end += 1
+
     def _path_of_merges(self, text: str) -> list[int]:
-        """The one finite path: of the pieces that end at a place exactly one continues a finite path."""
-        n, tree, apart, allows = len(text), self.tree, self.apart.get, self.allows
-        last, since = [-1] * (n + 1), [0] * (n + 1)
-        for start in range(n):
-            left, node, end = last[start], tree.get(text[start]), start + 1
-            if node is None:  # no piece has this character
-                last[end], since[end] = self._number(text[start]), start
-                continue
-            while True:
-                piece = node.get("")
-                if piece is not None:
-                    free = left < 0 or apart(left << 32 | piece)
-                    if free is None:
-                        free = allows(left, piece)
-                    if free:
-                        last[end], since[end] = piece, start
-                if end == n or (node := node.get(text[end])) is None:
+        """The one finite path, searched with the longest arcs first.
+
+        Only one finite path leads to a place, so a place from which the end was not reached is given
+        up for good: the search takes no more steps than there are arcs.
+        """
+        n, known, allows = len(text), self.apart.get, self.allows
+        dead, path, ways, left, start = bytearray(n + 1), [], [], -1, 0
+        arcs = self._matches(text, 0) if n else []
+        while start < n:
+            while arcs:
+                piece, end = arcs.pop()
+                if dead[end]:
+                    continue
+                free = left < 0 or known(left << 32 | piece)
+                if free is None:
+                    free = allows(left, piece)
+                if free:
+                    ways.append((start, left, arcs))
+                    path.append(piece)
+                    start, left = end, piece
+                    arcs = self._matches(text, end) if end < n else []
                     break
-                end += 1
-        return self._back(last, since)
+            else:
+                dead[start] = 1
+                start, left, arcs = ways.pop()
+                path.pop()
+        return path
 
     def _path_of_scores(self, text: str) -> list[int]:
         """The path of least weight, where a weight is minus a score."""
@@ -264,24 +285,37 @@ class Transducer:
     def _encode_part(self, text: str) -> list[int]:
         return list(self._outputs((self._path_of_merges if self.model.bpe else self._path_of_scores)(text)))
 
+    def _encode_chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk as bytes. Where no piece has two characters side by side, the lattice falls
+        apart between them, and each different part is composed once."""
+        if len(self.chunks) >= CHUNKS_KEPT:
+            self.chunks.clear()
+        cuts = [0, *(i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.joined), len(chunk)]
+        ids = b""
+        for a, b in zip(cuts, cuts[1:]):
+            part = chunk[a:b]
+            found = self.chunks.get(part)
+            if found is None:
+                found = array("i", self._encode_part(part)).tobytes()
+                if len(part) <= 64:
+                    self.chunks[part] = found
+            ids += found
+        if len(chunk) <= 64:
+            self.chunks[chunk] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
         """The ids of a text."""
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str) -> np.ndarray:
         text = self.normalise(text)
         if not self.by_word:
-            return self._with_user_pieces(text)
-        # the lattice falls apart where no piece reaches over: each different part is composed once
-        ids: list[int] = []
-        chunks = self.chunks
+            return np.array(self._with_user_pieces(text), np.int32)
+        known, ids = self.chunks.get, []
         for chunk in self.chunk.findall(text):
-            found = chunks.get(chunk)
-            if found is None:
-                found = self._encode_part(chunk)
-                if len(chunk) <= 64:
-                    if len(chunks) >= CHUNKS_KEPT:
-                        chunks.clear()
-                    chunks[chunk] = found
-            ids += found
-        return ids
+            ids.append(known(chunk) or self._encode_chunk(chunk))
+        return np.frombuffer(b"".join(ids), np.int32)
 
     def _with_user_pieces(self, text: str) -> list[int]:
         """User-defined pieces are cut out first, as no merge and no other path may touch them."""
@@ -305,7 +339,7 @@ def model_bytes(model_file: str) -> bytes:
         return file.read()
 
 
-def _slices(texts: list, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list, chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Places that cut a batch into parts of about so many characters."""
     start = held = 0
     for i, text in enumerate(texts):
@@ -317,11 +351,12 @@ def _slices(texts: list, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_ids, ids. Null and empty texts have no ids.
+def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_ids, ids, and on demand ``decoded``, the text of the ids.
 
-    Every text is encoded whole and by itself, so null keys, repeated rows and ties are rows like any
-    other; other columns are ignored; an empty table gives an empty result. Nothing is shuffled.
+    Null and empty texts have no ids. Every text is encoded whole and by itself, so null keys, repeated
+    rows and ties are rows like any other; other columns are ignored; an empty table gives an empty
+    result. Nothing is shuffled.
     """
     data = model_bytes(model_file)
 
@@ -330,15 +365,16 @@ def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in _slices(texts):
-                ids = [np.array(transducer.encode(t or ""), np.int32) for t in texts[a:b]]
+                ids = [transducer.encode_array(t or "") for t in texts[a:b]]
                 sizes = np.array([len(i) for i in ids], np.int64)
-                values = pa.array(np.concatenate(ids))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sizes), pa.ListArray.from_arrays(offsets, values)],
-                                                 names=["doc_id", "n_ids", "ids"])
+                columns = [batch.column(0)[a:b], pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))]
+                if decoded:
+                    columns.append(pa.array([transducer.decode(i.tolist()) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_ids", "ids", "decoded"][: len(columns)])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        encode, "doc_id long, n_ids long, ids array<int>")
+        encode, "doc_id long, n_ids long, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode_documents(encoded: DataFrame, model_file: str) -> DataFrame:
