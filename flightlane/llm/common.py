@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlane.session import stored
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Words whose hashes a task remembers.
 WORDS_KEPT = 300_000
@@ -41,6 +43,24 @@ def fold_words(text: str | None) -> list[bytes]:
     return text.encode().translate(FOLD).split() if text else []
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` does not have."""
+    taken = {c.lower() for c in rows.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def without_keys(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in the single column of ``gone``; rows with a null key stay.
+
+    Keys that go are written first, so their true size decides how they are joined.
+    """
+    name = free_name(rows, "gone")
+    gone = stored(gone.toDF(name).distinct(), "gone-keys")
+    return rows.join(gone, rows[key] == gone[name], "left_anti")
+
+
 def crc_remainder(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; a null key gives null."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import WordHashes, fold_words
+from flightlane.llm.common import WordHashes, fold_words, without_keys
 from flightlane.llm.components import components
 from flightlane.llm.exchange import SENT, SENT_ARROW, answers_of, block_table, bucket_count, exchange, sent_rows, to_batch
 from flightlane.llm.packing import mixed, pack, pack_sorted, unpack, unpack_sorted
@@ -340,6 +340,8 @@ def _links(candidates: DataFrame, groups: DataFrame, threshold: int, buckets: in
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose key is the least of their component, with all their columns."""
-    gone = jaccard_components(docs, key, text).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` whose key is the least of their component, with all their columns.
+
+    Rows with a null key and rows that repeat the least key stay.
+    """
+    return without_keys(docs, key, jaccard_components(docs, key, text).where("doc_id <> component_id").select("doc_id"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, style_tree, token_counts, toxicity, wavelet
 from flightlane.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-LANGUAGE_WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,13 +51,13 @@ def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixing_rates(table(spark, sf_dir, "documents"), LANGUAGE_WEIGHTS)
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), corpus_pipeline.WEIGHTS)
 
 
 QUERIES = {
     f.__name__: f
     for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op8_toxicity, op9_style_tree, op10_mixing)
-}
+} | {"pipeline": corpus_pipeline.run}
 
 ORACLES = {
     "op1_exact_dedup": """
