@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     found = dealt.groupBy("seed").applyInArrow(_train_pair, "seed int, toxic binary, ordinary binary, threshold double").collect()
     pairs = tuple(Pair(bytes(r["toxic"]), bytes(r["ordinary"]), r["threshold"]) for r in sorted(found))
     rows = sample.where(last).select("label", "text").mapInArrow(_features_of(pairs), "label int, features array<double>").collect()
-    return calibrate(pairs, np.array([r["features"] for r in rows], np.float64).reshape(-1, FEATURES * len(pairs)),
+    return calibrate(pairs, np.array([r["features"] for r in rows], np.float64).reshape(len(rows), FEATURES * len(pairs)),
                      np.array([r["label"] for r in rows], np.float64))
 
 
@@ -220,7 +220,7 @@ def toxicity(docs: DataFrame, detector: Detector, key: str = "doc_id", text: str
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _features_of(detector.pairs)(batches):
-            rows = np.array(batch.column(2).to_pylist(), np.float64).reshape(-1, FEATURES * len(detector.pairs))
+            rows = np.array(batch.column(2).to_pylist(), np.float64).reshape(batch.num_rows, FEATURES * len(detector.pairs))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(detector.score(rows))], names=["doc_id", "held_out", "score"])
 
     held_out = F.coalesce(crc_remainder(key, folds) == 0, F.lit(False))
@@ -237,7 +237,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         for batch in batches:
             rows = [[x for p, c in zip(detector.pairs, compressors) for x in features(gains(c, some), p.threshold)]
                     for some in map(windows, batch.column(at).to_pylist())]
-            scores = detector.score(np.array(rows, np.float64).reshape(-1, FEATURES * len(detector.pairs)))
+            scores = detector.score(np.array(rows, np.float64).reshape(batch.num_rows, FEATURES * len(detector.pairs)))
             yield batch.filter(pa.array(scores < 0.5))
 
     return docs.mapInArrow(clean, docs.schema)
