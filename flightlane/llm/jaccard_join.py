@@ -30,7 +30,8 @@ _BLOCKS = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("counts", pa
                      ("places", pa.binary()), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64()), ("print_a", pa.int64()), ("print_b", pa.int64())])))])
 _BLOCKS_DDL = ("block long, keys binary, counts binary, which binary, lengths binary, places binary, "
                "docs array<struct<doc_id: long, n: long, print_a: long, print_b: long>>")
-_CANDIDATES = "row long, n long, posted array<long>, shingles binary, counts binary"
+_CANDIDATES = "row long, n long, posted array<long>"
+_DEALT = "slot long, label long, i long, j long, row long, n long, shingles binary, counts binary"
 
 
 def shingle_set(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -115,37 +116,59 @@ def _document_counts(distinct, place, blocks, numbers):
     return np.bincount(place, numbers, len(distinct)).astype(np.uint32)[place], None
 
 
+class _Sets:
+    """A block's sets, as a task reads them back, with the counts of their shingles over all documents."""
+
+    def __init__(self, row: dict, answers: list[dict]):
+        self.block, self.keys = row["block"], unpack_sorted(row["keys"])
+        self.counts = answers_of([(r["bucket"], r["answer"]) for r in answers])
+        self.which, lengths = unpack(row["which"]).tolist(), unpack(row["lengths"]).astype(np.int64)
+        self._steps, self._ends = unpack(row["places"]), np.cumsum(lengths)
+        self._starts = self._ends - lengths
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        """The number of each set's row, and its shingles as places among the keys."""
+        for i, start, end in zip(self.which, self._starts, self._ends):
+            yield (self.block << 24) + i, np.cumsum(self._steps[start:end])
+
+
 def _candidates(threshold: int):
     """Per block: the sets that could link with another one, with the shingles to find it by."""
 
     def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        keys, lengths = unpack_sorted(row["keys"]), unpack(row["lengths"])
-        steps, which = unpack(row["places"]), unpack(row["which"])
-        counts = answers_of([(r["bucket"], r["answer"]) for r in right.to_pylist()])
-        out: dict[str, list] = {name: [] for name in ("row", "n", "posted", "shingles", "counts")}
-        at = 0
-        for i, n in zip(which.tolist(), lengths.tolist()):
-            here = np.cumsum(steps[at : at + n])
-            at += n
-            df = counts[here]
-            if np.count_nonzero(df == 1) >= prefix_length(n, threshold):
+        sets = _Sets(left.to_pylist()[0], right.to_pylist())
+        rows, sizes, posts = [], [], []
+        for row, here in sets:
+            df, length = sets.counts[here], prefix_length(len(here), threshold)
+            if np.count_nonzero(df == 1) >= length:
                 continue  # the prefix holds nothing that another set has
-            order = np.argsort(df, kind="stable")  # rarest first, ties by the key
-            prefix = order[: prefix_length(n, threshold)]
-            posted = keys[here[prefix[df[prefix] > 1]]]
-            out["row"].append((row["block"] << 24) + i)
-            out["n"].append(n)
-            out["posted"].append(posted.view(np.int64).tolist())
-            out["shingles"].append(pack_sorted(keys[here]))
-            out["counts"].append(pack(df))
-        return pa.table({"row": pa.array(out["row"], pa.int64()), "n": pa.array(out["n"], pa.int64()),
-                         "posted": pa.array(out["posted"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary()),
-                         "counts": pa.array(out["counts"], pa.binary())})
+            prefix = np.argsort(df, kind="stable")[:length]  # rarest first, ties by the key
+            rows.append(row)
+            sizes.append(len(here))
+            posts.append(sets.keys[here[prefix[df[prefix] > 1]]].view(np.int64))
+        return pa.table({"row": pa.array(rows, pa.int64()), "n": pa.array(sizes, pa.int64()), "posted": pa.array(posts, pa.list_(pa.int64()))})
 
     return of_block
 
 
+def _deal(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Per block: its sets that are members of a group, for the slots where they meet others."""
+    told = right.to_pylist()
+    members: dict[int, list[dict]] = {}
+    for r in told:
+        if r["row"] is not None:
+            members.setdefault(r["row"], []).append(r)
+    out: dict[str, list] = {name.split()[0]: [] for name in _DEALT.split(", ")}
+    sets = _Sets(left.to_pylist()[0], [r for r in told if r["answer"] is not None]) if members else ()
+    for row, here in sets:
+        if row in members:
+            shingles, counts = pack_sorted(sets.keys[here]), pack(sets.counts[here])
+            for m in members[row]:
+                for name, value in zip(out, (m["slot"], m["label"], m["i"], m["j"], row, len(here), shingles, counts)):
+                    out[name].append(value)
+    return pa.table({name: pa.array(values, pa.binary() if name in ("shingles", "counts") else pa.int64()) for name, values in out.items()})
+
+
 class Tree:
     """A prefix tree of distinct sets whose edges hold runs of shingles, most frequent first.
 
@@ -299,13 +322,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     buckets = bucket_count(spark)
-    # the order needs no exact counts; with 24 bits more than rows, few keys begin alike
-    bits = min(64, docs.count().bit_length() + 24)
+    # the order needs no exact counts; with 20 bits more than rows, few keys begin alike
+    bits = min(64, docs.count().bit_length() + 20)
     blocks = block_table(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         lambda batches: _blocks(batches, size, block_chars), _BLOCKS_DDL), "shingle-blocks")
-    answers = exchange(blocks.select("block", "keys", "counts").mapInArrow(_send_counts(buckets, bits), SENT), _document_counts)
-    candidates = stored(blocks.select("block", "keys", "which", "lengths", "places").groupBy("block").cogroup(
-        answers.groupBy("block")).applyInArrow(_candidates(threshold), _CANDIDATES), "set-candidates")
+    answers = stored(exchange(blocks.select("block", "keys", "counts").mapInArrow(_send_counts(buckets, bits), SENT), _document_counts), "shingle-counts")
+    held = blocks.select("block", "keys", "which", "lengths", "places").groupBy("block")
+    candidates = stored(held.cogroup(answers.groupBy("block")).applyInArrow(_candidates(threshold), _CANDIDATES), "set-candidates")
     rows = blocks.select("block", F.posexplode("docs").alias("i", "d")).select(
         (F.shiftleft("block", 24) + F.col("i")).alias("row"), "d.doc_id", "d.n", "d.print_a", "d.print_b")
     sets = stored(rows.where("n > 0").groupBy("print_a", "print_b").agg(F.min("row").alias("row"), F.min("doc_id").alias("doc_id")), "sets")
@@ -313,7 +336,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     posted = candidates.select("row", "posted").join(sets.select("row"), "row", "left_semi").select("row", F.explode("posted").alias("shingle"))
     shared = posted.groupBy("shingle").agg(F.min("row").alias("least"), F.count("*").alias("n")).where("n > 1").select("shingle", "least")
     groups = components(posted.join(shared, "shingle").select(F.col("row").alias("a"), F.col("least").alias("b")))
-    classes = components(_links(candidates, groups, threshold, buckets, tree_shingles))
+    members = _meetings(candidates, groups, buckets, tree_shingles)
+    told = answers.unionByName(members, allowMissingColumns=True)
+    dealt = held.cogroup(told.groupBy("block")).applyInArrow(_deal, _DEALT)
+    classes = components(dealt.groupBy("slot").applyInArrow(_join_slot(threshold), "a long, b long"))
 
     labelled = stored(sets.join(classes, sets["row"] == classes["node"], "left").select(
         "print_a", "print_b", F.coalesce("label", "row").alias("label"), "doc_id"), "set-classes")
@@ -323,8 +349,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _links(candidates: DataFrame, groups: DataFrame, threshold: int, buckets: int, tree_shingles: int) -> DataFrame:
-    """a, b: links that connect all members of a group (node, label) that any links connect."""
+def _meetings(candidates: DataFrame, groups: DataFrame, buckets: int, tree_shingles: int) -> DataFrame:
+    """block, row, label, i, j, slot: where every member of a group (node, label) is joined with others.
+
+    A group of few shingles is one piece; any two pieces of a larger one meet in a slot.
+    """
     members = stored(groups.join(candidates.select("row", "n"), F.col("node") == F.col("row")).select("row", "n", "label"), "group-members")
     sizes = members.groupBy("label").agg(F.ceil(F.sum("n") / tree_shingles).alias("pieces"))
     total = members.agg(F.sum("n")).first()[0] or 0
@@ -332,11 +361,9 @@ def _links(candidates: DataFrame, groups: DataFrame, threshold: int, buckets: in
     piece = F.pmod(F.xxhash64("row"), F.col("pieces"))
     meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
                         lambda x: F.struct(F.least("piece", x).alias("i"), F.greatest("piece", x).alias("j")))
-    spread = members.join(sizes, "label").withColumn("piece", piece).withColumn("meet", F.explode(meets)).select(
-        "label", "row", "meet.i", "meet.j", F.pmod(F.xxhash64("label", "meet.i", "meet.j"), F.lit(slots)).alias("slot"))
-    # the sets themselves move twice: to their members here and to the slot where they are joined
-    dealt = candidates.select("row", "n", "shingles", "counts").join(spread, "row")
-    return dealt.groupBy("slot").applyInArrow(_join_slot(threshold), "a long, b long")
+    spread = members.join(sizes, "label").withColumn("piece", piece).withColumn("meet", F.explode(meets))
+    return spread.select(F.shiftright("row", 24).alias("block"), "row", "label", "meet.i", "meet.j",
+                         F.pmod(F.xxhash64("label", "meet.i", "meet.j"), F.lit(slots)).alias("slot"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
