@@ -21,8 +21,8 @@ def digits_to_int(text: Column) -> Column:
 
 
 def is_false(flag: Column) -> Column:
-    """True for a boolean false or text that says false; true, null and other text fail."""
-    return flag.cast("string").try_cast("boolean") == F.lit(False)
+    """True for a boolean false or the text false in any case; true, null and other text, such as 0 or no, fail."""
+    return F.coalesce(F.lower(strip(flag.cast("string"))) == "false", F.lit(False))
 
 
 def geopoint(latitude: str, longitude: str) -> Column:

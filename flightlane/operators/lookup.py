@@ -1,156 +1,49 @@
-"""Left lookups into a dimension and group counts, safe against hot keys.
+"""Left lookups into a dimension and group counts.
 
-A side is broadcast only after its bytes were measured. Beyond the bound the join shuffles,
-but not the rows of hot keys: what belongs to those keys is small enough to broadcast, and
-their rows are scattered evenly instead of meeting in one task.
+They are plain joins: Spark broadcasts a side whose statistics, or whose size once a stage has
+run, lie below ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise, where adaptive
+execution splits the tasks of a hot key (``spark.sql.adaptive.skewJoin``). ``strategy`` is a join
+hint for callers who know better, such as "merge"; building a plan runs no job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.operators.reshape import role_columns
-from flightlane.session import stored
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 1_000_000
-POSITION = "_position"
 
+def _hinted(table: DataFrame, strategy: str | None) -> DataFrame:
+    return table.hint(strategy) if strategy else table
 
-def measured_bytes(table: DataFrame) -> int:
-    """Size of the table's values as JSON text, summed on the executors."""
-    size = table.agg(F.sum(F.octet_length(F.to_json(F.struct(*table.columns))))).first()[0]
-    return size or 0
 
-
-def with_position(rows: DataFrame) -> DataFrame:
-    """Number rows by partition and place. Call it before any shuffle, where a repeated
-    task reads the same rows in the same order and so numbers them the same."""
-    return rows.withColumn(POSITION, F.monotonically_increasing_id())
-
-
-def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Key values that at least ``hot_rows`` rows have, for several key columns in one pass.
-
-    There can be no more than rows / hot_rows of them per column, whatever the data. The
-    result is written to the shared folder, so that its uses do not count again.
-    """
-    values = F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("hot_key")) for name in keys])
-    pairs = rows.select(F.explode(values).alias("pair")).select("pair.*").where("hot_key is not null")
-    counts = pairs.groupBy("column", "hot_key").agg(F.count("*").alias("rows"))
-    return stored(counts.where(F.col("rows") >= hot_rows), "hot-keys")
-
-
-def left_lookup(
-    rows: DataFrame,
-    dimension: DataFrame,
-    row_key: str,
-    key: str,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def left_lookup(rows: DataFrame, dimension: DataFrame, row_key: str, key: str, strategy: str | None = None) -> DataFrame:
     """``rows`` with the dimension's columns, null where the key is unknown.
 
     A key the dimension holds twice doubles the row. The dimension's key column is dropped.
     """
-    if measured_bytes(dimension) <= broadcast_bytes:
-        return _broadcast_lookup(rows, dimension, row_key, key)
-    hot = hot_keys(rows, [row_key], hot_rows)
-    return _split_lookup(with_position(rows), dimension, row_key, key, hot, broadcast_bytes).drop(POSITION)
+    looked_up = _hinted(dimension.withColumnRenamed(key, "_key"), strategy)
+    return rows.join(looked_up, F.col(row_key) == F.col("_key"), "left").drop("_key")
 
 
-def role_lookups(
-    rows: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    roles: dict[str, str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def role_lookups(rows: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str], strategy: str | None = None) -> DataFrame:
     """One left lookup per role into the same dimension: role name -> key column of ``rows``.
 
-    The dimension's other columns come back once per role, named ``role_column``. The
-    dimension is measured, and hot keys are counted, once for all roles.
+    The dimension's other columns come back once per role, named ``role_column``.
     """
-    small = measured_bytes(dimension) <= broadcast_bytes
-    hot = None if small else hot_keys(rows, list(roles.values()), hot_rows)
-    found = rows if small else with_position(rows)
+    found = rows
     for role, row_key in roles.items():
-        played = role_columns(dimension, role, key)
-        if small:
-            found = _broadcast_lookup(found, played, row_key, key)
-        else:
-            found = _split_lookup(found, played, row_key, key, hot, broadcast_bytes)
-    return found.drop(POSITION)
-
-
-def _broadcast_lookup(rows: DataFrame, dimension: DataFrame, row_key: str, key: str) -> DataFrame:
-    looked_up = dimension.withColumnRenamed(key, "_key")
-    return rows.join(F.broadcast(looked_up), F.col(row_key) == F.col("_key"), "left").drop("_key")
+        found = left_lookup(found, role_columns(dimension, role, key), row_key, key, strategy)
+    return found
 
 
-def _split_lookup(
-    rows: DataFrame, dimension: DataFrame, row_key: str, key: str, hot: DataFrame, broadcast_bytes: int
-) -> DataFrame:
-    values = [name for name in dimension.columns if name != key]
-    hot_part = _hot_part(dimension, key, hot.where(F.col("column") == row_key), broadcast_bytes)
-    marked = rows.join(F.broadcast(hot_part), F.col(row_key) == F.col("_hot_key"), "left")
-    cold_part = dimension.select(F.col(key).alias("_cold_key"), F.struct(*values).alias("_cold"))
-    joined = _scattered_join(marked, cold_part, row_key, F.col("_hot_key").isNotNull())
-    picked = [F.coalesce(F.col("_hot")[name], F.col("_cold")[name]).alias(name) for name in values]
-    return joined.select(*[F.col(name) for name in rows.columns], *picked)
-
-
-def _hot_part(dimension: DataFrame, key: str, hot: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """Every hot key with what the dimension has for it, nothing included, within the bound.
-
-    Should a dimension list hot keys so often that they do not fit, only the hottest stay;
-    the others join by shuffle, where adaptive execution splits what is skewed.
-    """
-    values = [name for name in dimension.columns if name != key]
-    while True:
-        keys = hot.select(F.col("hot_key").alias("_hot_key"))
-        listed = dimension.join(F.broadcast(keys), F.col(key) == F.col("_hot_key"), "left_semi")
-        entries = listed.select(F.col(key).alias("_entry_key"), F.struct(*values).alias("_hot"))
-        part = stored(keys.join(entries, F.col("_hot_key") == F.col("_entry_key"), "left").drop("_entry_key"), "hot-part")
-        if measured_bytes(part) <= max(broadcast_bytes, 1024 * 1024):
-            return part
-        least = hot.agg(F.min("rows")).first()[0]
-        hot = hot.where(F.col("rows") > 10 * least)
-
-
-def _scattered_join(rows: DataFrame, cold: DataFrame, row_key: str, settled: Column) -> DataFrame:
-    """Left join on the key by shuffle. Rows that are settled, or have no key, match nothing
-    here: they get a lane of their own each, which spreads them over all tasks."""
-    alone = settled | F.col(row_key).isNull()
-    lane = F.when(alone, F.col(POSITION) + 1).otherwise(F.lit(0).cast("bigint"))
-    # always 0, but not as a literal: seeing one, the optimizer would shuffle by the key alone
-    ground = F.pmod(F.xxhash64("_cold_key"), F.lit(1).cast("bigint"))
-    on = (F.col(row_key) == F.col("_cold_key")) & (F.col("_lane") == F.col("_ground"))
-    return rows.withColumn("_lane", lane).join(cold.withColumn("_ground", ground), on, "left")
-
-
-def with_group_count(
-    rows: DataFrame, key: str, out: str, broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_group_count(rows: DataFrame, key: str, out: str, strategy: str | None = None) -> DataFrame:
     """Every row with the number of rows of its key; a null key counts 0.
 
     What ``count(key) over (partition by key)`` gives, but the counting combines before the
-    shuffle and no task ever holds all rows of a key. Few keys: their counts are broadcast
-    and the rows stay where they are. Many keys: only those of at least ``hot_rows`` rows, of
-    which there can be no more than rows / hot_rows, are broadcast; all others are small, and
-    their counts join by shuffle.
+    shuffle, and the join back can split the rows of a hot key, which a window cannot.
     """
-    keyed = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
-    counts = stored(keyed, "group-counts")
-    everything = [F.col(name) for name in rows.columns]
-    if measured_bytes(counts) <= broadcast_bytes:
-        counted = rows.join(F.broadcast(counts), F.col(key) == F.col("_key"), "left")
-        return counted.select(*everything, F.coalesce("_n", F.lit(0)).alias(out))
-
-    hot = counts.where(F.col("_n") >= hot_rows).select(F.col("_key").alias("_hot_key"), F.col("_n").alias("_hot"))
-    cold = counts.where(F.col("_n") < hot_rows).select(F.col("_key").alias("_cold_key"), F.col("_n").alias("_cold"))
-    marked = with_position(rows).join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    counted = _scattered_join(marked, cold, key, F.col("_hot").isNotNull())
-    return counted.select(*everything, F.coalesce("_hot", "_cold", F.lit(0)).alias(out))
+    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    counted = rows.join(_hinted(counts, strategy), F.col(key) == F.col("_key"), "left")
+    return counted.select(*[F.col(name) for name in rows.columns], F.coalesce("_n", F.lit(0)).alias(out))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import FIELD_ROUTES, RECORD_KEY_SUFFIX, SOURCE_ROUTES, UNKNOWN_ROUTE
 from flightlane.functions.text import record_json
 from flightlane.operators.reshape import explode_once, settled
 
-MAX_RECORDS = 10_000
+#: Bytes of records in one message at most, unless one record alone has more.
+MAX_BYTES = 900_000
 
 
 def pack_records(rows: DataFrame, prefix: str | Column, columns: list[str], keep: list[str] | None = None) -> DataFrame:
@@ -19,23 +21,31 @@ def pack_records(rows: DataFrame, prefix: str | Column, columns: list[str], keep
 
 
 def pack_batches(
-    rows: DataFrame, source: str | Column, columns: list[str], max_records: int = MAX_RECORDS
+    rows: DataFrame, source: str | Column, columns: list[str], batch: str | Column = "0", max_bytes: int = MAX_BYTES
 ) -> DataFrame:
     """Messages with an array of records, keyed by source; no records, no message.
 
-    All rows of a source in one array would have to pass through one task, so every task cuts
-    its own rows, in their order, into arrays of ``max_records``. Call it before any shuffle,
-    where a repeated task cuts the same rows the same way.
+    All rows of a source in one array would have to pass through one task, so every task cuts its
+    own rows, in their order, into arrays of at most ``max_bytes``. Every message says which batch
+    it is of, which part of it, and how many parts the batch has for its source, so that they land
+    together. Call it before any shuffle, where a repeated task cuts the same rows
+    the same way.
     """
     place = F.monotonically_increasing_id()
     prepared = rows.select(
         (F.lit(source) if isinstance(source, str) else source).alias("key"),
-        F.spark_partition_id().alias("_task"),
-        F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / max_records).alias("_part"),
-        F.struct(place.alias("place"), F.struct(*columns).alias("record")).alias("_placed"),
+        F.spark_partition_id().alias("_task"), place.alias("_place"), F.struct(*columns).alias("_record"),
     )
-    grouped = prepared.groupBy("key", "_task", "_part").agg(F.array_sort(F.collect_list("_placed")).alias("_placed"))
-    return pack_arrays(grouped.select("key", F.col("_placed.record").alias("_records")), F.col("key"), "_records")
+    size = F.octet_length(F.to_json("_record", {"ignoreNullFields": "false"})) + 1
+    within = W.partitionBy("key", "_task").orderBy("_place")
+    cut = prepared.withColumn("_cut", F.floor(F.sum(size).over(within) / max_bytes)).groupBy("key", "_task", "_cut").agg(
+        F.array_sort(F.collect_list(F.struct("_place", "_record"))).alias("_placed"))
+    part = F.concat_ws("-", "_task", "_cut")
+    batched = F.lit(batch) if isinstance(batch, str) else batch
+    packed = pack_arrays(cut.select("key", batched.alias("batch"), part.alias("part"), F.col("_placed._record").alias("_records")),
+                         F.col("key"), "_records", ["batch", "part"])
+    parts = cut.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("parts"))
+    return packed.join(parts, F.col("key").eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def pack_arrays(rows: DataFrame, source: str | Column, array: str, keep: list[str] | None = None) -> DataFrame:
@@ -48,11 +58,14 @@ def pack_arrays(rows: DataFrame, source: str | Column, array: str, keep: list[st
 
 
 def parse_payload(messages: DataFrame, schema: str, value: str = "value", out: str = "payload") -> DataFrame:
-    """The value decoded by ``schema``, and whether it is JSON at all."""
-    return messages.withColumns({
-        out: F.from_json(F.col(value), schema),
-        "is_json": F.try_parse_json(F.col(value)).isNotNull(),
-    })
+    """The value decoded by ``schema``, and whether it is one JSON text and nothing else.
+
+    Of repeated names the last one counts. What stands behind the text makes it none: in brackets it
+    is an array of one element then, and so it is in double ones, whatever brackets it has itself.
+    """
+    text = F.col(value)
+    inside = [F.json_array_length(F.concat(F.lit("[" * n), text, F.lit("]" * n))) == 1 for n in (1, 2)]
+    return messages.withColumns({out: F.from_json(text, schema), "is_json": F.coalesce(inside[0] & inside[1], F.lit(False))})
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +74,10 @@ def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def unpack_batches(messages: DataFrame, schema: str, value: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """A row per record; a value that is one object counts as an array of one."""
+    """A row per record; a value that is one object counts as an array of one.
+
+    A value that is no JSON gives no row; take such messages with ``split_rejects`` beforehand.
+    """
     records = explode_once(messages, F.from_json(F.col(value), f"ARRAY<STRUCT<{schema}>>"), "_record", keep)
     return records.select(*keep or [], "_record.*")
 

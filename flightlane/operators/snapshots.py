@@ -1,5 +1,8 @@
 """A keyed table that is replaced as a whole while readers keep seeing a complete version.
 
+Meant for small tables that are written now and then: every version and commit stays until the
+folder is deleted.
+
 Versions are written next to each other; a version counts once its number stands in the
 commit list, so a job that dies half-way, or reads the table it replaces, harms nobody.
 Everything goes through Spark's own writers and works on any file system they know.
@@ -7,6 +10,8 @@ Everything goes through Spark's own writers and works on any file system they kn
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,45 +33,58 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def version(self) -> int | None:
-        """The newest committed version, or None when the table does not exist."""
+    def _commits(self) -> list:
+        """Commits that count: of several for one number the one with the least folder name."""
         try:
-            commits = self.spark.read.schema("version BIGINT").json(f"{self.path}/commits")
-            return commits.agg(F.max("version")).first()[0]
+            commits = self.spark.read.schema("version BIGINT, folder STRING, writer STRING, batch BIGINT").json(f"{self.path}/commits")
+            rows = sorted(commits.where("version is not null").collect(), key=lambda r: (r["version"], r["folder"]))
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
+        return list({r["version"]: r for r in reversed(rows)}.values())[::-1]
+
+    def version(self) -> int | None:
+        """The newest committed version, or None when the table does not exist."""
+        commits = self._commits()
+        return commits[-1]["version"] if commits else None
 
     def create_if_absent(self) -> bool:
         """Create the table empty; an existing one is left as it is. Says whether it did."""
         if self.version() is not None:
             return False
-        self.replace(self.spark.createDataFrame([], self.schema), version=0)
+        self.replace(self.spark.createDataFrame([], self.schema))
         return True
 
     def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
+        commits = self._commits()
+        if not commits:
             raise ValueError(f"no table at {self.path}")
-        return self.spark.read.schema(self.schema).parquet(self._folder(version))
-
-    def replace(self, rows: DataFrame, version: int | None = None) -> int:
-        """Write the next version and commit it. A version already committed stays: repeating
-        a write with the same number changes nothing."""
-        current = self.version()
-        if version is None:
-            version = 0 if current is None else current + 1
-        elif current is not None and version <= current:
-            return current
-        self._checked(rows).write.mode("overwrite").parquet(self._folder(version))
-        commit = self.spark.range(1, numPartitions=1).select(F.lit(version).cast("bigint").alias("version"))
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{commits[-1]['folder']}")
+
+    def replace(self, rows: DataFrame, writer: str | None = None, batch: int | None = None) -> int:
+        """Write the next version and commit it; returns the version that holds the rows.
+
+        A batch that a writer has committed already changes nothing, but is evaluated, as a stream's
+        state expects. When another writer has taken the same number meanwhile, one of the two wins
+        and the other raises.
+        """
+        commits = self._commits()
+        done = [c["version"] for c in commits if writer is not None and (c["writer"], c["batch"]) == (writer, batch)]
+        if done:
+            self._checked(rows).write.format("noop").mode("overwrite").save()
+            return done[-1]
+        version = commits[-1]["version"] + 1 if commits else 0
+        folder = f"v{version}-{uuid.uuid4().hex}"
+        self._checked(rows).write.parquet(f"{self.path}/data/{folder}")
+        commit = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).cast("bigint").alias("version"), F.lit(folder).alias("folder"),
+            F.lit(writer).cast("string").alias("writer"), F.lit(batch).cast("bigint").alias("batch"))
         commit.write.mode("append").json(f"{self.path}/commits")
+        if not any(c["folder"] == folder for c in self._commits()):
+            raise RuntimeError(f"another writer has committed version {version} of {self.path}")
         return version
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/v{version}"
-
     def _checked(self, rows: DataFrame) -> DataFrame:
         declared = {f.name: f.dataType for f in self.schema.fields}
         given = {f.name: f.dataType for f in rows.schema.fields}

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import FLIGHT_INDEX_FIELDS, FLIGHT_KEY, FLIGHT_PATHS
 from flightlane.functions import temporal as t
 from flightlane.functions.text import geopoint
 from flightlane.operators.documents import append_actions, index_actions
-from flightlane.operators.lookup import BROADCAST_BYTES, role_lookups
+from flightlane.operators.lookup import role_lookups
 from flightlane.operators.quality import complete, drop_incomplete
 from flightlane.operators.reshape import explode_records, flatten, settled
 
@@ -35,10 +35,10 @@ def typed_flights(flat: DataFrame) -> DataFrame:
     return drop_incomplete(settled(flat.withColumns(times), list(times)))
 
 
-def located_flights(flights: DataFrame, airports: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def located_flights(flights: DataFrame, airports: DataFrame, strategy: str | None = None) -> DataFrame:
     """Coordinates of both ends; an unknown airport leaves them null and the geo text empty."""
     coordinates = airports.select("iata", "latitude", "longitude")
-    located = role_lookups(flights, coordinates, "iata", ROLES, broadcast_bytes)
+    located = role_lookups(flights, coordinates, "iata", ROLES, strategy)
     return located.withColumns({f"{role}_geopoint": geopoint(f"{role}_latitude", f"{role}_longitude") for role in ROLES})
 
 
@@ -55,18 +55,24 @@ def timed_flights(flights: DataFrame) -> DataFrame:
     return features.withColumns({start: t.iso_millis(start), end: t.iso_millis(end), "flight_date": t.date_text("flight_date")})
 
 
-def valid_flights(
-    documents: DataFrame, airports: DataFrame, duration: str = "hours", broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Flights that may be indexed.
+def candidate_flights(documents: DataFrame, airports: DataFrame, strategy: str | None = None) -> DataFrame:
+    """Flights with all that the gate and the index need."""
+    return timed_flights(located_flights(typed_flights(flat_flights(documents)), airports, strategy))
+
+
+def flight_gate(duration: str = "hours") -> Column:
+    """What a candidate needs to be indexed.
 
     The gate asks for the coordinates only: the flat columns have no nulls after the drop, and
     what is derived from them has none either. In hours, the rounded duration must be positive;
     in minutes, negative durations stay.
     """
-    flights = timed_flights(located_flights(typed_flights(flat_flights(documents)), airports, broadcast_bytes))
-    conditions = [F.col("flight_duration_hours") > 0] if duration == "hours" else []
-    return flights.where(complete(COORDINATES, *conditions))
+    return complete(COORDINATES, *[F.col("flight_duration_hours") > 0] * (duration == "hours"))
+
+
+def valid_flights(documents: DataFrame, airports: DataFrame, duration: str = "hours", strategy: str | None = None) -> DataFrame:
+    """Flights that may be indexed."""
+    return candidate_flights(documents, airports, strategy).where(flight_gate(duration))
 
 
 def flight_actions(flights: DataFrame, index: str) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.fixed_values import STATE_FETCH_CAP
 from flightlane.operators.messages import pack_arrays, route_by_key
 from flightlane.sources.html_tables import with_ratings
 from flightlane.sources.vectors import with_vectors
-from flightlane.streaming.landing import history_per_second, latest_per_source, object_name
+from flightlane.streaming.landing import history_per_second, latest_batches, latest_per_source, object_name
+
 
 def rating_messages(pages: DataFrame, source: str, keep: list[str], html: str = "html") -> DataFrame:
     """One message per fetched page that has ratings, its records in an array."""
@@ -17,9 +17,9 @@ def rating_messages(pages: DataFrame, source: str, keep: list[str], html: str =
 
 
 def state_messages(
-    payloads: DataFrame, source: str, keep: list[str], cap: int | None = STATE_FETCH_CAP, value: str = "value"
+    payloads: DataFrame, source: str, keep: list[str], cap: int | None = None, value: str = "value"
 ) -> DataFrame:
-    """One message per fetched payload that has state vectors, its records in an array."""
+    """One message per fetched payload that has state vectors, its records in an array; all of them without a cap."""
     vectors = with_vectors(payloads, value, cap, out="_records")
     return pack_arrays(vectors.withColumnRenamed(value, "_payload"), source, "_records", keep)
 
@@ -30,6 +30,12 @@ def land_latest(messages: DataFrame, order_by: list[str], route: Column | None =
     return latest_per_source(routed, "route", order_by).withColumn("object", object_name(F.col("route")))
 
 
+def land_latest_batches(messages: DataFrame, route: Column | None = None, batch: str = "batch") -> DataFrame:
+    """Per route all messages of its last batch, under its fixed object name."""
+    routed = messages.withColumn("route", route_by_key() if route is None else route)
+    return latest_batches(routed, "route", batch).withColumn("object", object_name(F.col("route")))
+
+
 def land_history(messages: DataFrame, order_by: list[str], timestamp: str = "timestamp", route: Column | None = None) -> DataFrame:
     """Per route and second the last message, under its stamped object name."""
     routed = messages.withColumn("route", route_by_key() if route is None else route)

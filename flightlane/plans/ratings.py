@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import RATING_FIELDS, RATING_KEY
@@ -11,10 +11,17 @@ from flightlane.operators.documents import merge_documents, upsert_actions
 from flightlane.operators.quality import complete
 
 
+def named_ratings(ratings: DataFrame) -> DataFrame:
+    return ratings.select(F.col("Airline").alias("airline"), F.col("Stars").alias("stars"))
+
+
+def rating_gate() -> Column:
+    return complete(["airline", "stars"])
+
+
 def valid_ratings(ratings: DataFrame, run_time: str | None = None) -> DataFrame:
     """Renamed, stamped with the run's time, and only with both name and stars."""
-    renamed = ratings.select(F.col("Airline").alias("airline"), F.col("Stars").alias("stars"))
-    return renamed.where(complete(["airline", "stars"])).withColumn("indexed_at", ingest_stamp(run_time))
+    return named_ratings(ratings).where(rating_gate()).withColumn("indexed_at", ingest_stamp(run_time))
 
 
 def rating_actions(ratings: DataFrame, index: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import STATE_INDEX_FIELDS, STATE_KEY, STATE_REDUCED_FIELDS
@@ -28,10 +28,14 @@ def state_columns(states: DataFrame, fields: list[str], keep: list[str] | None =
     return derived.select(*fields, *keep or [])
 
 
+def airborne_gate() -> Column:
+    """A complete state of an aircraft in the air."""
+    return complete(NEEDS, is_false(F.col("on_ground")))
+
+
 def valid_states(states: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Complete states of aircraft in the air."""
-    airborne = states.where(complete(NEEDS, is_false(F.col("on_ground"))))
-    return state_columns(airborne, STATE_INDEX_FIELDS, keep)
+    return state_columns(states.where(airborne_gate()), STATE_INDEX_FIELDS, keep)
 
 
 def valid_states_reduced(states: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -24,6 +24,12 @@ def latest_per_source(messages: DataFrame, source: str, order_by: list[str]) ->
     return latest_by(messages, [source], order_by)
 
 
+def latest_batches(messages: DataFrame, source: str, batch: str = "batch") -> DataFrame:
+    """All messages of the last batch of every source. A batch may have many parts; none may be left out."""
+    last = messages.groupBy(F.col(source).alias("_source")).agg(F.max(batch).alias("_batch"))
+    return messages.join(last, F.col(source).eqNullSafe(F.col("_source")) & (F.col(batch) == F.col("_batch")), "left_semi")
+
+
 def history_per_second(messages: DataFrame, source: str, order_by: list[str], timestamp: str = "timestamp") -> DataFrame:
     """All messages under (source, epoch second); in the same second the later one stays."""
     stamped = messages.withColumn("epoch_second", F.unix_timestamp(timestamp))
@@ -41,14 +47,20 @@ def object_path(path: str, name: str) -> str:
     return f"{path}/object={name}"
 
 
+def _by_folder(rows: DataFrame, source: str) -> DataFrame:
+    """With a folder name that is safe for any key; the key itself stays a column as it is."""
+    return rows.withColumn("folder", F.concat(F.lit("k"), F.coalesce(F.hex(F.encode(F.col(source).cast("string"), "UTF-8")), F.lit("_none"))))
+
+
 def land_history(history: DataFrame, path: str, source: str) -> None:
-    """Append to a table with one folder per source; values are written as they are."""
-    history.write.mode("append").partitionBy(source).parquet(path)
+    """Append to a table with one folder per source; keys and values are written as they are."""
+    _by_folder(history, source).write.mode("append").partitionBy("folder").parquet(path)
 
 
 def read_history(spark, path: str, source: str, order_by: list[str]) -> DataFrame:
     """The landed history; a second that two runs have landed is settled here."""
-    return latest_by(spark.read.parquet(path), [source, "epoch_second"], order_by)
+    landed = spark.read.parquet(path)
+    return latest_by(landed.drop("folder", "batch"), [source, "epoch_second"], order_by)
 
 
 def stream_latest(
@@ -57,13 +69,14 @@ def stream_latest(
     """Keep ``table`` at the last message per source.
 
     Spark's state holds one row per source. Each micro-batch writes the whole (small) result
-    as a version numbered by the batch, so a repeated batch changes nothing and readers see
-    one version only. Offsets and state lie beside the versions, since they belong together.
-    Without ``interval`` it takes what is there and stops.
+    as a new version that names its batch, so a repeated batch changes nothing and readers see
+    one version only, also where other writers replace the table in between. Offsets and state lie
+    beside the versions, since they belong together. Without ``interval`` it takes what is there
+    and stops.
     """
 
     def land(batch: DataFrame, number: int) -> None:
-        table.replace(batch, version=number + 1)
+        table.replace(batch, writer="stream", batch=number)
 
     latest = latest_per_source(messages, source, order_by)
     return _start(latest.writeStream.outputMode("complete").foreachBatch(land), f"{table.path}/checkpoint", interval)
@@ -107,7 +120,7 @@ def stream_history(
 
     def land(batch: DataFrame, number: int) -> None:
         history = history_per_second(batch, source, order_by)
-        history.write.mode("overwrite").partitionBy(source).parquet(f"{path}/batch={number}")
+        _by_folder(history, source).write.mode("overwrite").partitionBy("folder").parquet(f"{path}/batch={number}")
 
     return _start(messages.writeStream.foreachBatch(land), checkpoint, interval)
 

@@ -116,6 +116,17 @@ MESSAGES = f"""
     union all
     select 'opensky', event_id, ts, 2, event_type from events"""
 
+PAYLOADS = """
+        with r as (
+            select event_id, case
+                when event_type = 'error' and value < 20 then left(props, length(props) - 1)
+                when event_type = 'click' and value < 20 then props || ' trailing'
+                when event_type = 'view' and value < 20 then '{"k":-1,' || substring(props, 2)
+                when event_type = 'purchase' and value < 20 then props || '],[' || props
+                when event_type = 'purchase' and value > 60 then ''
+                when event_type = 'view' and value > 60 then null
+                else props end as t
+            from events)"""
 ORACLES = {
     "flatten_nested_records": """
         with legs as (
@@ -142,12 +153,10 @@ ORACLES = {
                c_acctbal as latitude, c_nationkey + 0.5::double as longitude,
                case when c_nationkey >= 5 then c_nationkey end as timezone_offset
         from customer""",
-    "json_payload_parse": f"""
-        with r as (select event_id, case when event_type = 'error' and value < 20 then left(props, length(props) - 1) else props end as t from events)
-        select event_id, json_valid(t) as is_json, case when json_valid(t) then cast(json_extract(t, '$.k') as bigint) end as k from r""",
-    "json_payload_rejects": """
-        with r as (select event_id, case when event_type = 'error' and value < 20 then left(props, length(props) - 1) else props end as t from events)
-        select event_id, t as value from r where not json_valid(t)""",
+    "json_payload_parse": f"""{PAYLOADS}
+        select event_id, coalesce(json_valid(t), false) as is_json,
+               case when json_valid(t) then cast(regexp_extract(t, '"k": *([0-9]+)[^"]*$', 1) as bigint) end as k from r""",
+    "json_payload_rejects": f"""{PAYLOADS} select event_id, t as value from r where not coalesce(json_valid(t), false)""",
     "positional_array_to_struct": f"""{STATES}
         select event_id, icao24, callsign, origin_country, time_position, last_contact, longitude, latitude, altitude,
                on_ground, velocity, heading, vertical_rate, geo_altitude, squawk, spi from t
@@ -238,6 +247,8 @@ ORACLES = {
         select 'customers' as index, cast(c_custkey as varchar) as id, c_custkey, case when c_acctbal >= 0 then c_name end as name,
                true as has_name, 'true' as doc_as_upsert from customer""",
     "pack_batch_messages": "select event_type as key, event_id, user_id, value, props, true as bounded from events",
+    "land_packed_batches": """
+        select 's' || event_type || '_data.json' as object, event_id, event_type, value from events where event_id % 2 = 1""",
     "pack_batch_messages_one_key": "select 'aviation_data' as key, event_type, event_id, value from events",
     "pack_record_messages": """
         select event_type || '_data' as key, event_id, user_id, case when value > 20 then props end as note, true as has_note
@@ -293,3 +304,21 @@ ORACLES = {
 }
 ORACLES["stream_land_latest"] = ORACLES["land_latest_per_source"]
 ORACLES["stream_route_batches"] = ORACLES["route_by_field"]
+
+ORACLES["job_index_flights"] = f"""
+    with docs as ({ORACLES["flights_index"]}),
+    counts as ({FLIGHTS}, place as (
+            select cast(c_custkey as varchar) as iata from customer, (values (1), (2)) copies(n) where n = 1 or c_nationkey = 3),
+        found as (select count(*) as n from legs l left join place a on a.iata = l.start left join place b on b.iata = l.stop)
+        select (select count(*) from valid where flight_duration_hours > 0) as ok, n from found)
+    select docs.*, ok as succeeded, n - ok as failed from docs, counts"""
+ORACLES["job_index_states"] = f"""{STATES},
+    ok as (select *, icao24 || '_' || timestamp as id from t where {STATE_GATE}),
+    r as (select {STATE_COLUMNS}, id, row_number() over (partition by id order by {", ".join(
+        name + " desc" for name in STATE_COLUMNS.replace("\n", " ").replace(" ", "").split(","))}) as n from ok)
+    select * exclude (n), (select count(*) from ok) as succeeded, 2 * (select count(*) from events) - (select count(*) from ok) as failed
+    from r where n = 1"""
+ORACLES["job_upsert_ratings"] = f"""
+    select *, (select count(*) from ({rating_run(2)})) as succeeded,
+           (select count(*) from customer) - (select count(*) from ({rating_run(2)})) as failed
+    from ({ORACLES["ratings_upsert"]})"""

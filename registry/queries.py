@@ -13,7 +13,7 @@ from flightlane.functions import text as x
 from flightlane.operators import documents as d
 from flightlane.operators import lookup, messages, quality, reshape
 from flightlane.operators.snapshots import SnapshotTable, index_schema
-from flightlane.plans import flights, ingest, ratings, states
+from flightlane.plans import flights, ingest, jobs, ratings, states
 from flightlane.session import new_path
 from flightlane.sources import files, html_tables, vectors
 from flightlane.sources.messages import stream_files
@@ -66,19 +66,28 @@ def csv_dimension_scan(spark, sf):
         spark, path, v.AIRPORT_SCHEMA, ["airport_id", "iata", "latitude", "longitude", "timezone_offset"])
 
 
+def _payloads(spark, sf):
+    """Objects, some cut short, some with text behind them, some with a name twice, some empty or no text at all."""
+    props, kind, low = F.col("props"), F.col("event_type"), F.col("value") < 20
+    value = (
+        F.when((kind == "error") & low, F.expr("left(props, length(props) - 1)"))
+        .when((kind == "click") & low, F.concat(props, F.lit(" trailing")))
+        .when((kind == "view") & low, F.concat(F.lit('{"k":-1,'), F.substring(props, 2, 10_000)))
+        .when((kind == "purchase") & low, F.concat(props, F.lit("],["), props))
+        .when((kind == "purchase") & (F.col("value") > 60), "").when((kind == "view") & (F.col("value") > 60), None).otherwise(props))
+    return i.table(spark, sf, "events").select("event_id", value.alias("value"))
+
+
 @query
 def json_payload_parse(spark, sf):
-    broken = (F.col("event_type") == "error") & (F.col("value") < 20)
-    events = i.table(spark, sf, "events")
-    received = events.select("event_id", F.when(broken, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props")).alias("value"))
-    return messages.parse_payload(received, "k BIGINT").select("event_id", "is_json", F.col("payload.k").alias("k"))
+    received = _payloads(spark, sf)
+    k = F.when(F.col("is_json"), F.col("payload.k"))
+    return messages.parse_payload(received, "k BIGINT").select("event_id", "is_json", k.alias("k"))
 
 
 @query
 def json_payload_rejects(spark, sf):
-    broken = (F.col("event_type") == "error") & (F.col("value") < 20)
-    events = i.table(spark, sf, "events")
-    received = events.select("event_id", F.when(broken, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props")).alias("value"))
+    received = _payloads(spark, sf)
     _, rejects = messages.split_rejects(messages.parse_payload(received, "k BIGINT"))
     return rejects
 
@@ -149,7 +158,8 @@ def boolean_text_filter(spark, sf):
     flags = orders.select(
         "o_orderkey",
         F.when(status == "F", True).when(status == "O", False).alias("flag"),
-        F.when(status == "F", "false").when(F.col("o_orderpriority") == "5-LOW", "no idea").when(status == "O", "true").alias("flag_text"),
+        F.when(status == "F", " False").when(F.col("o_orderpriority") == "5-LOW", "no idea").when(F.col("o_orderpriority") == "1-URGENT", "0")
+        .when(F.col("o_orderpriority") == "2-HIGH", "no").when(F.col("o_orderpriority") == "3-MEDIUM", "f").when(status == "O", "true").alias("flag_text"),
     )
     by_flag = flags.where(x.is_false(F.col("flag"))).select("o_orderkey", F.lit("boolean").alias("kind"))
     by_text = flags.where(x.is_false(F.col("flag_text"))).select("o_orderkey", F.lit("text").alias("kind"))
@@ -270,8 +280,8 @@ def role_playing_lookup(spark, sf):
 
 @query
 def role_playing_lookup_large(spark, sf):
-    """The way a dimension beyond the broadcast bound takes."""
-    return lookup.role_lookups(_legs(spark, sf), _suppliers(spark, sf), "s_suppkey", ROLES, broadcast_bytes=0, hot_rows=1000)
+    """The way a dimension takes that is too large to broadcast."""
+    return lookup.role_lookups(_legs(spark, sf), _suppliers(spark, sf), "s_suppkey", ROLES, strategy="merge")
 
 
 def _known_customers(spark, sf):
@@ -290,7 +300,7 @@ def left_lookup_unmatched(spark, sf):
 @query
 def left_lookup_unmatched_large(spark, sf):
     orders = i.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"))
-    return lookup.left_lookup(orders, _known_customers(spark, sf), "o_custkey", "c_custkey", broadcast_bytes=0, hot_rows=15)
+    return lookup.left_lookup(orders, _known_customers(spark, sf), "o_custkey", "c_custkey", strategy="merge")
 
 
 @query
@@ -313,9 +323,9 @@ def partition_count_arrival(spark, sf):
 
 @query
 def partition_count_many_keys(spark, sf):
-    """The way counts beyond the broadcast bound take: hot keys apart from all others."""
+    """The way counts take that are too many to broadcast."""
     orders = i.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("airline"))
-    return lookup.with_group_count(orders, "airline", "airline_count", broadcast_bytes=0, hot_rows=10)
+    return lookup.with_group_count(orders, "airline", "airline_count", strategy="merge")
 
 
 # --- keyed documents ----------------------------------------------------------------------
@@ -378,10 +388,22 @@ def bulk_action_lines(spark, sf):
 def pack_batch_messages(spark, sf):
     events = i.table(spark, sf, "events")
     columns = ["event_id", "user_id", "value", "props"]
-    packed = messages.pack_batches(events, F.col("event_type"), columns, max_records=500)
+    packed = messages.pack_batches(events, F.col("event_type"), columns, max_bytes=30_000)
     schema = "event_id BIGINT, user_id BIGINT, value DOUBLE, props STRING"
-    records = messages.unpack_batches(packed, schema, keep=["key", "records"])
-    return records.select("key", *columns, F.col("records").between(1, 500).alias("bounded"))
+    bounded = packed.withColumn("bounded", (F.octet_length("value") <= 31_000) & (F.col("parts") >= 1))
+    return messages.unpack_batches(bounded, schema, keep=["key", "bounded"]).select("key", *columns, "bounded")
+
+
+@query
+def land_packed_batches(spark, sf):
+    """Batches of many parts per source: the last one of each lands with all its parts and is read back."""
+    events = i.table(spark, sf, "events").repartition(7, "event_id")
+    columns = ["event_id", "event_type", "value"]
+    first, second = (messages.pack_batches(events.where(F.col("event_id") % 2 == n), F.concat(F.lit("s"), F.col("event_type")), columns, str(n), 4_000) for n in (0, 1))
+    path = new_path(spark, "batches")
+    landing.land_objects(ingest.land_latest_batches(first.unionByName(second), route=F.col("key")), path)
+    landed = spark.read.text(path)
+    return messages.unpack_batches(landed, "event_id BIGINT, event_type STRING, value DOUBLE", keep=["object"])
 
 
 @query
@@ -554,3 +576,41 @@ def ingest_read_landed(spark, sf):
 def ingest_land_history(spark, sf):
     landed = ingest.land_history(_fetched(spark, sf), ["fetch_no"], "ts")
     return _first_record(landed).select("route", "object", "fetch_no", "records", "first")
+
+
+def _reported(table, report):
+    return table.read().withColumns({name: F.lit(n).cast("bigint") for name, n in report.items()})
+
+
+@query
+def job_index_flights(spark, sf):
+    """From files to the table of flights and its report, run twice."""
+    path = new_path(spark, "job-flights")
+    i.flight_documents(i.table(spark, sf, "events")).write.json(f"{path}/documents")
+    airports = i.airports(i.table(spark, sf, "customer"))
+    blank = F.lit("x")
+    airports.select(F.lit(1), blank, blank, blank, "iata", blank, "latitude", "longitude", F.lit(0), F.lit(0), blank, blank, blank, blank).write.csv(f"{path}/airports")
+    for _ in range(2):
+        table, report = jobs.index_flights(spark, f"{path}/documents", f"{path}/airports", f"{path}/table")
+    return _reported(table, report)
+
+
+@query
+def job_index_states(spark, sf):
+    """From files to the table of states and its report, run twice."""
+    path = new_path(spark, "job-states")
+    # the key is of an hour here, so its states differ; which one stays follows from their values
+    _states(spark, sf).drop("event_id").write.json(f"{path}/states")
+    for _ in range(2):
+        table, report = jobs.index_states(spark, f"{path}/states", f"{path}/table")
+    return _reported(table, report)
+
+
+@query
+def job_upsert_ratings(spark, sf):
+    """From the files of two runs to the table of ratings and the report of the second."""
+    path = new_path(spark, "job-ratings")
+    for run, stamp in ((1, FIRST_RUN), (2, SECOND_RUN), (2, SECOND_RUN)):
+        i.rating_run(i.table(spark, sf, "customer"), run).write.mode("overwrite").json(f"{path}/run{run}")
+        table, report = jobs.upsert_ratings(spark, f"{path}/run{run}", f"{path}/table", stamp)
+    return _reported(table, report)

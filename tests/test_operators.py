@@ -69,67 +69,49 @@ def test_drop_incomplete(spark):
 keys = st.one_of(st.none(), st.integers(0, 5))
 
 
-@pytest.mark.parametrize("bound, hot", [(lookup.BROADCAST_BYTES, 1), (0, 10**6), (0, 250), (0, 1)])
-def test_lookup_is_a_left_join(spark, bound, hot):
+@pytest.mark.parametrize("strategy", [None, "merge", "broadcast", "shuffle_hash"])
+def test_lookup_is_a_left_join(spark, strategy):
     # key 1 holds a third of the rows, key 2 is listed twice, key 9 is unknown
     facts = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 2).otherwise(F.when(F.col("id") > 450, 9)).alias("k"))
     dim = spark.createDataFrame([(1, "one"), (2, "two"), (2, "deux"), (5, "five"), (None, "none")], "key bigint, name string")
-    got = Counter(tuple(r) for r in lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=bound, hot_rows=hot).collect())
+    got = Counter(tuple(r) for r in lookup.left_lookup(facts, dim, "k", "key", strategy).collect())
     names = {1: ["one"], 2: ["two", "deux"]}
     want = Counter((r["id"], r["k"], n) for r in facts.collect() for n in names.get(r["k"], [None]))
     assert got == want
 
 
-@pytest.mark.parametrize("bound", [lookup.BROADCAST_BYTES, 0])
-def test_roles_share_a_dimension(spark, rows, bound):
+@pytest.mark.parametrize("strategy", [None, "merge"])
+def test_roles_share_a_dimension(spark, rows, strategy):
     flights = spark.createDataFrame([(1, "CDG", "LHR"), (2, "ZZZ", "CDG"), (3, None, "\\N")], "id int, a string, b string")
     dim = spark.createDataFrame([("CDG", 49.01), ("LHR", 51.47)], "iata string, latitude double")
-    found = lookup.role_lookups(flights, dim, "iata", {"departure": "a", "arrival": "b"}, bound, 1)
+    found = lookup.role_lookups(flights, dim, "iata", {"departure": "a", "arrival": "b"}, strategy)
     assert found.columns == ["id", "a", "b", "departure_latitude", "arrival_latitude"]
     assert [(r["departure_latitude"], r["arrival_latitude"]) for r in rows(found, "id")] == [(49.01, 51.47), (None, 49.01), (None, None)]
 
 
-def test_large_lookup_spreads_a_hot_key(spark):
-    # key 1 is hot and known, key 9 hot and unknown, the rest has no key
-    facts = spark.range(0, 9000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 9).alias("k"))
-    dim = spark.createDataFrame([(1, "one")], "key int, name string")
-    settings_before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=0, hot_rows=1000)
-        assert "SortMergeJoin" in plan(joined)
-        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", settings_before)
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / 8
-
-
-def test_hot_keys_that_do_not_fit_join_by_shuffle(spark):
-    facts = spark.range(300).select("id", F.when(F.col("id") < 200, 1).otherwise(2).alias("k"))
-    dim = spark.range(600).select(F.when(F.col("id") < 3, 1).otherwise(2).alias("key"), F.repeat(F.lit("x"), 4000).alias("wide"))
-    hot = lookup.hot_keys(facts, ["k"], 1)
-    assert sorted(r["hot_key"] for r in hot.collect()) == [1, 2]
-    kept = lookup._hot_part(dim, "key", hot, 0)
-    assert lookup.measured_bytes(kept) <= 1024 * 1024
-    assert lookup.left_lookup(facts, dim, "k", "key", broadcast_bytes=0, hot_rows=1).count() == 200 * 3 + 100 * 597
-
-
-@given(st.lists(keys, max_size=30), st.sampled_from([(10**6, 10**6), (0, 10**6), (0, 3), (0, 1)]))
+def test_lookup_runs_no_job_and_takes_a_dimension_of_keys_alone(spark):
+    facts = spark.range(20).select(F.col("id").alias("k"))
+    dim = spark.range(5).select(F.raise_error(F.lit("run")).cast("bigint").alias("key"))
+    for strategy in (None, "merge"):
+        assert lookup.left_lookup(facts, dim, "k", "key", strategy).columns == ["k"]
+        assert lookup.left_lookup(facts, spark.range(5).toDF("key"), "k", "key", strategy).count() == 20
+    assert "SortMergeJoin" in plan(lookup.left_lookup(facts, spark.range(5).toDF("key"), "k", "key", "merge"))
+
+
+@given(st.lists(keys, max_size=30), st.sampled_from([None, "merge"]))
 @settings(max_examples=12, deadline=None)
-def test_group_count_is_the_window_count(spark, values, bounds):
+def test_group_count_is_the_window_count(spark, values, strategy):
     df = spark.createDataFrame(list(enumerate(values)), "id int, k int")
-    counted = lookup.with_group_count(df, "k", "n", broadcast_bytes=bounds[0], hot_rows=bounds[1])
+    counted = lookup.with_group_count(df, "k", "n", strategy)
     size = Counter(values)
     assert sorted((r["id"], r["k"], r["n"]) for r in counted.collect()) == [
         (i, k, 0 if k is None else size[k]) for i, k in enumerate(values)]
 
 
-def test_count_has_no_window_and_few_keys_move_no_rows(spark):
+def test_count_has_no_window(spark):
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
-    text = plan(lookup.with_group_count(df, "k", "n"))
-    assert "Window" not in text and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "Window" not in plan(lookup.with_group_count(df, "k", "n"))
+    assert "SortMergeJoin" in plan(lookup.with_group_count(df, "k", "n", "merge"))
 
 
 # --- keyed documents
@@ -186,6 +168,24 @@ def test_random_ids(spark):
 # --- snapshot table
 
 
+def test_two_writers_of_one_version_do_not_both_win(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("a",)], "id string")
+    one, two = (SnapshotTable(spark, str(tmp_path / "t"), df.schema) for _ in range(2))
+    checked, lost = one._checked, []
+
+    def meanwhile(rows):
+        monkeypatch.setattr(one, "_checked", checked)
+        two.replace(df.unionAll(df))
+        return checked(rows)
+
+    monkeypatch.setattr(one, "_checked", meanwhile)
+    try:
+        one.replace(df)
+    except RuntimeError:
+        lost.append(1)
+    assert two.read().count() == (2 if lost else 1) and two.version() == 0
+
+
 def test_snapshot_table(spark, tmp_path):
     df = spark.createDataFrame([("a", "1,2")], "id string, geopoint string")
     table = SnapshotTable(spark, str(tmp_path / "t"), index_schema(df.schema, {"geopoint": "geo_point"}))
@@ -196,12 +196,13 @@ def test_snapshot_table(spark, tmp_path):
     assert table.replace(df) == 1 and not table.create_if_absent()
     assert table.replace(table.read().unionAll(table.read())) == 2 and table.read().count() == 2
     assert table.read().schema["geopoint"].metadata == {"index_type": "geo_point"}
-    assert table.replace(df, version=2) == 2 and table.read().count() == 2
+    assert table.replace(df, "stream", 0) == 3 and table.read().count() == 1
+    assert table.replace(df.unionAll(df), "stream", 0) == 3 and table.read().count() == 1
     with pytest.raises(ValueError):
         table.replace(df.withColumn("geopoint", F.lit(1)))
     with pytest.raises(ValueError):
         index_schema(df.schema, {"nowhere": "geo_point"})
-    assert SnapshotTable(spark, table.path, table.schema).version() == 2
+    assert SnapshotTable(spark, table.path, table.schema).version() == 3
 
 
 def test_uncommitted_version_is_not_seen(spark, tmp_path):
@@ -218,9 +219,13 @@ def test_uncommitted_version_is_not_seen(spark, tmp_path):
 
 def test_pack_batches_is_bounded_and_whole(spark):
     df = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") < 700, "hot").otherwise("cold").alias("source"))
-    packed = messages.pack_batches(df, F.col("source"), ["id"], max_records=60)
+    packed = messages.pack_batches(df, F.col("source"), ["id"], "7", max_bytes=600)
     got = packed.collect()
-    assert max(r["records"] for r in got) <= 60 and {r["key"] for r in got} == {"hot", "cold"}
+    assert max(len(r["value"]) for r in got) <= 620 and {r["key"] for r in got} == {"hot", "cold"}
+    assert {r["batch"] for r in got} == {"7"}
+    for key in ("hot", "cold"):
+        parts = [r["part"] for r in got if r["key"] == key]
+        assert len(set(parts)) == len(parts) == next(r["parts"] for r in got if r["key"] == key) > 4
     ids = [[v["id"] for v in json.loads(r["value"])] for r in got]
     assert all(part == sorted(part) for part in ids)
     assert sorted(i for part in ids for i in part) == list(range(1000))
@@ -252,6 +257,14 @@ def test_whole_arrays_route_after_unpacking(spark, rows):
     assert [r["Airline"] for r in rows(messages.unpack_batches(df, "Airline STRING"), "Airline")] [-3:] == ["A", "B", "C"]
 
 
+@pytest.mark.parametrize("text, valid", [
+    ('{"k":1,"k":2}', True), ('{"k":1} trailing', False), ('{"k":1}{"k":2}', False), ('{"k":1},{"k":2}', False), ("[1],[2]", False),
+    ("1],[2", False), ("[]", True), ("1", True), ('"a"', True), ("null", True), ("", False), (" ", False), ("]", False), ('{"k":', False)])
+def test_what_is_json(spark, text, valid):
+    df = spark.createDataFrame([(text,)], "value string")
+    assert messages.parse_payload(df, "k BIGINT").first()["is_json"] == valid
+
+
 def test_rejects(spark, rows):
     df = spark.createDataFrame([('{"k":1}',), ('{"k":',), (None,)], "value string")
     good, bad = messages.split_rejects(messages.parse_payload(df, "k BIGINT"))

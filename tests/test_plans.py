@@ -49,9 +49,9 @@ def landed(spark, tmp_path):
             read_dimension(spark, str(tmp_path / "airports.dat"), AIRPORT_SCHEMA))
 
 
-@pytest.mark.parametrize("bound", [10**6, 0])
-def test_flights(landed, rows, bound):
-    valid = flights.valid_flights(*landed, broadcast_bytes=bound)
+@pytest.mark.parametrize("strategy", [None, "merge"])
+def test_flights(landed, rows, strategy):
+    valid = flights.valid_flights(*landed, strategy=strategy)
     assert sorted(r["flight_number"] for r in rows(valid)) == ["1"] * 4 + ["8"] * 2
     actions = flights.flight_actions(valid, "flights")
     index = rows(d.index_documents(actions, ["order"]), "id")
@@ -91,8 +91,8 @@ def test_flight_plan(landed):
     text = flights.valid_flights(*landed)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
-    large = flights.valid_flights(*landed, broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert large.count("_ground") >= 2
+    large = flights.valid_flights(*landed, strategy="merge")._jdf.queryExecution().executedPlan().toString()
+    assert large.count("SortMergeJoin") == 2
 
 
 def vector(icao="a", time_position=1737799200, on_ground=False, squawk="77", **changes):
@@ -148,7 +148,7 @@ def test_ingest_feeds_the_jobs(spark, tmp_path, rows):
         "fetch int, value string")
     sent = ingest.rating_messages(pages, "Skytrax", ["fetch"]).unionByName(ingest.state_messages(payloads, "OpenSky", ["fetch"]))
     assert sorted((r["key"], r["fetch"], r["records"]) for r in rows(sent)) == [
-        ("OpenSky", 1, 50), ("OpenSky", 2, 50), ("Skytrax", 1, 1), ("Skytrax", 2, 1)]
+        ("OpenSky", 1, 60), ("OpenSky", 2, 60), ("Skytrax", 1, 1), ("Skytrax", 2, 1)]
     latest = rows(ingest.land_latest(sent, ["fetch"]), "route")
     assert [(r["route"], r["object"], r["fetch"]) for r in latest] == [
         ("opensky", "opensky_data.json", 2), ("skytrax", "skytrax_data.json", 2)]
@@ -160,7 +160,7 @@ def test_ingest_feeds_the_jobs(spark, tmp_path, rows):
     assert [(r["airline"], r["stars"]) for r in rows(ratings.valid_ratings(read))] == [("BB", 5)]
     read = read_json(spark, landing.object_path(path, "opensky_data.json"), STATE_FILE_SCHEMA)
     assert {r["icao24"][:2] for r in rows(read)} == {"1-"}
-    assert states.valid_states(read).count() == 50
+    assert states.valid_states(read).count() == 60
 
 
 def test_history_names(spark, rows):

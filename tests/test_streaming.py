@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from flightlane.operators.messages import route_by_key
@@ -49,6 +50,36 @@ def test_latest_over_restarts_is_the_batch_result(spark, folder, tmp_path):
     assert table.version() == 3
 
 
+def test_a_batch_that_was_committed_already_and_other_writers_do_not_stop_the_stream(spark, folder, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "latest"), landing.latest_schema(routed(spark, folder), "route", ORDER))
+    replace, killed = table.replace, []
+
+    def commit_and_die(*rows, **which):
+        done = replace(*rows, **which)
+        if not killed:
+            killed.append(1)
+            raise RuntimeError("killed behind the commit")
+        return done
+
+    monkeypatch.setattr(table, "replace", commit_and_die)
+    with pytest.raises(StreamingQueryException):
+        landing.stream_latest(routed(spark, folder), table, "route", ORDER).awaitTermination()
+    monkeypatch.setattr(table, "replace", replace)
+    landing.stream_latest(routed(spark, folder), table, "route", ORDER).awaitTermination()
+    table.replace(table.read().limit(0))
+    write(spark, folder, BATCHES[2])
+    landing.stream_latest(routed(spark, folder), table, "route", ORDER).awaitTermination()
+    batch = landing.latest_per_source(spark.read.parquet(folder).withColumn("route", route_by_key()), "route", ORDER)
+    assert sorted(map(str, table.read().select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+
+
+def test_keys_of_the_history_come_back_as_they_are(spark, tmp_path):
+    keys = ["001", "002", "", None, "a/b=c", "k_none"]
+    rows = spark.createDataFrame([(k, "v", n) for n, k in enumerate(keys)], "key string, value string, epoch_second bigint")
+    landing.land_history(rows, str(tmp_path / "h"), "key")
+    assert {r["epoch_second"]: r["key"] for r in landing.read_history(spark, str(tmp_path / "h"), "key", ["value"]).collect()} == dict(enumerate(keys))
+
+
 def test_routes_by_field(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for values in (['{"icao24":null}', '{"x":1}'], ['{"Airline":"A","icao24":"b"}', "not json"], ['{"icao24":"c"}']):
