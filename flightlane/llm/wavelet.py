@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -187,24 +188,41 @@ class WordIds(dict):
     def _lower_cases(self) -> bool:
         """Whether the tokenizer treats case and points as ``_split`` expects."""
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("Wort.", "wort", ".", "2,", "2", ",")]
-        return ids[0] == ids[1] + ids[2] and ids[3] == ids[4] + ids[5]
+        alone = [t.id for t in self.tokenizer.model.tokenize("wort")]
+        return ids[0] == ids[1] + ids[2] and ids[3] == ids[4] + ids[5] and ids[1] == alone
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
         if len(self) > WORDS_KEPT:
             self.older = dict(self)
             self.clear()
-            new = list(words)
-        self.update((w, self.older[w]) for w in new if w in self.older)
-        new = [w for w in new if w not in self]
-        split = [(w, *self._split(w)) for w in new]
-        ask = list({part for _, *parts in split for part in parts if part and part not in self})
-        together = [w for w in ask if MARK not in w and b"<|" not in w]
+        older, known = self.older.get, super().__contains__
+        split, ask = [], set()
+        for word in words:
+            if known(word):
+                continue
+            found = older(word)
+            if found is not None:
+                self[word] = found
+                continue
+            stem, tail = self._split(word)
+            split.append((word, stem, tail))
+            if not known(stem):
+                ask.add(stem)
+        if self.lower_cases:
+            ask.update(t for t in (b".", b",") if not known(t))
+        tokenize, kind, together = self.tokenizer.model.tokenize, self.kind, []
+        for word in ask:
+            if self.lower_cases and word.isalpha() and word.islower():
+                # ASCII letters are one word to the model as they stand
+                self[word] = np.array([t.id for t in tokenize(word.decode())], kind).tobytes()
+            elif MARK in word or b"<|" in word:
+                self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, kind).tobytes()
+            else:
+                together.append(word)
         for at in range(0, len(together), 20_000):
             self._encode_together(together[at : at + 20_000])
-        for word in set(ask) - set(together):
-            self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-        self.update((w, self[stem] + (self[tail] if tail else b"")) for w, stem, tail in split)
+        for word, stem, tail in split:
+            self[word] = self[stem] + self[tail] if tail else self[stem]
 
     def _encode_together(self, words: list[bytes]) -> None:
         """Encodes words as texts of a hundred words with a mark behind each, and cuts the ids at the marks."""
@@ -222,16 +240,21 @@ class WordIds(dict):
         """A word as a stem and a tail whose ids follow each other, so that fewer words are encoded.
 
         Holds where the tokenizer lower-cases and cuts between letters or digits and other characters:
-        one point or comma behind an ASCII letter or digit is a piece of its own. ASCII alone is
-        lower-cased here, for only there no accent can join a letter; names of special tokens stay.
+        one point or comma behind a letter or digit is a piece of its own. A-Z is lower-cased here only
+        where that changes nothing about which accents join letters; names of special tokens stay.
         """
         if not self.lower_cases or b"<|" in word:
             return word, b""
-        if word.isascii():
-            word = word.translate(FOLD)
-        if len(word) > 1 and word[-1:] in (b".", b",") and word[-2:-1].isalnum():
-            return word[:-1], word[-1:]
-        return word, b""
+        lower = word.translate(FOLD)
+        if lower.isascii():
+            word = lower
+            cuts = len(word) > 1 and word[-1:] in (b".", b",") and word[-2:-1].isalnum()
+        else:
+            text = lower.decode()
+            if unicodedata.is_normalized("NFC", text) and (lower == word or unicodedata.is_normalized("NFC", word.decode())):
+                word = lower
+            cuts = len(text) > 1 and text[-1] in ".," and text[-2].isalpha()
+        return (word[:-1], word[-1:]) if cuts else (word, b"")
 
 
 def encoded(texts: list[str | None], ids: WordIds, end_id: int) -> Iterator[np.ndarray]:
