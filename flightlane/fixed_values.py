@@ -62,6 +62,15 @@ STATE_POSITIONS = [
     ("vertical_rate", "double"), ("geo_altitude", "string"), ("squawk", "string"),
     ("spi", "string"),
 ]
+# the same positions under the names of the public API's documentation
+API_POSITIONS = [
+    ("icao24", "string"), ("callsign", "string"), ("origin_country", "string"),
+    ("time_position", "bigint"), ("last_contact", "bigint"),
+    ("longitude", "double"), ("latitude", "double"), ("baro_altitude", "double"),
+    ("on_ground", "boolean"), ("velocity", "double"), ("true_track", "double"),
+    ("vertical_rate", "double"), ("sensors", "string"), ("geo_altitude", "double"),
+    ("squawk", "string"), ("spi", "boolean"), ("position_source", "int"),
+]
 STATE_FILE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in STATE_POSITIONS)
 STATE_FETCH_CAP = 50
 

@@ -27,6 +27,14 @@ def duration_hours(start: str | Column, end: str | Column) -> Column:
     return F.round((epoch_seconds(end) - epoch_seconds(start)) / 3600, 1)
 
 
+def zoned_instant(moment: str | Column, zone: str | Column) -> Column:
+    """The instant of a local time that a source has stamped as if it were UTC; null without a zone.
+
+    Durations between two of them count real hours where the zones differ.
+    """
+    return F.to_utc_timestamp(_column(moment), F.col(zone) if isinstance(zone, str) else zone)
+
+
 def duration_minutes(start: str | Column, end: str | Column) -> Column:
     """Minutes between two moments, not rounded, negative when ``end`` is earlier."""
     return (epoch_seconds(end) - epoch_seconds(start)) / 60

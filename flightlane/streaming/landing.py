@@ -88,17 +88,31 @@ def latest_schema(messages: DataFrame, source: str, order_by: list[str]) -> Stru
 
 
 def stream_routes(
-    messages: DataFrame, path: str, checkpoint: str, route: Column | None = None, interval: str | None = None
+    messages: DataFrame, path: str, checkpoint: str, route: Column | None = None, interval: str | None = None, rejects: str | None = None
 ) -> StreamingQuery:
     """Land records by the fields they have: one folder per micro-batch and route.
 
-    Records that fit no route are dropped. A repeated batch overwrites its own folder.
+    Records that fit no route, unreadable ones among them, go as they came to ``rejects``, one folder
+    per micro-batch, or are dropped without it. A repeated batch overwrites its own folders.
     """
-    routed = messages.withColumn("route", route_by_field() if route is None else route)
-    routed = settled(routed, ["route"]).where("route is not null")
+    routed = settled(messages.withColumn("route", route_by_field() if route is None else route), ["route"])
 
     def land(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={number}")
+        batch.where("route is not null").write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={number}")
+        if rejects:
+            batch.where("route is null").drop("route").write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+
+    return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
+
+
+def stream_objects(messages: DataFrame, path: str, order_by: list[str], checkpoint: str, route: Column, interval: str | None = None) -> StreamingQuery:
+    """Land the last message of every route in each micro-batch as the object of fixed name that the
+    index jobs read; later batches replace the objects of earlier ones, repeated ones their own."""
+    routed = messages.withColumn("route", route)
+
+    def land(batch: DataFrame, number: int) -> None:
+        last = latest_per_source(batch, "route", order_by)
+        land_objects(last.withColumn("object", object_name(F.col("route"))), path)
 
     return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
 

@@ -322,3 +322,23 @@ ORACLES["job_upsert_ratings"] = f"""
     select *, (select count(*) from ({rating_run(2)})) as succeeded,
            (select count(*) from customer) - (select count(*) from ({rating_run(2)})) as failed
     from ({ORACLES["ratings_upsert"]})"""
+
+ORACLES["positional_array_api_names"] = f"""{STATES}
+    select event_id, icao24, callsign, origin_country, time_position, last_contact, longitude, latitude, altitude as baro_altitude,
+           on_ground, velocity, heading as true_track, vertical_rate, cast(null as varchar) as sensors,
+           case when event_id is not null and squawk is not null then cast(event_id as double) end as geo_altitude,
+           spi as squawk, cast(null as boolean) as spi, cast(null as int) as position_source from t
+    union all
+    select event_id, 'x', null, null, null, null, null, null, null, null, null, null, null, null, null, null, null, null from events"""
+ORACLES["duration_hours_zone_aware"] = f"""
+    with e as (select event_id, date_trunc('day', ts)::timestamp as day, ts::timestamp as ts, case event_type when 'click' then 'Europe/Paris'
+               when 'view' then 'America/New_York' when 'error' then 'Asia/Tokyo' else 'UTC' end as zone from events)
+    select event_id, round((floor(epoch(timezone('Asia/Kolkata', ts))) - floor(epoch(timezone(zone, day)))) / 3600.0::double, 1) + 0.0::double as hours from e"""
+ORACLES["stream_route_rejects"] = """
+    select event_id, '{"event_id":' || cast(event_id as varchar) || ',"value":' || cast(value as varchar) || '}' as value
+    from events where event_type not in ('click', 'view', 'error')"""
+ORACLES["stream_land_objects"] = f"""
+    with last_page as (select * from ({RATED_PAGES}) order by c_custkey desc limit 1),
+    last_event as (select event_type from events order by event_id desc limit 1)
+    select 'skytrax' as route, "Airline" as name from last_page
+    union all select 'opensky', event_type from last_event union all select 'opensky', 'x'"""

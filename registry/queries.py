@@ -97,6 +97,12 @@ def positional_array_to_struct(spark, sf):
     return vectors.decode_vectors(i.vector_payloads(i.table(spark, sf, "events")), keep=["event_id"])
 
 
+@query
+def positional_array_api_names(spark, sf):
+    payloads = i.vector_payloads(i.table(spark, sf, "events"))
+    return vectors.decode_vectors(payloads, keep=["event_id"], positions=v.API_POSITIONS)
+
+
 @query
 def cap_array_head(spark, sf):
     documents = i.table(spark, sf, "documents")
@@ -202,6 +208,14 @@ def duration_hours(spark, sf):
     return lasting.where(F.col("hours") > 0)
 
 
+@query
+def duration_hours_zone_aware(spark, sf):
+    events = i.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    zone = F.when(F.col("event_type") == "click", "Europe/Paris").when(F.col("event_type") == "view", "America/New_York").when(F.col("event_type") == "error", "Asia/Tokyo").otherwise("UTC")
+    start = t.zoned_instant(F.date_trunc("day", "ts"), zone)
+    return events.select("event_id", t.duration_hours(start, t.zoned_instant("ts", F.lit("Asia/Kolkata"))).alias("hours"))
+
+
 @query
 def duration_minutes(spark, sf):
     noon = F.timestamp_seconds(F.unix_timestamp(F.date_trunc("day", "ts")) + 12 * 3600)
@@ -476,6 +490,26 @@ def stream_route_batches(spark, sf):
     return landing.read_routes(spark, f"{path}/data").select("event_id", "route")
 
 
+@query
+def stream_route_rejects(spark, sf):
+    path = new_path(spark, "routes")
+    records = i.event_state(_event_stream(spark, sf))
+    landing.stream_routes(records, f"{path}/data", f"{path}/checkpoint", rejects=f"{path}/rejects").awaitTermination()
+    return spark.read.parquet(f"{path}/rejects").select("event_id", "value")
+
+
+@query
+def stream_land_objects(spark, sf):
+    """Fetched messages as a stream to objects of fixed names, read as the ratings and states jobs read them."""
+    path = new_path(spark, "objects")
+    _fetched(spark, sf).write.parquet(f"{path}/topic")
+    topic = spark.readStream.schema(spark.read.parquet(f"{path}/topic").schema).parquet(f"{path}/topic")
+    landing.stream_objects(topic, f"{path}/lake", ["fetch_no"], f"{path}/checkpoint", messages.route_by_key()).awaitTermination()
+    rated = files.read_json(spark, landing.object_path(f"{path}/lake", "skytrax_data.json"), v.RATING_FILE_SCHEMA)
+    flown = files.read_json(spark, landing.object_path(f"{path}/lake", "opensky_data.json"), v.STATE_FILE_SCHEMA)
+    return rated.select(F.lit("skytrax").alias("route"), F.col("Airline").alias("name")).unionAll(flown.select(F.lit("opensky"), "icao24"))
+
+
 @query
 def stream_land_history(spark, sf):
     path = new_path(spark, "history")
