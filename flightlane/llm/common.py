@@ -15,7 +15,7 @@ from flightlane.session import stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Words whose hashes a task remembers.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
@@ -52,10 +52,7 @@ def free_name(rows: DataFrame, name: str) -> str:
 
 
 def without_keys(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
-    """The rows whose key is not in the single column of ``gone``; rows with a null key stay.
-
-    Keys that go are written first, so their true size decides how they are joined.
-    """
+    """The rows whose key is not in the single column of ``gone``; rows with a null key stay."""
     name = free_name(rows, "gone")
     gone = stored(gone.toDF(name).distinct(), "gone-keys")
     return rows.join(gone, rows[key] == gone[name], "left_anti")

@@ -22,7 +22,7 @@ SHINGLE_WORDS = 4
 #: Linked when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
 #: A block ends behind the text with which it reaches so many characters.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 5_000_000
 #: Shingles in one tree at most, on average; larger groups are joined piece by piece.
 TREE_SHINGLES = 1_000_000
 
@@ -91,6 +91,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, chars: int) -> Iterato
                 yield flush()
     if names:
         yield flush()
+    pa.default_memory_pool().release_unused()
 
 
 def _send_counts(buckets: int, bits: int):

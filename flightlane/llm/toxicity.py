@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import crc_remainder, fold_words
+from flightlane.llm.common import crc_remainder, fold_words, free_name
 from flightlane.session import stored
 
 WINDOW_WORDS = 24
@@ -96,7 +96,7 @@ def _content(samples: list[bytes], size: int) -> bytes:
 
 def _dealt(some: list[bytes], dice: random.Random) -> list[bytes]:
     """The words of windows in random order, so that no dictionary holds copied passages."""
-    words = [w for x in some for w in x.split()]
+    words = b" ".join(some).split()
     dice.shuffle(words)
     return [b" " + b" ".join(words[i : i + 8]) + b" " for i in range(0, len(words), 8)]
 
@@ -177,6 +177,7 @@ def _train_pair(group: pa.Table) -> pa.Table:
     w, toxic = group["w"].to_pylist(), np.array(group["label"]) == 1
     seed = group["seed"][0].as_py()
     pair = train([x for x, y in zip(w, toxic) if y], [x for x, y in zip(w, toxic) if not y], seed)
+    pa.default_memory_pool().release_unused()
     return pa.table({"seed": pa.array([seed], pa.int32()), "toxic": [pair.toxic], "ordinary": [pair.ordinary], "threshold": [pair.threshold]})
 
 
@@ -211,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def toxicity(docs: DataFrame, detector: Detector, key: str = "doc_id", text: str = "text", folds: int = 5) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted. Nothing is shuffled.
+    """One row per row of ``docs``: doc_id, held_out, text_hash, score, predicted. Nothing is shuffled.
 
     Every window of the whole text counts; null and empty texts get the score of a text without
     gains. The score depends on the text alone, so repeated rows get equal scores; a null key is not
@@ -220,24 +221,20 @@ def toxicity(docs: DataFrame, detector: Detector, key: str = "doc_id", text: str
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _features_of(detector.pairs)(batches):
-            rows = np.array(batch.column(2).to_pylist(), np.float64).reshape(batch.num_rows, FEATURES * len(detector.pairs))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(detector.score(rows))], names=["doc_id", "held_out", "score"])
+            rows = np.array(batch.column(3).to_pylist(), np.float64).reshape(batch.num_rows, FEATURES * len(detector.pairs))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(detector.score(rows))], names=["doc_id", "held_out", "text_hash", "score"])
 
     held_out = F.coalesce(crc_remainder(key, folds) == 0, F.lit(False))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out.alias("held_out"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    return rows.mapInArrow(score, "doc_id long, held_out boolean, text_hash long, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted to be toxic, with all their columns; nothing is shuffled."""
-    detector, at = fit(docs, labels, key, text), docs.columns.index(text)
+    """The rows of ``docs`` that are not predicted to be toxic, with all their columns.
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = [p.compressors() for p in detector.pairs]
-        for batch in batches:
-            rows = [[x for p, c in zip(detector.pairs, compressors) for x in features(gains(c, some), p.threshold)]
-                    for some in map(windows, batch.column(at).to_pylist())]
-            scores = detector.score(np.array(rows, np.float64).reshape(batch.num_rows, FEATURES * len(detector.pairs)))
-            yield batch.filter(pa.array(scores < 0.5))
-
-    return docs.mapInArrow(clean, docs.schema)
+    Rows go by key and text, so a null or repeated key takes no other row along.
+    """
+    name, mark = free_name(docs, "gone_key"), free_name(docs, "gone_text")
+    gone = toxicity(docs, fit(docs, labels, key, text), key, text).where("predicted = 1").select("doc_id", "text_hash").distinct().toDF(name, mark)
+    gone = stored(gone, "toxic-rows")
+    return docs.join(gone, docs[key].cast("long").eqNullSafe(gone[name]) & (F.xxhash64(docs[text]) == gone[mark]), "left_anti")
