@@ -14,7 +14,8 @@ SAMPLE_ROWS = 20_000
 BUCKETS = 4096
 #: Evidence counts as of this many words at most, so that memberships of long texts stay soft.
 EVIDENCE_WORDS = 20
-ITERATIONS, TOLERANCE = 60, 1e-6
+#: Steps at most, and the share of the budget by which totals may miss their targets or no longer change.
+ITERATIONS, TOLERANCE = 60, 1e-5
 
 
 def _bucket(word: Column) -> Column:
