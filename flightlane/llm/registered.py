@@ -95,4 +95,28 @@ ORACLES = {
                     or 10 * len(regexp_extract_all(text, '\\p{Lu}')) > 3 * word_chars
                     or 10 * len(list_distinct(w)) < n_words) as kept
         from judged""",
+    "op7_jaccard_join": """
+        with recursive t as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x20\\x09-\\x0D]+') as w from documents),
+        places as (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as pos from t where len(w) > 0),
+        shingles as (select distinct doc_id, array_to_string(w[pos:pos + 3], ' ') as s from places),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        shared as (select a.doc_id as x, b.doc_id as y, count(*) as o from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+        links as (
+            select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * o >= 85 * (a.n + b.n - o)),
+        both_ways as (select x, y from links union all select y, x from links),
+        reached as (select doc_id, doc_id as other from t union select r.doc_id, l.y from reached r join both_ways l on l.x = r.other)
+        select t.doc_id, coalesce(n, 0)::bigint as n_shingles, min(other) as component_id
+        from t join reached r on r.doc_id = t.doc_id left join sizes z on z.doc_id = t.doc_id group by t.doc_id, n""",
+    # the pages of the given tables have one template, so their articles can be cut out by its markup
+    "op9_style_tree": """
+        with a as (
+            select page_id, url, regexp_split_to_array(replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', chr(10)),
+                                                       '</?(?:p|h1)>') as parts from pages),
+        b as (
+            select page_id, url, [trim(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+                   '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) for x in parts] as parts from a),
+        c as (select page_id, url, array_to_string([x for x in parts if x <> ''], chr(10) || chr(10)) as text from b)
+        select page_id, url, text, length(text)::bigint as n_chars from c""",
 }
