@@ -7,6 +7,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ STRIDE = 1024
 #: A shard ends with the document that reaches so many tokens.
 SHARD_TOKENS = 4_000_000
 #: Words a worker remembers from one task to the next; the words before those are found again, too.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 800_000
 END_ID = 1
 #: A character for private use; its bytes begin no other, so its ids stand for it alone.
 MARK = "\ue000".encode()
@@ -210,11 +211,11 @@ class WordIds(dict):
                 ask.add(stem)
         if self.lower_cases:
             ask.update(t for t in (b".", b",") if not known(t))
-        tokenize, kind, together = self.tokenizer.model.tokenize, self.kind, []
+        tokenize, kind, code, together = self.tokenizer.model.tokenize, self.kind, np.dtype(self.kind).char, []
         for word in ask:
             if self.lower_cases and word.isalpha() and word.islower():
                 # ASCII letters are one word to the model as they stand
-                self[word] = np.array([t.id for t in tokenize(word.decode())], kind).tobytes()
+                self[word] = array(code, [t.id for t in tokenize(word.decode())]).tobytes()
             elif MARK in word or b"<|" in word:
                 self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, kind).tobytes()
             else:
