@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from flightlane.session import stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: So many rows of keys or hashes are broadcast at most.
+BROADCAST_ROWS = 200_000
 #: Words whose hashes a task remembers.
 WORDS_KEPT = 150_000
 FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
@@ -51,11 +55,17 @@ def free_name(rows: DataFrame, name: str) -> str:
     return name
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """A written table of a few narrow columns, to be broadcast where it has BROADCAST_ROWS rows at most
+    (some ten megabytes); with more, Spark chooses by its size and shuffles."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def without_keys(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """The rows whose key is not in the single column of ``gone``; rows with a null key stay."""
     name = free_name(rows, "gone")
     gone = stored(gone.toDF(name).distinct(), "gone-keys")
-    return rows.join(gone, rows[key] == gone[name], "left_anti")
+    return rows.join(small(gone), rows[key] == gone[name], "left_anti")
 
 
 def crc_remainder(key: str, modulus: int) -> Column:
@@ -71,6 +81,14 @@ def kept(name, make: Callable):
     return state[name]
 
 
+def give_back() -> None:
+    """Returns what a task has freed to the machine, as a Python worker lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class WordHashes(dict):
     """64-bit hashes of words; forgets all when it holds too many."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import ascii_lower, free_name, whole
+from flightlane.llm.common import ascii_lower, free_name, small, whole
 from flightlane.session import stored
 
 #: So many 16-byte hashes are broadcast at most; with more, the texts are dealt out by hash and salt.
@@ -80,7 +80,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     rows = exact_groups(docs, key, text).groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     rows = stored(rows.where("doc_id is not null and not (kept and n = 1)").toDF(name, sha, "kept", "n"), "dedup-rows")
     gone, twice = rows.where(~F.col("kept")).select(name, sha), rows.where(F.col("kept")).select(name, sha)
-    left = docs.withColumns({name: F.col(key), sha: F.sha2(ascii_lower(whole(text)), 256)}).join(gone, [name, sha], "left_anti")
+    gone = stored(gone, "dedup-gone")
+    left = docs.withColumns({name: F.col(key), sha: F.sha2(ascii_lower(whole(text)), 256)}).join(small(gone), [name, sha], "left_anti")
     if not twice.isEmpty():
         left = left.join(twice, [name, sha], "left_anti").unionByName(left.join(twice, [name, sha], "left_semi").dropDuplicates([name, sha]))
     return left.select(*docs.columns)

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from flightlane.llm.common import give_back
 from flightlane.llm.packing import bucket_cuts, pack, pack_sorted, unpack, unpack_sorted
 from flightlane.session import new_path
 
@@ -78,6 +79,8 @@ def exchange(sent: DataFrame, answer: Answer) -> DataFrame:
             at += n
         if note is not None:
             out.append((-1, rows[0]["bucket"], note))
+        del keys, numbers, distinct, place, blocks, answers
+        give_back()
         return pa.Table.from_batches([to_batch(out, ANSWERED_ARROW)])
 
     return sent.groupBy("bucket").applyInArrow(of_bucket, ANSWERED)

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import WordHashes, fold_words, without_keys
+from flightlane.llm.common import WordHashes, fold_words, give_back, without_keys
 from flightlane.llm.components import components
 from flightlane.llm.exchange import SENT, SENT_ARROW, answers_of, block_table, bucket_count, exchange, sent_rows, to_batch
 from flightlane.llm.packing import mixed, pack, pack_sorted, unpack, unpack_sorted
@@ -91,7 +91,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, chars: int) -> Iterato
                 yield flush()
     if names:
         yield flush()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _send_counts(buckets: int, bits: int):
@@ -147,6 +147,7 @@ def _candidates(threshold: int):
             rows.append(row)
             sizes.append(len(here))
             posts.append(sets.keys[here[prefix[df[prefix] > 1]]].view(np.int64))
+        give_back()
         return pa.table({"row": pa.array(rows, pa.int64()), "n": pa.array(sizes, pa.int64()), "posted": pa.array(posts, pa.list_(pa.int64()))})
 
     return of_block
@@ -167,6 +168,7 @@ def _deal(left: pa.Table, right: pa.Table) -> pa.Table:
             for m in members[row]:
                 for name, value in zip(out, (m["slot"], m["label"], m["i"], m["j"], row, len(here), shingles, counts)):
                     out[name].append(value)
+    give_back()
     return pa.table({name: pa.array(values, pa.binary() if name in ("shingles", "counts") else pa.int64()) for name, values in out.items()})
 
 
@@ -296,6 +298,7 @@ def _join_slot(threshold: int):
             found = tree_links([unpack_sorted(r["shingles"]) for r in members], [unpack(r["counts"]) for r in members], threshold)
             a += [members[i]["row"] for i, _ in found]
             b += [members[j]["row"] for _, j in found]
+        give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return of_slot

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import ascii_lower, free_name, whole, words
+from flightlane.llm.common import ascii_lower, free_name, small, whole, words
 from flightlane.session import stored
 
 #: Labelled rows that the classifier is fitted on, on average.
@@ -135,6 +135,6 @@ def mix(docs: DataFrame, weights: dict[str, float], label: str = "lang", key: st
     rates = mixing_rates(docs, weights, label, key, text, budget, least)
     # rows that are there once, nearly all of them in a mild mix, need not be looked up
     other = stored(rates.where("copies <> 1").groupBy("doc_id").agg(F.max("copies")).toDF(name, times), "mix-copies")
-    joined = docs.join(other, F.col(key).eqNullSafe(F.col(name)), "left").withColumn(times, F.coalesce(times, F.lit(1)))
+    joined = docs.join(small(other), F.col(key).eqNullSafe(F.col(name)), "left").withColumn(times, F.coalesce(times, F.lit(1)))
     repeated = joined.where(F.col(times) > 0).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*(docs[c] for c in docs.columns))

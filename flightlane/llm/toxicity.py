@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import crc_remainder, fold_words, free_name
+from flightlane.llm.common import crc_remainder, fold_words, free_name, give_back, small
 from flightlane.session import stored
 
 WINDOW_WORDS = 24
@@ -162,6 +162,7 @@ def _features_of(pairs: tuple[Pair, ...]):
                 rows.append([x for p, c in zip(pairs, compressors) for x in features(gains(c, some), p.threshold)])
             names = [name for name in batch.schema.names if name != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(rows, pa.list_(pa.float64()))], names=[*names, "features"])
+        give_back()
 
     return of
 
@@ -177,7 +178,7 @@ def _train_pair(group: pa.Table) -> pa.Table:
     w, toxic = group["w"].to_pylist(), np.array(group["label"]) == 1
     seed = group["seed"][0].as_py()
     pair = train([x for x, y in zip(w, toxic) if y], [x for x, y in zip(w, toxic) if not y], seed)
-    pa.default_memory_pool().release_unused()
+    give_back()
     return pa.table({"seed": pa.array([seed], pa.int32()), "toxic": [pair.toxic], "ordinary": [pair.ordinary], "threshold": [pair.threshold]})
 
 
@@ -237,4 +238,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     name, mark = free_name(docs, "gone_key"), free_name(docs, "gone_text")
     gone = toxicity(docs, fit(docs, labels, key, text), key, text).where("predicted = 1").select("doc_id", "text_hash").distinct().toDF(name, mark)
     gone = stored(gone, "toxic-rows")
-    return docs.join(gone, docs[key].cast("long").eqNullSafe(gone[name]) & (F.xxhash64(docs[text]) == gone[mark]), "left_anti")
+    return docs.join(small(gone), docs[key].cast("long").eqNullSafe(gone[name]) & (F.xxhash64(docs[text]) == gone[mark]), "left_anti")
