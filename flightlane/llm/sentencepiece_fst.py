@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlane.llm.common import kept
+from flightlane.llm.common import give_back, kept
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -33,7 +33,7 @@ UNIGRAM, BPE = 1, 2
 #: What the score of an unknown character lies below the least score of a piece.
 UNKNOWN_PENALTY = 10.0
 #: Different words, and pairs of pieces, that a worker remembers.
-CHUNKS_KEPT, PAIRS_KEPT = 600_000, 400_000
+CHUNKS_KEPT, PAIRS_KEPT = 300_000, 200_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -339,18 +339,6 @@ def model_bytes(model_file: str) -> bytes:
         return file.read()
 
 
-def _slices(texts: list, chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
-    """Places that cut a batch into parts of about so many characters."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= chars:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_ids, ids, and on demand ``decoded``, the text of the ids.
 
@@ -363,15 +351,16 @@ def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = kept(("transducer", hash(data)), lambda: Transducer(data))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _slices(texts):
-                ids = [transducer.encode_array(t or "") for t in texts[a:b]]
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                ids = [transducer.encode_array(t or "") for t in part.column(1).to_pylist()]
                 sizes = np.array([len(i) for i in ids], np.int64)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                columns = [batch.column(0)[a:b], pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))]
+                columns = [part.column(0), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))]
                 if decoded:
                     columns.append(pa.array([transducer.decode(i.tolist()) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_ids", "ids", "decoded"][: len(columns)])
+        give_back()
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         encode, "doc_id long, n_ids long, ids array<int>" + ", decoded string" * decoded)
