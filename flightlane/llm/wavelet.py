@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import struct
 import unicodedata
 import uuid
@@ -187,7 +188,7 @@ class WordIds(dict):
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
     def _lower_cases(self) -> bool:
-        """Whether the tokenizer treats case and points as ``_split`` expects."""
+        """Whether the tokenizer lower-cases, cuts off points and takes a word of letters as one."""
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("Wort.", "wort", ".", "2,", "2", ",")]
         alone = [t.id for t in self.tokenizer.model.tokenize("wort")]
         return ids[0] == ids[1] + ids[2] and ids[3] == ids[4] + ids[5] and ids[1] == alone
@@ -196,23 +197,11 @@ class WordIds(dict):
         if len(self) > WORDS_KEPT:
             self.older = dict(self)
             self.clear()
-        older, known = self.older.get, super().__contains__
-        split, ask = [], set()
+        self.update((w, self.older[w]) for w in words if w in self.older)
+        tokenize, kind, code, together = self.tokenizer.model.tokenize, self.kind, np.dtype(self.kind).char, []
         for word in words:
-            if known(word):
-                continue
-            found = older(word)
-            if found is not None:
-                self[word] = found
+            if word in self:
                 continue
-            stem, tail = self._split(word)
-            split.append((word, stem, tail))
-            if not known(stem):
-                ask.add(stem)
-        if self.lower_cases:
-            ask.update(t for t in (b".", b",") if not known(t))
-        tokenize, kind, code, together = self.tokenizer.model.tokenize, self.kind, np.dtype(self.kind).char, []
-        for word in ask:
             if self.lower_cases and word.isalpha() and word.islower():
                 # ASCII letters are one word to the model as they stand
                 self[word] = array(code, [t.id for t in tokenize(word.decode())]).tobytes()
@@ -222,8 +211,6 @@ class WordIds(dict):
                 together.append(word)
         for at in range(0, len(together), 20_000):
             self._encode_together(together[at : at + 20_000])
-        for word, stem, tail in split:
-            self[word] = self[stem] + self[tail] if tail else self[stem]
 
     def _encode_together(self, words: list[bytes]) -> None:
         """Encodes words as texts of a hundred words with a mark behind each, and cuts the ids at the marks."""
@@ -237,25 +224,25 @@ class WordIds(dict):
         data, starts = ids.tobytes(), np.concatenate([[0], ends[:-1] + len(mark)])
         self.update((w, data[a:b]) for w, a, b in zip(words, (starts * width).tolist(), (ends * width).tolist(), strict=True))
 
-    def _split(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word as a stem and a tail whose ids follow each other, so that fewer words are encoded.
-
-        Holds where the tokenizer lower-cases and cuts between letters or digits and other characters:
-        one point or comma behind a letter or digit is a piece of its own. A-Z is lower-cased here only
-        where that changes nothing about which accents join letters; names of special tokens stay.
-        """
-        if not self.lower_cases or b"<|" in word:
-            return word, b""
-        lower = word.translate(FOLD)
-        if lower.isascii():
-            word = lower
-            cuts = len(word) > 1 and word[-1:] in (b".", b",") and word[-2:-1].isalnum()
-        else:
-            text = lower.decode()
-            if unicodedata.is_normalized("NFC", text) and (lower == word or unicodedata.is_normalized("NFC", word.decode())):
-                word = lower
-            cuts = len(text) > 1 and text[-1] in ".," and text[-2].isalpha()
-        return (word[:-1], word[-1:]) if cuts else (word, b"")
+
+#: A point or comma that ends a word behind a letter or digit.
+_TAIL = re.compile(r"[.,](?<=[^\W_][.,])(?=[ \t-\r]|\Z)")
+
+
+def _words(text: str, ids: WordIds) -> list[bytes]:
+    """The words of a text, lower-cased and with a last point or comma apart, so that many are alike.
+
+    Only where that changes nothing: the tokenizer lower-cases and cuts between letters or digits and
+    other characters, the text has no name of a special token, and its accents are joined to their
+    letters before and after.
+    """
+    if ids.lower_cases and "<|" not in text:
+        if text.isascii():
+            return _TAIL.sub(r" \g<0>", text).encode().translate(FOLD).split()
+        lower = text.encode().translate(FOLD).decode()
+        if unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower):
+            return _TAIL.sub(r" \g<0>", lower).encode().split()
+    return text.encode().split()
 
 
 def encoded(texts: list[str | None], ids: WordIds, end_id: int) -> Iterator[np.ndarray]:
@@ -269,12 +256,16 @@ def encoded(texts: list[str | None], ids: WordIds, end_id: int) -> Iterator[np.n
     while at < len(texts):
         held, some = 0, []
         while at < len(texts) and held < 4_000_000:
-            some.append((texts[at] or "").encode().split())
+            some.append(_words(texts[at] or "", ids))
             held += len(texts[at] or "")
             at += 1
-        ids.learn(set().union(*some))
-        for words in some:
-            yield np.frombuffer(b"".join(map(ids.__getitem__, words)) + end, ids.kind)
+        found = [list(map(ids.get, words)) for words in some]
+        new = [[i for i, known in enumerate(got) if known is None] for got in found]
+        ids.learn({words[i] for words, places in zip(some, new) for i in places})
+        for words, got, places in zip(some, found, new):
+            for i in places:
+                got[i] = ids[words[i]]
+            yield np.frombuffer(b"".join(got) + end, ids.kind)
 
 
 def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
