@@ -16,7 +16,7 @@ from flightlane.session import stored
 
 #: Branches below this importance are removed.
 THRESHOLD = 0.35
-#: What the importance of menus, adverts and the like is multiplied by, and what that of an article is at least.
+#: What the importance of menus, adverts and the like is multiplied by at least, and what that of an article is at least.
 LABELLED_SHARE, ARTICLE_LEAST = 0.3, 0.5
 #: How fast the layout of a branch counts for more than its contents, by different layouts.
 GAMMA = 0.9
@@ -35,6 +35,8 @@ CLOSES = {
 }
 MAIN = frozenset({"article", "main"})
 LABELLED_TAGS = frozenset("nav footer aside form menu dialog button".split())
+#: An article in one of these is a card or a teaser; a form may be around a whole page.
+ASIDE = LABELLED_TAGS - {"form"}
 LABELLED_WORDS = frozenset((
     "ad ads advert advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal "
     "newsletter subscribe signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget footer header "
@@ -45,14 +47,23 @@ _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)
 
 
 class Node:
-    """An open element: its path of tags and names, whether it is labelled as no content, whether it is in an article."""
+    """An open element: its path of tags and names, whether it is labelled as no content, the path of the article it is
+    in, whether it is in an element of ASIDE, and the paths of the labelled elements that it is or is in."""
 
-    __slots__ = ("tag", "path", "labelled", "main", "children")
+    __slots__ = ("tag", "path", "labelled", "article", "aside", "labels", "children")
 
-    def __init__(self, tag: str, path: str, labelled: bool, main: bool):
-        self.tag, self.path, self.labelled, self.main = tag, path, labelled, main
+    def __init__(self, tag: str, path: str, labelled: bool, article: str | None, aside: bool, labels: tuple[str, ...]):
+        self.tag, self.path, self.labelled, self.article, self.aside, self.labels = tag, path, labelled, article, aside, labels
         self.children: list[str] = []
 
+    def below(self, tag: str, name: str, labelled: bool) -> Node:
+        """An element in this one. Labels pass down, but not into the article or main part of a page."""
+        path = f"{self.path}/{name}"
+        labelled = labelled or tag in LABELLED_TAGS or (tag == "header" and self.article is None)
+        starts = tag in MAIN and self.article is None and not self.aside
+        return Node(tag, path, labelled or (self.labelled and not starts), path if starts else self.article,
+                    self.aside or tag in ASIDE, (*self.labels, path) if labelled else self.labels)
+
 
 def _named(tag: str, attributes: str) -> tuple[str, bool]:
     """The element's name in a path (numbers in it do not count), and whether a word of it labels it."""
@@ -73,7 +84,7 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
     closes an open paragraph, an end tag closes what is open inside.
     """
     page = page or ""
-    root = Node("", "", False, False)
+    root = Node("", "", False, None, False, ())
     stack, blocks, shapes, parts = [root], [], [], []
 
     def flush() -> None:
@@ -137,10 +148,9 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
                             break
         flush()
         above = stack[-1]
-        labelled = above.labelled or labelled or tag in LABELLED_TAGS or (tag == "header" and not above.main)
         if not above.children or above.children[-1] != name:
             above.children.append(name)
-        stack.append(Node(tag, f"{above.path}/{name}", labelled, above.main or tag in MAIN))
+        stack.append(above.below(tag, name, labelled))
     if at < len(page):
         parts.append(re.sub(r"<[a-zA-Z/!][^>]*\Z", "", page[at:]))
     close(1)
@@ -153,25 +163,33 @@ def site(url: str) -> Column:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many pages of a batch have each element of each site, and each text and layout of it."""
-    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64())
+    """How many pages of a batch have each element of each site, and each text and layout of it; for
+    labelled elements also the characters in them and on the pages that have them."""
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64())
     for batch in batches:
         counts: Counter = Counter()
-        flags: dict[str, tuple[bool, bool]] = {}
+        flags: dict[str, tuple[bool, str | None]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
             blocks, shapes = parse(page.as_py())
             found = {("page", "", 0)}
+            inside: Counter = Counter()
             for node, text in blocks:
-                flags[node.path] = (node.labelled, node.main)
+                flags[node.path] = (node.labelled, node.article)
                 masked = text.replace(host, "\0") if host else text  # a site's name is the same word on all sites
                 found.add(("element", node.path, 0))
                 found.add(("text", node.path, xxhash.xxh3_64_intdigest(masked) >> 1))
+                for path in node.labels:
+                    inside[path] += len(text)
             found.update(("layout", path, xxhash.xxh3_64_intdigest(shape) >> 1) for path, shape in shapes)
             counts.update((host, *f) for f in found)
-        columns = zip(*((h, kind, path, feature, *flags.get(path, (False, False)), n) for (h, kind, path, feature), n in counts.items()))
+            chars = sum(len(text) for _, text in blocks)
+            for path, n in inside.items():
+                counts[host, "inside", path, 0] += n
+                counts[host, "around", path, 0] += chars
+        columns = zip(*((h, kind, path, feature, *flags.get(path, (False, None)), n) for (h, kind, path, feature), n in counts.items()))
         arrays = [pa.array(list(c), t) for c, t in zip(columns, kinds)]
         if arrays:
-            yield pa.RecordBatch.from_arrays(arrays, names=["site", "kind", "path", "feature", "labelled", "main", "n"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["site", "kind", "path", "feature", "labelled", "article", "n"])
 
 
 def style_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -180,35 +198,47 @@ def style_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
     A text that k of the m pages with its element have says log_m(k) of nothing new, so an element's
     content is as important as its different texts are rare on average; an element's layout is as
     important as its entropy over the pages. A branch combines its layout with the contents below it,
-    the layout counting for more the more layouts there are. Where all content below is labelled as a
-    menu or the like, that is multiplied by LABELLED_SHARE; a branch of an article is worth
-    ARTICLE_LEAST at least.
+    the layout counting for more the more layouts there are, and is as important as the most important
+    branch in it, so one goes only where all in it may go.
+
+    An element labelled as a menu or the like has that multiplied by the share that it holds of the
+    text of its pages, LABELLED_SHARE at least: an advert counts for little, a wrapper around
+    a page's own text for all of it. A branch around an article is worth ARTICLE_LEAST at least, one in
+    it only where no part of the article tells the pages apart.
 
     Only counts of elements, texts and layouts move, added up in each task first, so one site may
     have any share of the pages. Sites with fewer than SITE_PAGES pages have the values of '*'.
     """
-    schema = "site string, kind string, path string, feature long, labelled boolean, main boolean, n long"
+    schema = "site string, kind string, path string, feature long, labelled boolean, article string, n long"
     counted = pages.select(site(url).alias("site"), F.col(page).cast("string")).mapInArrow(_features, schema)
-    added = [F.sum("n").alias("n"), F.max("labelled").alias("labelled"), F.max("main").alias("main")]
+    added = [F.sum("n").alias("n"), F.max("labelled").alias("labelled"), F.max("article").alias("article")]
     by_site = stored(counted.groupBy("site", "kind", "path", "feature").agg(*added), "style-counts")
     large = by_site.where(f"kind = 'page' and n >= {SITE_PAGES}").select("site")
     rows = by_site.join(large, "site", "left_semi").unionByName(
         by_site.groupBy("kind", "path", "feature").agg(*added).withColumn("site", F.lit("*")))
     key = ["site", "path"]
-    elements = rows.where("kind = 'element'").select(*key, F.col("n").alias("m"), "labelled", "main")
+    elements = rows.where("kind = 'element'").select(*key, F.col("n").alias("m"), "labelled", "article")
     texts = rows.where("kind = 'text'").groupBy(key).agg(F.count("*").alias("texts"), F.sum(F.ln("n")).alias("logs"))
     layouts = rows.where("kind = 'layout'").groupBy(key).agg(
         F.count("*").alias("layouts"), F.sum("n").alias("all"), F.sum(F.col("n") * F.ln("n")).alias("logs")).select(
         *key, "layouts", F.when(F.col("all") > 1, 1 - F.col("logs") / (F.col("all") * F.ln("all"))).otherwise(1.0).alias("layout"))
+    held = [F.sum(F.when(F.col("kind") == kind, F.col("n"))) for kind in ("inside", "around")]
+    shares = rows.where("kind in ('inside', 'around')").groupBy(key).agg((held[0] / held[1]).alias("share"))
     content = F.when(F.col("m") > 1, 1 - F.col("logs") / (F.col("texts") * F.ln("m"))).otherwise(1.0)
     names = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(2), F.size(names)), lambda i: F.array_join(F.slice(names, 1, i), "/"))
-    branches = elements.join(texts, key).select("site", "labelled", "main", content.alias("content"), F.explode(above).alias("path")).groupBy(key).agg(
-        F.avg("content").alias("content"), F.min("labelled").alias("labelled"), F.max(F.col("main") & ~F.col("labelled")).alias("main"))
+    mine = F.when(~F.col("labelled"), F.col("article"))
+    depth = F.length("path") - F.length("article")
+    branches = elements.join(texts, key).select("site", "labelled", "article", content.alias("content"), F.explode(above).alias("path")).groupBy(key).agg(
+        F.avg("content").alias("content"), F.count(F.when(depth <= 0, mine)).alias("around"), F.max(F.when(depth > 0, mine)).alias("article"))
     weight = F.pow(F.lit(GAMMA), F.coalesce("layouts", F.lit(0)))
     plain = (1 - weight) * F.coalesce("layout", F.lit(0.0)) + weight * F.col("content")
-    importance = F.when(F.col("labelled"), LABELLED_SHARE * plain).when(F.col("main"), F.greatest(plain, F.lit(ARTICLE_LEAST))).otherwise(plain)
-    judged = branches.join(layouts, key, "left").select(*key, importance.alias("importance"))
+    composite = branches.join(layouts, key, "left").join(shares, key, "left").select(*key, "around", "article", "share", plain.alias("plain"))
+    best = composite.select("site", "plain", F.explode(above).alias("path")).groupBy(key).agg(F.max("plain").alias("best"))
+    whole = best.select("site", F.col("path").alias("article"), F.col("best").alias("whole"))
+    floor = F.when((F.col("around") > 0) | (F.col("whole") < THRESHOLD), ARTICLE_LEAST).otherwise(0.0)
+    importance = F.greatest(F.col("best") * F.greatest(F.coalesce("share", F.lit(1.0)), F.lit(LABELLED_SHARE)), floor)
+    judged = stored(composite.join(best, key).join(whole, ["site", "article"], "left").select(*key, importance.alias("importance")), "branches")
     small = by_site.where("kind = 'element'").join(large, "site", "left_anti").select("site", F.explode(above).alias("path")).distinct()
     return judged.unionByName(small.join(judged.where("site = '*'").drop("site"), "path").select(*key, "importance"))
 

@@ -258,6 +258,33 @@ def test_copies_of_an_article_on_one_site_keep_it(spark):
     assert {r.text for r in style_tree.main_texts(pages).collect()} == {"Equal on all."}
 
 
+def site_texts(spark, pages):
+    """The texts of pages of one site, in their order."""
+    rows = spark.createDataFrame([(i, f"http://a.example/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(style_tree.main_texts(rows.repartition(4)).collect(), key=lambda r: r.page_id)]
+
+
+def own_text(i, n=30):
+    return " ".join(f"w{i * n + k}" for k in range(n))
+
+
+@pytest.mark.parametrize(("start", "end"), [
+    ("<div class='layout has-sidebar'>", "</div>"), ("<div id='page' class='header-fixed'><div class=c>", "</div></div>"), ("<form id=f>", "</form>"),
+    ("<div class='layout has-sidebar'><article>", "</article></div>"), ("<div class=search-page><main>", "</main></div>")])
+@pytest.mark.parametrize("n", [40, 6])
+def test_a_wrapper_with_a_labelled_name_keeps_its_text(spark, start, end, n):
+    pages = [f"<body>{start}<nav>Home</nav><div class=ad>buy {i}</div><h2>t{i}</h2><p>{own_text(i)}</p><footer>Imprint</footer>{end}</body>" for i in range(n)]
+    assert site_texts(spark, pages) == [f"t{i}\n\n{own_text(i)}" for i in range(n)]
+
+
+def test_entropy_alone_finds_what_has_no_label(spark):
+    line = "<div class=x1><p>Same line</p></div>"
+    pages = [f"<body>{line}<div class=c><p>{own_text(i)}</p></div><div class=x2><p>Same end</p></div></body>" for i in range(40)]
+    assert site_texts(spark, pages) == [own_text(i) for i in range(40)]
+    pages = [f"<main>{line}<p>{own_text(i)}</p></main><aside><article>Card {i}</article></aside>" for i in range(40)]
+    assert site_texts(spark, pages) == [own_text(i) for i in range(40)]
+
+
 # --- mixing -------------------------------------------------------------------------------
 
 
