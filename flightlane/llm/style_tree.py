@@ -83,7 +83,7 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
     Open ends, missing end tags and stray ones are taken as browsers do in the simple cases: a block
     closes an open paragraph, an end tag closes what is open inside.
     """
-    page = page or ""
+    page = (page or "").removeprefix("\ufeff")  # a byte order mark is no text
     root = Node("", "", False, None, False, ())
     stack, blocks, shapes, parts = [root], [], [], []
 
@@ -226,7 +226,9 @@ def style_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
     shares = rows.where("kind in ('inside', 'around')").groupBy(key).agg((held[0] / held[1]).alias("share"))
     content = F.when(F.col("m") > 1, 1 - F.col("logs") / (F.col("texts") * F.ln("m"))).otherwise(1.0)
     names = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(2), F.size(names)), lambda i: F.array_join(F.slice(names, 1, i), "/"))
+    # text outside every element is a branch of its own, above nothing
+    above = F.when(F.col("path") == "", F.array(F.lit(""))).otherwise(
+        F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(names))), lambda i: F.array_join(F.slice(names, 1, i), "/")))
     mine = F.when(~F.col("labelled"), F.col("article"))
     depth = F.length("path") - F.length("article")
     branches = elements.join(texts, key).select("site", "labelled", "article", content.alias("content"), F.explode(above).alias("path")).groupBy(key).agg(
@@ -248,7 +250,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, low in zip(batch.column(2), batch.column(3).to_pylist()):
             low = tuple(low or ())
-            exact, under = frozenset(low), tuple(f"{p}/" for p in low)
+            exact, under = frozenset(low), tuple(f"{p}/" for p in low if p)
             texts.append("\n\n".join(text for node, text in parse(page.as_py())[0] if node.path not in exact and not node.path.startswith(under)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                                          names=["page_id", "url", "text", "n_chars"])

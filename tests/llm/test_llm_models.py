@@ -285,6 +285,13 @@ def test_entropy_alone_finds_what_has_no_label(spark):
     assert site_texts(spark, pages) == [own_text(i) for i in range(40)]
 
 
+@pytest.mark.parametrize(("before", "behind"), [("\ufeff", ""), ("", "stray line"), ("x\ufeff", "\nstray line")])
+@pytest.mark.parametrize("n", [40, 6])
+def test_text_outside_elements_is_judged_for_itself(spark, before, behind, n):
+    pages = [f"{before * (i > 0)}<!DOCTYPE html><html><body><article><p>{own_text(i)}</p></article></body></html>{behind * (i > 0)}" for i in range(n)]
+    assert site_texts(spark, pages) == [own_text(i) for i in range(n)]
+
+
 # --- mixing -------------------------------------------------------------------------------
 
 
