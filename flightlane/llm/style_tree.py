@@ -24,7 +24,9 @@ GAMMA = 0.9
 SITE_PAGES = 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg head title textarea select object canvas".split())
+RAW = frozenset("script style noscript template iframe svg title textarea select object canvas".split())
+#: Raw elements that only their own end tag ends.
+SCRIPTS = frozenset({"script", "style"})
 BLOCKS = frozenset(("html body p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd div section article main blockquote pre table thead tbody "
                     "tfoot tr td th caption figure figcaption header footer nav aside form fieldset address center details "
                     "summary menu dialog hgroup").split())
@@ -73,10 +75,50 @@ def _named(tag: str, attributes: str) -> tuple[str, bool]:
     for key, *values in _NAMES.findall(attributes):
         value = next((v for v in values if v), "")
         words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-    labelled = tag not in MAIN and tag not in ("html", "body") and not LABELLED_WORDS.isdisjoint(words)
+    labelled = tag not in MAIN and tag not in ("html", "head", "body") and not LABELLED_WORDS.isdisjoint(words)
     return (f"{tag}.{'.'.join(words)}" if words else tag), labelled
 
 
+def _script_end(page: str, at: int, tag: str) -> int:
+    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _raw_end(page: str, at: int, tag: str, around: set[str]) -> int:
+    """Where a raw element that starts at ``at`` ends, ``around`` being the tags of the elements it is in.
+
+    One without an end tag of its own ends at its parent's end or at a block in it, whichever is first;
+    a script or style without one holds the rest of the page.
+    """
+    if tag in SCRIPTS:
+        return _script_end(page, at, tag)
+    closed = re.compile(rf"</{tag}\b", re.I).search(page, at)
+    inner: list[str] = []
+    block = None
+    while match := _TOKEN.search(page, at):
+        name = (match[2] or match[5] or "").lower()
+        at = match.end()
+        if match[1] or match[4]:
+            if name in inner:
+                while inner.pop() != name:
+                    pass
+            elif name == tag:
+                return at
+            elif name in around or name == "head":
+                return match.start() if block is None else block
+        elif name == "body":
+            return match.start() if block is None else block
+        elif name in SCRIPTS:
+            at = _script_end(page, at, name)
+        elif name and name not in VOID and not (match[3] or match[6] or "").endswith("/"):
+            if block is None and name in BLOCKS:
+                block = match.start()
+                if not closed:
+                    return block
+            inner.append(name)
+    return len(page) if block is None else block
+
+
 def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str]]]:
     """The blocks of text of a page in page order with their elements, and the layout of every element.
 
@@ -120,8 +162,7 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
         attributes = match[3] or match[6] or ""
         if tag in RAW:
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>|<body\b" if tag == "head" else rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = len(page) if end is None else end.start() if end[0].lower().startswith("<body") else end.end()
+                at = _raw_end(page, at, tag, {n.tag for n in stack})
             parts.append(" ")
             continue
         if tag in VOID:

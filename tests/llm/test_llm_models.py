@@ -237,6 +237,21 @@ def test_blocks_of_awkward_pages(page, expected):
     assert texts_of(page) == expected
 
 
+@pytest.mark.parametrize(("page", "expected"), [
+    ("<html><head><title>t</title><article><p>text</p></article>", ["text"]),
+    ("<head><title>t</title><style>p{}</style><script>'</head><p>'</script><p>text</p>", ["text"]),
+    ("<head><noscript><link x></head><body><p>text</p></body>", ["text"]), ("<head><title>t<body><p>text</p></body>", ["text"]),
+    ("<head class=nav><p>text", ["text"]),
+    *((f"<body><div><{tag}><b>x</b></div><p>text</p><div><{tag}>y</{tag}>z</div></body>", ["text", "z"]) for tag in ("noscript", "svg", "select", "object", "canvas")),
+    *((f"<body><{tag}><b>x</b><article><p>text</p></article></body>", ["text"]) for tag in ("noscript", "svg", "select", "object", "canvas")),
+    ("<object><p>x</p><object><p>y</p></object><script>'</object>'</script></object><p>text", ["text"]),
+    ("<p>text<script>var x = '</p><p>no'", ["text"]), ("<div><noscript><div>x</div></noscript>text</div>", ["text"]),
+    ("<p>a <select><option>b<option>c</select> d</p>", ["a d"]),
+])
+def test_raw_elements_without_an_end_leave_the_rest_of_the_page(page, expected):
+    assert [t for _, t in style_tree.parse(page)[0]] == expected
+
+
 def test_what_a_site_repeats_goes_and_what_a_page_has_stays(spark, none):
     dice = np.random.default_rng(1)
     word = lambda n: " ".join(f"w{x}" for x in dice.integers(0, 10_000, n))
