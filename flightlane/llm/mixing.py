@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +17,10 @@ SAMPLE_ROWS = 20_000
 BUCKETS = 4096
 #: Evidence counts as of this many words at most, so that memberships of long texts stay soft.
 EVIDENCE_WORDS = 20
-#: Steps at most, and the share of the budget by which totals may miss their targets or no longer change.
-ITERATIONS, TOLERANCE = 60, 1e-5
+#: Passes over the rows at most, and the share of its target by which a total may miss it.
+PASSES, TOLERANCE = 200, 1e-5
+#: What is left of a miss that no rates could close is weighed against the size of the rates by this.
+RIDGE = 1e-10
 
 
 def _bucket(word: Column) -> Column:
@@ -83,14 +88,44 @@ def _totals(rows: DataFrame, rate: Column, k: int) -> list[float]:
     return [float(x or 0.0) for x in rows.withColumn("rate", rate).agg(*sums).first()]
 
 
+def _moved(move: np.ndarray, least: float) -> tuple[Column, Column]:
+    """What a document's rate would be without ``least`` after a move along its memberships, and its
+    rate. Documents without tokens stay where they are."""
+    along = F.aggregate(F.zip_with("p", F.array(*(F.lit(float(x)) for x in move)), lambda p, m: p * m), F.lit(0.0), lambda a, x: a + x)
+    free = F.lit(max(1.0, least)) + F.when(F.col("n_tokens") > 0, along).otherwise(0.0)
+    return free, F.greatest(F.lit(least), free)
+
+
+def _dual(rows: DataFrame, move: np.ndarray, least: float, budget: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """The value of the dual without its targets, its gradient (the totals) and its second derivative, as shares of the budget."""
+    k = len(move)
+    free, rate = _moved(move, least)
+    p = [F.get("p", F.lit(i)) for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = rows.select("n_tokens", "p", free.alias("free"), rate.alias("rate")).agg(
+        F.sum(F.col("n_tokens") * F.col("rate") * (F.col("free") - F.col("rate") / 2)),
+        *(F.sum(F.col("n_tokens") * F.col("rate") * x) for x in p),
+        *(F.sum(F.when(F.col("free") >= least, F.col("n_tokens") * p[i] * p[j]).otherwise(0.0)) for i, j in pairs)).first()
+    value, *rest = (float(x or 0.0) / budget for x in sums)
+    curve = np.zeros((k, k))
+    for (i, j), x in zip(pairs, rest[k:]):
+        curve[i, j] = curve[j, i] = x
+    return value, np.array(rest[:k]), curve
+
+
 def fit_rates(rows: DataFrame, weights: list[float], budget: float | None = None, least: float = 0.0,
-              iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> tuple[Column, list[float], list[float]]:
+              iterations: int | None = None, tolerance: float = TOLERANCE) -> tuple[Column, list[float], list[float]]:
     """The rate column, the expected token totals under it, and the target totals.
 
-    Projected gradient on rates r of at least ``least`` (which is not negative) for sum_k (S_k - t_k)^2 / t_k, where S_k sums
-    r * n_tokens * p_k; the gradient is taken per token, so long and short documents move alike.
-    The driver keeps one number per domain and step. ``budget`` is the total of the targets; by
-    default the least with which no domain has to shrink. A target of zero counts as 1e-9 of the budget.
+    Of all rates of at least ``least`` (which is not negative) whose totals S_k, the sums of
+    r * n_tokens * p_k, meet the targets t_k, those closest to one per token. They are one plus a move
+    along a document's memberships, or ``least``, so the driver looks for one number per domain: the
+    dual, by Newton steps with a line search, to the tolerance. Where no rates meet the targets, sum_k
+    (S_k - t_k)^2 / t_k is least (a zero target counts there as the budget), and a warning names both. ``iterations`` asks for
+    the rates after so many steps of projected gradient for that sum instead.
+
+    ``budget`` is the total of the targets; by default the least with which no domain has to shrink. A
+    target of zero counts as 1e-9 of the budget.
     """
     k = len(weights)
     now = _totals(rows, _rate([], least), k)
@@ -99,6 +134,12 @@ def fit_rates(rows: DataFrame, weights: list[float], budget: float | None = None
     shares = [w / sum(weights) for w in weights]
     budget = budget or max(s / w for s, w in zip(now, shares) if w > 0)
     targets = [max(share * budget, 1e-9 * budget) for share in shares]
+    if iterations is None:
+        move, now = _solved(rows, np.array(targets) / budget, least, budget, tolerance)
+        missed = [abs(s - t) > tolerance * (t if share > 0 else budget) for s, t, share in zip(now, targets, shares)]
+        if any(missed):
+            warnings.warn(f"no rates of {least} or more found that meet the targets: totals {now}, targets {targets}", stacklevel=2)
+        return _moved(move, least)[1], now, targets
     # GW has no eigenvalue above its largest column sum
     size = 1.0 / max(s / t for s, t in zip(now, targets))
     steps: list[list[float]] = []
@@ -109,6 +150,35 @@ def fit_rates(rows: DataFrame, weights: list[float], budget: float | None = None
     return _rate(steps, least), now, targets
 
 
+def _solved(rows: DataFrame, targets: np.ndarray, least: float, budget: float, tolerance: float) -> tuple[np.ndarray, list[float]]:
+    """The move whose totals meet the targets (shares of the budget), and those totals."""
+    weighed = np.where(targets > 2e-9, targets, 1.0)  # a target of zero must not outweigh the others
+    held, enough = RIDGE * weighed, tolerance / 10 * weighed
+
+    def at(move: np.ndarray) -> tuple:
+        value, totals, curve = _dual(rows, move, least, budget)
+        return move, value + (held * move**2).sum() / 2 - targets @ move, totals + held * move - targets, totals, curve
+
+    here, passes = at(np.zeros(len(targets))), 1
+    while passes < PASSES and (np.abs(here[2]) > enough).any():
+        move, value, slope, _, curve = here
+        step = np.linalg.lstsq(curve + np.diag(held), -slope, rcond=None)[0]
+        size = 1.0
+        while passes < PASSES:
+            there, passes = at(move + size * step), passes + 1
+            # close to the end the value's last digits say nothing, the slope's do
+            exhausted = abs(size * (slope @ step)) < 1e-9 * abs(value) and np.abs(there[2] / weighed).max() < np.abs(slope / weighed).max()
+            if there[1] <= value + 1e-4 * size * (slope @ step) or exhausted:
+                break
+            size /= 2
+            if size < 1e-6:
+                return move, (here[3] * budget).tolist()
+        else:
+            break
+        here = there
+    return here[0], (here[3] * budget).tolist()
+
+
 def mixing_rates(docs: DataFrame, weights: dict[str, float], label: str = "lang", key: str = "doc_id", text: str = "text",
                  budget: float | None = None, least: float = 0.0, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, domain, n_tokens, p, rate, copies.

@@ -366,6 +366,24 @@ def test_mixing_of_hard_rows(spark, none):
     assert mixing.mixing_rates(none, weights).count() == 0 and mixing.mix(none, weights).count() == 0
 
 
+@pytest.mark.parametrize(("counts", "least", "soft"), [([980, 10, 8, 2], 1.0, 0.0), ([334, 333, 332, 1], 0.0, 0.05)])
+def test_rare_domains_meet_their_targets(spark, counts, least, soft):
+    p = np.repeat(np.eye(4), counts, axis=0) * (1 - soft) + soft / 4
+    rows = spark.createDataFrame([(i, 100, q.tolist()) for i, q in enumerate(p)] + [(-1, 0, [0.25] * 4)], "doc_id long, n_tokens long, p array<double>")
+    rate, now, targets = mixing.fit_rates(rows, [0.55, 0.17, 0.17, 0.11], least=least)
+    assert now == pytest.approx(targets, rel=1e-4)
+    got = [r.r for r in rows.orderBy("doc_id").select(rate.alias("r")).collect()]
+    assert got[0] == 1 and min(got) + 1e-12 >= least and (100 * np.array(got[1:]) @ p).tolist() == pytest.approx(targets, rel=1e-4)
+
+
+def test_targets_that_no_rates_meet_are_reported(spark):
+    rows = spark.createDataFrame([(i, 100, [0.5, 0.5]) for i in range(9)], "doc_id long, n_tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="meet the targets"):
+        _, now, targets = mixing.fit_rates(rows, [0.9, 0.1])
+    best = 2 / sum(1 / (2 * t) for t in targets)  # the total at which both misses weigh least
+    assert now == pytest.approx([best / 2] * 2, rel=1e-3) and targets == pytest.approx([4050, 450])
+
+
 # --- helpers ------------------------------------------------------------------------------
 
 
