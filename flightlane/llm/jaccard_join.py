@@ -31,7 +31,7 @@ _BLOCKS = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("counts", pa
 _BLOCKS_DDL = ("block long, keys binary, counts binary, which binary, lengths binary, places binary, "
                "docs array<struct<doc_id: long, n: long, print_a: long, print_b: long>>")
 _CANDIDATES = "row long, n long, posted array<long>"
-_DEALT = "slot long, label long, i long, j long, row long, n long, shingles binary, counts binary"
+_DEALT = "label long, piece long, pieces long, row long, n long, shingles binary, counts binary"
 
 
 def shingle_set(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -154,20 +154,17 @@ def _candidates(threshold: int):
 
 
 def _deal(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Per block: its sets that are members of a group, for the slots where they meet others."""
+    """Per block: its sets that are members of a group, each once."""
     told = right.to_pylist()
-    members: dict[int, list[dict]] = {}
-    for r in told:
-        if r["row"] is not None:
-            members.setdefault(r["row"], []).append(r)
+    members = {r["row"]: r for r in told if r["row"] is not None}
     out: dict[str, list] = {name.split()[0]: [] for name in _DEALT.split(", ")}
     sets = _Sets(left.to_pylist()[0], [r for r in told if r["answer"] is not None]) if members else ()
     for row, here in sets:
         if row in members:
             shingles, counts = pack_sorted(sets.keys[here]), pack(sets.counts[here])
-            for m in members[row]:
-                for name, value in zip(out, (m["slot"], m["label"], m["i"], m["j"], row, len(here), shingles, counts)):
-                    out[name].append(value)
+            m = members[row]
+            for name, value in zip(out, (m["label"], m["piece"], m["pieces"], row, len(here), shingles, counts)):
+                out[name].append(value)
     give_back()
     return pa.table({name: pa.array(values, pa.binary() if name in ("shingles", "counts") else pa.int64()) for name, values in out.items()})
 
@@ -319,7 +316,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
        sets whose prefix holds only shingles of their own are done.
     3. Sets that share a shingle of their prefixes, directly or over others, form a group; each group
        is joined with a prefix tree. A group of more than ``tree_shingles`` is cut into pieces by
-       hash and every two pieces meet in a task, so no task grows with the group.
+       hash, and every two pieces meet by themselves, so what a task holds at a time does not grow with
+       the group. The work does: each of its members is sent to every piece.
 
     Equal sets are one set throughout, and sets known to be connected are not compared again, so a
     group of copies costs no pairs. Shingles are told apart by 64-bit hashes, sets by 128 bits.
@@ -340,10 +338,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     posted = candidates.select("row", "posted").join(sets.select("row"), "row", "left_semi").select("row", F.explode("posted").alias("shingle"))
     shared = posted.groupBy("shingle").agg(F.min("row").alias("least"), F.count("*").alias("n")).where("n > 1").select("shingle", "least")
     groups = components(posted.join(shared, "shingle").select(F.col("row").alias("a"), F.col("least").alias("b")))
-    members = _meetings(candidates, groups, buckets, tree_shingles)
+    members, slots = _members(candidates, groups, buckets, tree_shingles)
     told = answers.unionByName(members, allowMissingColumns=True)
     dealt = held.cogroup(told.groupBy("block")).applyInArrow(_deal, _DEALT)
-    classes = components(dealt.groupBy("slot").applyInArrow(_join_slot(threshold), "a long, b long"))
+    classes = components(_meetings(dealt, slots).groupBy("slot", "i", "j").applyInArrow(_join_slot(threshold), "a long, b long"))
 
     labelled = stored(sets.join(classes, sets["row"] == classes["node"], "left").select(
         "print_a", "print_b", F.coalesce("label", "row").alias("label"), "doc_id"), "set-classes")
@@ -353,21 +351,28 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _meetings(candidates: DataFrame, groups: DataFrame, buckets: int, tree_shingles: int) -> DataFrame:
-    """block, row, label, i, j, slot: where every member of a group (node, label) is joined with others.
-
-    A group of few shingles is one piece; any two pieces of a larger one meet in a slot.
-    """
+def _members(candidates: DataFrame, groups: DataFrame, buckets: int, tree_shingles: int) -> tuple[DataFrame, int]:
+    """block, row, label, piece, pieces of every member of a group (node, label), and in how many slots
+    the groups of one piece are joined."""
     members = stored(groups.join(candidates.select("row", "n"), F.col("node") == F.col("row")).select("row", "n", "label"), "group-members")
     sizes = members.groupBy("label").agg(F.ceil(F.sum("n") / tree_shingles).alias("pieces"))
     total = members.agg(F.sum("n")).first()[0] or 0
-    slots = max(buckets, 2 * total // tree_shingles)
     piece = F.pmod(F.xxhash64("row"), F.col("pieces"))
-    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
-                        lambda x: F.struct(F.least("piece", x).alias("i"), F.greatest("piece", x).alias("j")))
-    spread = members.join(sizes, "label").withColumn("piece", piece).withColumn("meet", F.explode(meets))
-    return spread.select(F.shiftright("row", 24).alias("block"), "row", "label", "meet.i", "meet.j",
-                         F.pmod(F.xxhash64("label", "meet.i", "meet.j"), F.lit(slots)).alias("slot"))
+    return members.join(sizes, "label").select(F.shiftright("row", 24).alias("block"), "row", "label", piece.alias("piece"), "pieces"), \
+        max(buckets, 2 * total // tree_shingles)
+
+
+def _meetings(dealt: DataFrame, slots: int) -> DataFrame:
+    """The members once for every place (slot, i, j) where they are joined with others.
+
+    Groups of one piece share slots; any two pieces i and j of a larger group, whose label is then
+    the slot, have a place of their own. Members are repeated as they are sent, not held.
+    """
+    meets = F.when(F.col("pieces") == 1, F.array(F.struct(F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
+                    lambda x: F.struct(F.least("piece", x).alias("i"), F.greatest("piece", x).alias("j"))))
+    slot = F.when(F.col("pieces") == 1, F.pmod(F.xxhash64("label"), F.lit(slots))).otherwise(F.col("label"))
+    return dealt.withColumn("meet", F.explode(meets)).select(slot.alias("slot"), "meet.i", "meet.j", "label", "row", "n", "shingles", "counts")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -294,6 +294,25 @@ def test_components_are_those_of_all_pairs(spark, documents, hard, none, setting
         assert jaccard_join.jaccard_components(none).count() == 0
 
 
+def test_what_a_task_holds_does_not_grow_with_a_group(spark, monkeypatch):
+    join = jaccard_join._join_slot
+
+    def bounded(threshold):
+        of_slot = join(threshold)
+
+        def checked(group):
+            held = sum(group["n"].to_pylist())
+            assert held <= 16_000, held  # two pieces, and as much again for their uneven hashes
+            return of_slot(group)
+
+        return checked
+
+    monkeypatch.setattr(jaccard_join, "_join_slot", bounded)
+    rows = edited(spark, 400)
+    expected = components_by_hand([(r.doc_id, r.text) for r in rows.collect()], 4, 85)
+    assert collections.Counter(map(tuple, jaccard_join.jaccard_components(rows, tree_shingles=4000).collect())) == expected
+
+
 def test_one_of_each_component_stays_with_its_columns(hard):
     left = jaccard_join.keep_one(hard)
     assert left.columns == hard.columns
