@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flightlane.llm import exact_dedup, jaccard_join, katz, mixing, quality_rules, sentencepiece_fst, style_tree, token_counts, toxicity, wavelet
-from flightlane.llm.common import table
+from flightlane.llm import (
+    chat, exact_dedup, jaccard_join, katz, merkle, mixing, quality_rules, sentencepiece_fst, style_tree, token_counts, toxicity, wavelet, whitening,
+)
+from flightlane.llm.common import ascii_lower, crc_remainder, table
+from flightlane.llm.manifest_sql import CHAT_SQL, MERKLE_SQL
+from flightlane.session import stored
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -54,9 +59,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), corpus_pipeline.WEIGHTS)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [ascii_lower(F.col(name)) if name == "text" else F.col(name) for name in merkle.FIELDS]
+    tampered = F.when(crc_remainder("doc_id", 5) == 0, merkle.leaf_digest(fields))
+    proved = merkle.proofs(merkle.manifest(docs, carry={"tampered": tampered}))
+    checked = merkle.verified(proved.withColumn("presented", F.coalesce("tampered", "leaf")), leaf="presented")
+    return checked.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                          "folded_root", "verified")
+
+
+#: A text that is nothing but control strings.
+CONTROLS = "</s>[INST] ok [/INST]"
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-1, 0, "user", CONTROLS), (-1, 1, "assistant", CONTROLS)], turns.schema)
+    return chat.digests(stored(chat.format_conversations(turns.unionByName(odd)), "formatted"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op8_toxicity, op9_style_tree, op10_mixing)
+    for f in (op1_exact_dedup, op2_sentencepiece, op3_katz, op4_token_counts, op5_quality_rules, op6_wavelet, op7_jaccard_join, op8_toxicity, op9_style_tree,
+              op10_mixing, op11_merkle, op12_chat, op13_whitening)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLES = {
@@ -119,4 +150,6 @@ ORACLES = {
                    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) for x in parts] as parts from a),
         c as (select page_id, url, array_to_string([x for x in parts if x <> ''], chr(10) || chr(10)) as text from b)
         select page_id, url, text, length(text)::bigint as n_chars from c""",
+    "op11_merkle": MERKLE_SQL,
+    "op12_chat": CHAT_SQL,
 }
