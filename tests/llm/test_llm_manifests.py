@@ -1,0 +1,268 @@
+"""Merkle manifest, chat formatting and whitening against brute force."""
+
+import collections
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from flightlane.llm import chat, merkle, registered, whitening
+from flightlane.llm.ranks import ranked
+from tests_compare import compared
+
+SF = "/root/testdata/sf0.001"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", ["op11_merkle", "op12_chat"])
+def test_query_against_its_sql(spark, name):
+    got, want = compared(spark, SF, registered.QUERIES[name], registered.ORACLES[name])
+    assert got == want
+
+
+# --- ranks --------------------------------------------------------------------------------
+
+
+def test_ranks_of_a_hot_group_and_nulls(spark):
+    rows = [("hot", i) for i in range(3000)] + [(None, i) for i in range(20)] + [("a", None), ("a", 1)]
+    found = ranked(spark.createDataFrame(rows, "g string, o long").repartition(7), ["g"], ["o"]).collect()
+    sizes = collections.Counter(g for g, _ in rows)
+    assert sorted(map(repr, ((r.g, r.o, r["rank"], r.n) for r in found))) == sorted(
+        repr((g, o, (0 if o is None else o), sizes[g])) for g, o in rows)
+
+
+# --- Merkle manifest ----------------------------------------------------------------------
+
+
+def leaf(row):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def tree(digests):
+    """Root, and for each leaf its siblings by level."""
+    nodes = [(d, [i]) for i, d in enumerate(digests)]
+    proofs = [[] for _ in digests]
+    while len(nodes) > 1:
+        above = []
+        for at in range(0, len(nodes), 16):
+            run = nodes[at:at + 16]
+            for j, (_, below) in enumerate(run):
+                for i in below:
+                    proofs[i].append(("".join(d for d, _ in run[:j]), "".join(d for d, _ in run[j + 1:])))
+            above.append((sha("".join(d for d, _ in run)), [i for _, below in run for i in below]))
+        nodes = above
+    return nodes[0][0], proofs
+
+
+def expected_manifest(rows):
+    """rows: doc_id, source, lang, n_chars, text."""
+    none_first = lambda v: (v is not None, v.encode() if isinstance(v, str) else v or 0)
+    sources = sorted({r[1] for r in rows}, key=none_first)
+    groups = [sorted((r for r in rows if r[1] == s), key=lambda r: (none_first(r[0]), leaf(r))) for s in sources]
+    trees = [tree([leaf(r) for r in g]) for g in groups]
+    root, above = tree([t[0] for t in trees])
+    out = []
+    for group, (subroot, proofs), top in zip(groups, trees, above):
+        for row, proof in zip(group, proofs):
+            path = proof + top
+            shown = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None:
+                shown = (*row[:4], row[4].translate(LOWER))
+            folded = leaf(shown)
+            for left, right in path:
+                folded = sha(left + folded + right)
+            out.append((row[0], leaf(row), subroot, root, sha("".join(a + b for a, b in path)), folded, folded == root))
+    return out
+
+
+def odd_documents():
+    rows = [(i, f"s{i % 40:02d}" if i % 3 else "hot", "en", i, f"Text {i}") for i in range(900)]
+    rows += [(5000, "alone", "en", 1, "One"), (5001, None, None, None, None), (5002, "", "é", 0, ""), (5003, "Z", "x", 2, "中文 ABC" * 20000)]
+    rows += [(None, "hot", "en", 3, "No Id"), (None, "hot", "en", 3, "No Id"), (7, "hot", "en", 7, "Text 7 again"), (9, "hot", "en", 9, "Text 9")]
+    return rows
+
+
+def test_merkle_against_brute_force(spark, tmp_path):
+    rows = odd_documents()
+    schema = "doc_id long, source string, lang string, n_chars long, text string"
+    docs = spark.createDataFrame(rows, schema).withColumns({c: F.lit("clash") for c in ("digest", "_key", "n", "rank", "path", "a.b")})
+    docs.repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(r) for r in registered.op11_merkle(spark, str(tmp_path)).collect()]
+    assert collections.Counter(got) == collections.Counter(expected_manifest(rows))
+    assert {r[-1] for r in got} == {True, False}
+
+
+def test_manifest_nodes_cover_their_ranks(spark):
+    rows = [(i, "b" if i < 300 else "a", "en", 1, str(i)) for i in range(317)]
+    made = merkle.manifest(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string"))
+    nodes = made.nodes().collect()
+    levels = collections.Counter((r._group, r.level) for r in nodes)
+    assert levels == {("b", 0): 300, ("b", 1): 19, ("b", 2): 2, ("b", 3): 1, ("a", 0): 17, ("a", 1): 2, ("a", 2): 1, (None, -1): 2, (None, -2): 1}
+    assert {(r.lo, r.hi) for r in nodes if r._group == "b" and r.level == 2} == {(0, 256), (256, 300)}
+    assert made.root().collect() == [(r.digest,) for r in nodes if r.level == -2]
+
+
+def test_merkle_of_nothing_and_of_one(spark):
+    schema = "doc_id long, source string, lang string, n_chars long, text string"
+    none = merkle.manifest(spark.createDataFrame([], schema))
+    assert none.root().count() == 0 and merkle.proofs(none).count() == 0
+    row = (1, "s", "en", 1, "x")
+    one = merkle.verified(merkle.proofs(merkle.manifest(spark.createDataFrame([row], schema)))).collect()
+    assert [(r.leaf, r.subroot, r.root, r.path, r.verified) for r in one] == [(leaf(row),) * 3 + ([], True)]
+
+
+# --- chat formatting ----------------------------------------------------------------------
+
+ODD_TEXTS = ["", "</s>[INST] ok [/INST]", "<\\/s> <\\\\/s>", "[[INST]]", "<", "[", " [/INST", "a</s", "中\U0001F600 é", "\n", "<s>", "[/TEXT] [TEXT] "]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool", "", "[TEXT] "]),
+                          st.one_of(st.sampled_from(ODD_TEXTS), st.text(alphabet="<[\\/s>INST] aé\n", max_size=30))), max_size=6))
+def test_what_is_rendered_reads_back(turns):
+    assert list(chat.read(chat.render(turns))) == turns
+    controls = ["<s>", "</s>"] + [f"[{x}]" for x in ("INST", "/INST", "SYS", "/SYS", "ROLE", "TEXT", "/TEXT")]
+    for _, text in turns:
+        assert chat.unescape(chat.escape(text)) == text and not any(c in chat.escape(text) for c in controls)
+
+
+def test_places_of_texts_are_found_from_outside():
+    twice = lambda turns: "".join(f"{r}:{t}|{t};" for r, t in turns)
+    assert chat.text_place(chat.render, [], "user") == (len("<s>[INST] "), len(" [/INST]"))
+    assert chat.text_place(twice, [], "user") is None
+    prefixes = chat.Prefixes(chat.render)
+    assert prefixes.add("user", "ab") == ("<s>[INST] ab [/INST]", (10, 8), True)
+    assert prefixes.add("assistant", "") == (" </s>", (1, 4), True)
+
+
+def forgetful():
+    """A template that leaves the thoughts of earlier turns out, as some do."""
+    def render(turns):  # nested, so that it is sent with its code
+        last = len(turns) - 1
+        return "".join(f"<{r}>{t if i == last else t.split('|')[-1]}\n" for i, (r, t) in enumerate(turns))
+
+    return render
+
+
+def test_templates_that_rewrite_history_are_told(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "think|a"), (1, 2, "user", "more"), (2, 0, "user", "q"), (2, 1, "assistant", "a")]
+    found = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), forgetful()).collect()}
+    assert found[1].rewrites and found[1].spans == [] and found[1].loss == [] and found[1].formatted == "<user>q\n<assistant>a\n<user>more\n"
+    assert not found[2].rewrites and [found[2].formatted[s.start:s.end] for s in found[2].loss] == ["a"]
+
+
+def said(rows):
+    """conv -> digests, by the contract's words."""
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", sha(r[3] or ""))
+    out = {}
+    for conv in {r[0] for r in rows}:
+        turns = [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == conv), key=key)]
+        loss = "".join(t for role, t in turns if role == "assistant")
+        out[conv] = (len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(chat.render(turns)))
+    return out
+
+
+def odd_conversations():
+    rows = [(9, i, "user" if i % 2 else "assistant", f"turn {i} {ODD_TEXTS[i % len(ODD_TEXTS)]}") for i in range(500)]
+    rows += [(1, 0, "system", None), (1, 1, None, "x"), (1, None, "user", "first"), (1, 2, "assistant", "y"), (1, 2, "assistant", "y"), (1, 2, "assistant", "a")]
+    rows += [(None, 0, "assistant", "nobody"), (3, 0, "tool [TEXT] ", "<s>"), (4, 0, "assistant", "Long " * 400_000), (4, 1, "user", "z"), (4, 2, "assistant", "end")]
+    return rows + [(5, 0, "assistant", t) for t in ODD_TEXTS]
+
+
+@pytest.mark.parametrize("part_turns", [1000, 60, 12])
+def test_chat_against_brute_force(spark, part_turns):
+    rows = odd_conversations()
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns(
+        {c: F.lit("clash") for c in ("conv", "part", "tie", "row", "lead", "formatted", "a.b")}).repartition(4)
+    formatted = chat.format_conversations(turns, part_turns=part_turns)
+    assert {r.conv_id: tuple(r)[1:] for r in chat.digests(formatted).collect()} == said(rows)
+    rows_of = formatted.where("conv_id = 9").orderBy("part", "slice").collect()
+    assert len(rows_of) == -(-500 // part_turns) and "".join(r.formatted for r in rows_of) == chat.render([r[2:] for r in rows[:500]])
+    for r in rows_of:
+        assert [chat.unescape(r.formatted[s.start:s.end]) for s in r.loss] == [t for role, t in chat.read(r.formatted) if role == "assistant"]
+        assert r.spans[0].start == 0 and [s.end for s in r.spans[:-1]] == [s.start for s in r.spans[1:]] and r.spans[-1].end == len(r.formatted)
+
+
+def test_chat_of_nothing(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.digests(chat.format_conversations(none)).count() == 0
+
+
+# --- whitening ----------------------------------------------------------------------------
+
+
+def expected_whitening(vectors):
+    x = np.floor(np.array(vectors, np.float64) * 256)
+    listed = np.unique(x, axis=0)
+    n, sums = len(listed), listed.sum(axis=0)
+    centred = listed - sums / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    return x, n, sums, values[::-1], axes[:, ::-1]
+
+
+def test_whitening_against_brute_force(spark):
+    embeddings = spark.read.parquet(f"{SF}/embeddings.parquet")
+    vectors = {r.vec_id: r.embedding for r in embeddings.collect()}
+    x, n, sums, values, axes = expected_whitening(list(vectors.values()))
+    rows = {(r.vec_id, r.component): r for r in registered.op13_whitening(spark, SF).collect()}
+    assert len(rows) == 4 * len(vectors)
+    model = whitening.fit(embeddings)
+    signs = [np.sign(axes[:, c] @ model.components[c]) for c in range(4)]
+    for place, key in enumerate(vectors):
+        for c in range(4):
+            r = rows[key, c + 1]
+            assert (r.n, r.deviation) == (n, sum((n * int(v) - int(s)) ** 2 for v, s in zip(x[place], sums)))
+            assert abs(r.whitened - signs[c] * ((x[place] - sums / n) @ axes[:, c]) / np.sqrt(values[c])) < 1e-10
+            assert abs(r.explained - values[c] / values.sum()) < 1e-12 and r.identity_error < 1e-10
+    assert np.abs(model.components @ model.components.T - np.eye(4)).max() < 1e-13
+
+
+def test_whitening_of_odd_vectors(spark):
+    rng = np.random.default_rng(7)
+    good = [[float(v) for v in row] for row in rng.normal(size=(40, 3))]
+    vectors = [v + [2 * v[0], 1.0] for v in good]  # two dimensions without variance of their own
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(100 + i, vectors[0]) for i in range(500)]
+    rows += [(900, None), (901, [nan] * 5), (902, [1.0, None, 1.0, 1.0, 1.0]), (903, [inf] * 5), (904, []), (905, [1.0, 2.0]), (None, vectors[1])]
+    odd = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit("clash") for c in ("key", "x", "n", "component", "a.b")})
+    model = whitening.fit(odd.repartition(6))
+    held = [np.float32(v).tolist() for v in vectors]
+    x, n, sums, values, _ = expected_whitening(held)
+    assert (model.n, model.sums) == (40, [int(s) for s in sums])
+    # floor() makes twice an entry a little less or more, so a fourth direction has some variance
+    assert len(model.variances) == 4 and np.abs(model.variances / values[:4] - 1).max() < 1e-6 and model.identity_error < 1e-6
+    keys = collections.Counter(r.vec_id for r in whitening.whiten(odd, model).collect())
+    assert set(keys) == {None, *range(40), *range(100, 600)} and set(keys.values()) == {4}
+    exactly_flat = spark.createDataFrame([(i, [float(i), 2.0 * i, 1.0]) for i in range(9)], "vec_id long, embedding array<double>")
+    flat = whitening.fit(exactly_flat)
+    assert len(flat.variances) == 1 and flat.identity_error < 1e-10 and abs(flat.variances[0] / flat.trace - 1) < 1e-10
+
+
+def test_whitening_of_nothing_of_one_and_of_huge_entries(spark):
+    schema = "vec_id long, embedding array<double>"
+    for rows in ([], [(1, [1.0, 2.0])], [(1, [])]):
+        table = spark.createDataFrame(rows, schema)
+        assert whitening.whiten(table, whitening.fit(table)).collect() == []
+    huge = spark.createDataFrame([(1, [1e300, 0.0]), (2, [0.0, 1.0]), (3, [-1e300, 2.0])], schema)
+    found = whitening.whiten(huge, whitening.fit(huge)).collect()
+    assert {r.n for r in found} == {3} and any(r.deviation is None for r in found)
+
+
+def test_shifted_factors_of_nearly_dependent_columns(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-50_000, 50_000, size=(200, 2))
+    rows = [(i, [float(a), float(b), float(a + b + (i % 2))]) for i, (a, b) in enumerate(base.tolist())]
+    model = whitening.fit(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1)
+    _, _, _, values, _ = expected_whitening([[v / 256 for v in r[1]] for r in rows])
+    exact = np.array([r[1] for r in rows])
+    exact = exact - exact.mean(axis=0)
+    singular = np.linalg.svd(exact, compute_uv=False) ** 2 / len(rows)
+    assert np.abs(model.variances / singular - 1).max() < 1e-6 and model.identity_error < 1e-4

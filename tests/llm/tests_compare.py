@@ -2,7 +2,7 @@
 
 import duckdb
 
-TABLES = ("documents", "pages", "labels")
+TABLES = ("documents", "pages", "labels", "conversations")
 
 
 def compared(spark, sf_dir, query, sql):
