@@ -96,7 +96,7 @@ def proofs(made: Manifest) -> DataFrame:
     ``path``: from the leaf to the root the digests to its left and to its right, one struct a level."""
     nothing = F.array().cast("array<struct<left:string,right:string>>")
     start = made.root().select(F.lit(0).alias("_all"), F.col("digest").alias("root"), nothing.alias("path"))
-    above = _paths(made.top, start, ["_group", "root"]).withColumnRenamed("digest", "subroot")
+    above = _paths(made.top, stored(start, "root"), ["_group", "root"]).withColumnRenamed("digest", "subroot")
     carried = [c for c in made.trees.leaves.columns if c not in ("rank", "n", "_row", "digest", "_group")]
     found = _paths(made.trees, stored(above, "subroots"), ["_group", *carried, "subroot", "root"])
     return found.withColumnsRenamed({"_key": "key", "_group": "group", "digest": "leaf"})
