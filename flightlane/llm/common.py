@@ -73,14 +73,28 @@ def crc_remainder(key: str, modulus: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
 
 
-def kept(name, make: Callable):
+def _worker_state() -> dict:
+    return vars(sys.modules.setdefault("_flightlane_worker", types.ModuleType("_flightlane_worker")))
+
+
+def kept(name: tuple, make: Callable):
     """What ``make`` gives, made once in the life of a Python worker; only for what can be made anew."""
-    state = vars(sys.modules.setdefault("_flightlane_worker", types.ModuleType("_flightlane_worker")))
+    state = _worker_state()
     if name not in state:
         state[name] = make()
     return state[name]
 
 
+def forget() -> None:
+    """Drops what earlier stages keep in this Python worker; for tasks that need the memory themselves."""
+    state = _worker_state()
+    held = [name for name in state if isinstance(name, tuple)]
+    for name in held:
+        del state[name]
+    if held:
+        give_back()
+
+
 def give_back() -> None:
     """Returns what a task has freed to the machine, as a Python worker lives on between tasks."""
     pa.default_memory_pool().release_unused()

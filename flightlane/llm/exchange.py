@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlane.llm.common import give_back
+from flightlane.llm.common import forget, give_back
 from flightlane.llm.packing import bucket_cuts, pack, pack_sorted, unpack, unpack_sorted
 from flightlane.session import new_path
 
@@ -66,20 +66,23 @@ def exchange(sent: DataFrame, answer: Answer) -> DataFrame:
     """
 
     def of_bucket(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        keys = [unpack_sorted(r["keys"]) for r in rows]
-        numbers = np.concatenate([unpack(r["numbers"]) for r in rows])
+        forget()
+        names, bucket = group["block"].to_pylist(), group["bucket"][0].as_py()
+        keys = [unpack_sorted(k.as_py()) for k in group["keys"]]
         lengths = [len(k) for k in keys]
-        blocks = np.repeat(np.array([r["block"] for r in rows], np.int64), lengths)
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        keys = np.concatenate(keys)
+        numbers = np.concatenate([unpack(n.as_py()) for n in group["numbers"]])
+        blocks = np.repeat(np.array(names, np.int64), lengths)
+        distinct, place = np.unique(keys, return_inverse=True)
+        del keys
         answers, note = answer(distinct, place, blocks, numbers)
         out, at = [], 0
-        for r, n in zip(rows, lengths):
-            out.append((r["block"], r["bucket"], pack(answers[at : at + n])))
+        for name, n in zip(names, lengths):
+            out.append((name, bucket, pack(answers[at : at + n])))
             at += n
         if note is not None:
-            out.append((-1, rows[0]["bucket"], note))
-        del keys, numbers, distinct, place, blocks, answers
+            out.append((-1, bucket, note))
+        del numbers, distinct, place, blocks, answers
         give_back()
         return pa.Table.from_batches([to_batch(out, ANSWERED_ARROW)])
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import WordHashes, fold_words, give_back, without_keys
+from flightlane.llm.common import WordHashes, fold_words, forget, give_back, without_keys
 from flightlane.llm.components import components
 from flightlane.llm.exchange import SENT, SENT_ARROW, answers_of, block_table, bucket_count, exchange, sent_rows, to_batch
 from flightlane.llm.packing import mixed, pack, pack_sorted, unpack, unpack_sorted
@@ -22,7 +22,7 @@ SHINGLE_WORDS = 4
 #: Linked when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
 #: A block ends behind the text with which it reaches so many characters.
-BLOCK_CHARS = 5_000_000
+BLOCK_CHARS = 3_000_000
 #: Shingles in one tree at most, on average; larger groups are joined piece by piece.
 TREE_SHINGLES = 1_000_000
 
@@ -59,6 +59,7 @@ def needed(a: int, b: int, threshold: int) -> int:
 def _blocks(batches: Iterator[pa.RecordBatch], size: int, chars: int) -> Iterator[pa.RecordBatch]:
     """A row per block: its different shingles, in how many of its different sets each is, the sets as
     places among the shingles, which document has each set, and all documents."""
+    forget()
     base, number, hashes = TaskContext.get().partitionId() << 16, 0, WordHashes()
     names: list = []
     sets: list[np.ndarray] = []
@@ -286,15 +287,16 @@ def tree_links(sets: list[np.ndarray], counts: list[np.ndarray], threshold: int)
 
 def _join_slot(threshold: int):
     def of_slot(group: pa.Table) -> pa.Table:
-        groups: dict[tuple, list[dict]] = {}
-        for r in group.to_pylist():
-            groups.setdefault((r["label"], r["i"], r["j"]), []).append(r)
-        a, b = [], []
-        for members in groups.values():
-            members.sort(key=lambda r: (r["n"], r["row"]))
-            found = tree_links([unpack_sorted(r["shingles"]) for r in members], [unpack(r["counts"]) for r in members], threshold)
-            a += [members[i]["row"] for i, _ in found]
-            b += [members[j]["row"] for _, j in found]
+        forget()
+        places: dict[tuple, list[tuple]] = {}
+        for at, (label, i, j, n, row) in enumerate(zip(*(group[c].to_pylist() for c in ("label", "i", "j", "n", "row")))):
+            places.setdefault((label, i, j), []).append((n, row, at))
+        shingles, counts, a, b = group["shingles"], group["counts"], [], []
+        for members in places.values():  # the sets of one group at a time; all others stay packed
+            members.sort()
+            found = tree_links([unpack_sorted(shingles[at].as_py()) for _, _, at in members], [unpack(counts[at].as_py()) for _, _, at in members], threshold)
+            a += [members[i][1] for i, _ in found]
+            b += [members[j][1] for _, j in found]
         give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 

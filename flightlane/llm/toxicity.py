@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import crc_remainder, fold_words, free_name, give_back, small
+from flightlane.llm.common import crc_remainder, fold_words, forget, free_name, give_back, small
 from flightlane.session import stored
 
 WINDOW_WORDS = 24
@@ -154,6 +154,7 @@ def calibrate(pairs: tuple[Pair, ...], rows: np.ndarray, labels: np.ndarray, rou
 
 def _features_of(pairs: tuple[Pair, ...]):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         compressors = [p.compressors() for p in pairs]
         for batch in batches:
             rows = []
