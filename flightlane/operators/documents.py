@@ -7,8 +7,12 @@ column that is unique.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, IntegerType, LongType, NumericType, StructField, TimestampNTZType, TimestampType
 
 from flightlane.functions.text import natural_key
 
@@ -56,14 +60,49 @@ def documents(actions: DataFrame) -> DataFrame:
     return actions.select("id", "source.*", *kept)
 
 
-def latest_by(rows: DataFrame, key: list[str], order_by: list[str], keep: list[str] | None = None) -> DataFrame:
+def latest_by(rows: DataFrame, key: list[str], order_by: list[str], keep: list[str] | None = None, unique: bool = False,
+              few: bool = False) -> DataFrame:
     """One row per key: the one with the highest ``order_by``, nulls lowest.
 
-    Each task first reduces its own rows to one per key, so a hot key reaches the shuffle as
-    one row per task. ``keep`` names the columns to carry beside the key, all by default.
+    Orders of fixed width (a number, a date or a time, or a time before a whole number) are found with a
+    hash aggregate over the narrow columns alone, and a semi join keeps the winners, so payloads are
+    neither sorted nor held in an aggregate, and a hot key reaches the shuffle as one narrow row per
+    task. ``rows`` are read twice then, the first time for key and order only: write them first where
+    they are expensive to compute. Other orders, texts for instance, are about as wide as what they
+    order; there the whole row is aggregated, one per key and task.
+
+    ``keep`` names the columns to carry beside the key, all by default. ``unique`` promises that no two
+    rows of a key tie; without it, winners that tie are reduced to one. ``few`` promises a
+    bounded handful of keys, such as the routes of a fixed map: then their highest orders are broadcast
+    and no payload is shuffled.
     """
     values = [name for name in rows.columns if name not in key] if keep is None else keep
-    return rows.groupBy(*key).agg(F.max_by(F.struct(*values), F.struct(*order_by)).alias("_last")).select(*key, "_last.*")
+    order = fixed_order([rows.schema[name] for name in order_by])
+    if order is None:
+        return rows.groupBy(*key).agg(F.max_by(F.struct(*values), F.struct(*order_by)).alias("_last")).select(*key, "_last.*")
+    names = [f"_key{n}" for n in range(len(key))]
+    top = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names)]).agg(F.max(order).alias("_top"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)]
+    last = rows.join(F.broadcast(top) if few else top, reduce(and_, [*same, order.eqNullSafe(F.col("_top"))]), "left_semi").select(*key, *values)
+    return last if unique else last.dropDuplicates(key)
+
+
+#: Above any long, and so far apart that a long fits between two.
+_STEP = "20000000000000000000"
+
+
+def fixed_order(fields: list[StructField]) -> Column | None:
+    """One column of fixed width that orders as the given ones do, one after the other, nulls lowest;
+    None where there is none."""
+    kinds = [f.dataType for f in fields]
+    if len(fields) == 1 and isinstance(kinds[0], (NumericType, DatetimeType, BooleanType)):
+        return F.col(fields[0].name)
+    if len(fields) == 2 and isinstance(kinds[0], (TimestampType, TimestampNTZType)) and isinstance(kinds[1], (LongType, IntegerType)):
+        micros = F.unix_micros(F.col(fields[0].name).cast("timestamp")).cast("decimal(20,0)")
+        number = F.col(fields[1].name).cast("decimal(20,0)")
+        whole = F.coalesce(micros, F.lit("-4500000000000000000").cast("decimal(20,0)")) * F.lit(_STEP).cast("decimal(20,0)")
+        return whole.cast("decimal(38,0)") + F.coalesce(number, F.lit("-10000000000000000000").cast("decimal(20,0)"))
+    return None
 
 
 def replace_documents(

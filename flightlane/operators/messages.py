@@ -21,14 +21,14 @@ def pack_records(rows: DataFrame, prefix: str | Column, columns: list[str], keep
 
 
 def pack_batches(
-    rows: DataFrame, source: str | Column, columns: list[str], batch: str | Column = "0", max_bytes: int = MAX_BYTES
+    rows: DataFrame, source: str | Column, columns: list[str], batch: int | Column = 0, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
     """Messages with an array of records, keyed by source; no records, no message.
 
     All rows of a source in one array would have to pass through one task, so every task cuts its
-    own rows, in their order, into arrays of at most ``max_bytes``. Every message says which batch
-    it is of, which part of it, and how many parts the batch has for its source, so that they land
-    together. Call it before any shuffle, where a repeated task cuts the same rows
+    own rows, in their order, into arrays of at most ``max_bytes``. Every message says which batch (a
+    number; later batches have higher ones) it is of, which part of it, and how many parts the batch
+    has for its source, so that they land together. Call it before any shuffle, where a repeated task cuts the same rows
     the same way.
     """
     place = F.monotonically_increasing_id()
@@ -41,8 +41,8 @@ def pack_batches(
     cut = prepared.withColumn("_cut", F.floor(F.sum(size).over(within) / max_bytes)).groupBy("key", "_task", "_cut").agg(
         F.array_sort(F.collect_list(F.struct("_place", "_record"))).alias("_placed"))
     part = F.concat_ws("-", "_task", "_cut")
-    batched = F.lit(batch) if isinstance(batch, str) else batch
-    packed = pack_arrays(cut.select("key", batched.alias("batch"), part.alias("part"), F.col("_placed._record").alias("_records")),
+    batched = batch if isinstance(batch, Column) else F.lit(batch)
+    packed = pack_arrays(cut.select("key", batched.cast("long").alias("batch"), part.alias("part"), F.col("_placed._record").alias("_records")),
                          F.col("key"), "_records", ["batch", "part"])
     parts = cut.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("parts"))
     return packed.join(parts, F.col("key").eqNullSafe(F.col("_key")), "left").drop("_key")

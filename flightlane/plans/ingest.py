@@ -24,10 +24,13 @@ def state_messages(
     return pack_arrays(vectors.withColumnRenamed(value, "_payload"), source, "_records", keep)
 
 
-def land_latest(messages: DataFrame, order_by: list[str], route: Column | None = None) -> DataFrame:
-    """Per route the last message, under its fixed object name."""
+def land_latest(messages: DataFrame, order_by: list[str], route: Column | None = None, unique: bool = False) -> DataFrame:
+    """Per route the last message, under its fixed object name.
+
+    The routes of the fixed map are few; those of a given column may be many. ``unique`` as in ``latest_by``.
+    """
     routed = messages.withColumn("route", route_by_key() if route is None else route)
-    return latest_per_source(routed, "route", order_by).withColumn("object", object_name(F.col("route")))
+    return latest_per_source(routed, "route", order_by, unique, few=route is None).withColumn("object", object_name(F.col("route")))
 
 
 def land_latest_batches(messages: DataFrame, route: Column | None = None, batch: str = "batch") -> DataFrame:
@@ -36,8 +39,8 @@ def land_latest_batches(messages: DataFrame, route: Column | None = None, batch:
     return latest_batches(routed, "route", batch).withColumn("object", object_name(F.col("route")))
 
 
-def land_history(messages: DataFrame, order_by: list[str], timestamp: str = "timestamp", route: Column | None = None) -> DataFrame:
-    """Per route and second the last message, under its stamped object name."""
+def land_history(messages: DataFrame, order_by: list[str], timestamp: str = "timestamp", route: Column | None = None, unique: bool = False) -> DataFrame:
+    """Per route and second the last message, under its stamped object name. ``unique`` as in ``latest_by``."""
     routed = messages.withColumn("route", route_by_key() if route is None else route)
-    history = history_per_second(routed, "route", order_by, timestamp)
+    history = history_per_second(routed, "route", order_by, timestamp, unique)
     return history.withColumn("object", object_name(F.col("route"), F.col("epoch_second")))

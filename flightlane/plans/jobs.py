@@ -1,7 +1,7 @@
 """Whole jobs: landed files in, an index table out, with a report of what was taken and rejected.
 
 Each job creates its table if it is absent, with geo fields declared, writes by key so that a second
-run changes nothing but what is new, and counts in the same action that writes.
+run changes nothing but the buckets of its keys, and counts in the same action that writes.
 """
 
 from __future__ import annotations
@@ -20,13 +20,16 @@ from flightlane.operators.snapshots import SnapshotTable, index_schema
 from flightlane.plans import flights, ratings, states
 from flightlane.sources.files import read_dimension, read_json
 
+#: Buckets of an index table: only those that a run's keys fall into are written anew.
+BUCKETS = 16
+
 
 def _write(spark: SparkSession, path: str, incoming: DataFrame, fields: list[str], order_by: list[str], geo: list[str],
            combine: Callable[..., DataFrame], seen: Observation) -> tuple[SnapshotTable, dict[str, int]]:
     schema = incoming.select("id", *fields).schema
-    table = SnapshotTable(spark, path, index_schema(schema, {name: "geo_point" for name in geo}))
+    table = SnapshotTable(spark, path, index_schema(schema, {name: "geo_point" for name in geo}), BUCKETS)
     table.create_if_absent()
-    table.replace(combine(table.read(), incoming, fields, order_by))
+    table.update(incoming, lambda current, new: combine(current, new, fields, order_by))
     return table, seen.get
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from flightlane.operators.commits import delete_folder
 from flightlane.operators.documents import latest_by
 from flightlane.operators.messages import route_by_field
 from flightlane.operators.reshape import settled
 from flightlane.operators.snapshots import SnapshotTable
+from flightlane.session import stored
 
 
 def object_name(route: Column, second: Column | None = None) -> Column:
@@ -19,21 +21,36 @@ def object_name(route: Column, second: Column | None = None) -> Column:
     return F.concat(F.concat_ws("_", *parts), F.lit(".json"))
 
 
-def latest_per_source(messages: DataFrame, source: str, order_by: list[str]) -> DataFrame:
-    """The last message of every source: each one replaces the one before."""
-    return latest_by(messages, [source], order_by)
+def latest_per_source(messages: DataFrame, source: str, order_by: list[str], unique: bool = False, few: bool = False) -> DataFrame:
+    """The last message of every source: each one replaces the one before. See ``latest_by``."""
+    return latest_by(messages, [source], order_by, unique=unique, few=few)
 
 
-def latest_batches(messages: DataFrame, source: str, batch: str = "batch") -> DataFrame:
-    """All messages of the last batch of every source. A batch may have many parts; none may be left out."""
-    last = messages.groupBy(F.col(source).alias("_source")).agg(F.max(batch).alias("_batch"))
-    return messages.join(last, F.col(source).eqNullSafe(F.col("_source")) & (F.col(batch) == F.col("_batch")), "left_semi")
+def batch_parts(messages: DataFrame, source: str, batch: str = "batch", part: str = "part", parts: str = "parts") -> DataFrame:
+    """source, batch, got and parts: how many different parts of each batch are there, and how many it has.
+
+    Narrow columns only, added up in each task first; a part that came twice counts once.
+    """
+    seen = messages.groupBy(source, batch, part).agg(F.max(parts).alias("_parts"))
+    return seen.groupBy(source, batch).agg(F.count("*").alias("got"), F.max("_parts").alias("parts"))
 
 
-def history_per_second(messages: DataFrame, source: str, order_by: list[str], timestamp: str = "timestamp") -> DataFrame:
+def latest_batches(messages: DataFrame, source: str, batch: str = "batch", part: str = "part", parts: str = "parts") -> DataFrame:
+    """All messages of the last batch of every source that has arrived with all its parts, each part once.
+
+    A batch of which parts are missing counts as not there, so the one before it stays; a source without
+    a whole batch gives nothing. Batches are numbers, and 10 follows 9.
+    """
+    whole = batch_parts(messages, source, batch, part, parts).where("got = parts")
+    last = whole.groupBy(F.col(source).alias("_source")).agg(F.max(F.col(batch).cast("long")).alias("_batch"))
+    found = messages.join(last, F.col(source).eqNullSafe(F.col("_source")) & (F.col(batch).cast("long") == F.col("_batch")), "left_semi")
+    return found.dropDuplicates([source, batch, part])
+
+
+def history_per_second(messages: DataFrame, source: str, order_by: list[str], timestamp: str = "timestamp", unique: bool = False) -> DataFrame:
     """All messages under (source, epoch second); in the same second the later one stays."""
     stamped = messages.withColumn("epoch_second", F.unix_timestamp(timestamp))
-    return latest_by(stamped, [source, "epoch_second"], order_by)
+    return latest_by(stamped, [source, "epoch_second"], order_by, unique=unique)
 
 
 def land_objects(landed: DataFrame, path: str) -> None:
@@ -66,25 +83,29 @@ def read_history(spark, path: str, source: str, order_by: list[str]) -> DataFram
 def stream_latest(
     messages: DataFrame, table: SnapshotTable, source: str, order_by: list[str], interval: str | None = None
 ) -> StreamingQuery:
-    """Keep ``table`` at the last message per source.
+    """Keep ``table``, keyed by the source, at the last message per source.
 
-    Spark's state holds one row per source. Each micro-batch writes the whole (small) result
-    as a new version that names its batch, so a repeated batch changes nothing and readers see
-    one version only, also where other writers replace the table in between. Offsets and state lie
-    beside the versions, since they belong together. Without ``interval`` it takes what is there
-    and stops.
+    The table is the state: each micro-batch is reduced to its last message per source, and the
+    buckets those sources fall into are combined with it, the higher ``order_by`` winning, so late messages
+    change nothing. A commit names the micro-batch, so a repeated one changes nothing, and readers see whole
+    micro-batches only. Sources without new messages are neither read nor written, but for those
+    that share a bucket. Without ``interval`` it takes what is there and stops.
     """
+    if table.key != source:
+        raise ValueError(f"the table is keyed by {table.key}, not {source}")
+
+    def newer(current: DataFrame, incoming: DataFrame) -> DataFrame:
+        return latest_by(current.unionByName(incoming), [source], order_by).select(*table.schema.names)
 
     def land(batch: DataFrame, number: int) -> None:
-        table.replace(batch, writer="stream", batch=number)
+        table.update(latest_per_source(batch, source, order_by), newer, writer="stream", batch=number)
 
-    latest = latest_per_source(messages, source, order_by)
-    return _start(latest.writeStream.outputMode("complete").foreachBatch(land), f"{table.path}/checkpoint", interval)
+    return _start(messages.writeStream.foreachBatch(land), f"{table.path}/checkpoint", interval)
 
 
 def latest_schema(messages: DataFrame, source: str, order_by: list[str]) -> StructType:
     """Columns a table for ``stream_latest`` has to have."""
-    return latest_per_source(messages, source, order_by).schema
+    return messages.select(source, *[name for name in messages.columns if name != source]).schema
 
 
 def stream_routes(
@@ -107,7 +128,12 @@ def stream_routes(
 
 def stream_objects(messages: DataFrame, path: str, order_by: list[str], checkpoint: str, route: Column, interval: str | None = None) -> StreamingQuery:
     """Land the last message of every route in each micro-batch as the object of fixed name that the
-    index jobs read; later batches replace the objects of earlier ones, repeated ones their own."""
+    index jobs read; later batches replace the objects of earlier ones, repeated ones their own.
+
+    For messages that are a fetch each. Those of batches in many parts go through ``stream_batches``.
+    """
+    if "parts" in messages.columns:
+        raise ValueError("messages that are parts of batches land with stream_batches")
     routed = messages.withColumn("route", route)
 
     def land(batch: DataFrame, number: int) -> None:
@@ -117,6 +143,65 @@ def stream_objects(messages: DataFrame, path: str, order_by: list[str], checkpoi
     return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
 
 
+#: What ``stream_batches`` remembers of each route: the batch that stands in the lake.
+LANDED_SCHEMA = StructType([StructField("route", StringType()), StructField("batch", LongType())])
+
+
+def stream_batches(
+    messages: DataFrame, path: str, checkpoint: str, route: Column, patience: int = 100, buckets: int = 1, interval: str | None = None
+) -> StreamingQuery:
+    """Land batches of packed messages as objects of fixed names once all their parts have arrived.
+
+    Parts may come in any order, over any number of micro-batches, and more than once. Below ``path``:
+
+    - ``lake``: per route the object of its last whole batch. While a batch is incomplete the one before
+      it stays, and batches older than what has landed are passed over;
+    - ``landed``: which batch that is, in a table whose commits name the micro-batch;
+    - ``waiting/n``: the parts that still wait after micro-batch n, with the micro-batch they came in, from which the
+      next one goes on. It is a table and not a key's state, so a source of any size is spread over tasks;
+    - ``rejects``: per micro-batch the parts that will not land, with the reason: their batch was still incomplete
+      ``patience`` micro-batches after its first part, or when a later batch of the route was whole.
+
+    A repeated micro-batch writes again what it wrote before.
+    """
+    spark = messages.sparkSession
+    routed = messages.withColumn("route", route)
+    landed = SnapshotTable(spark, f"{path}/landed", LANDED_SCHEMA, buckets, "route")
+    landed.create_if_absent()
+    schema = routed.schema.add("_came", LongType())
+
+    def land(batch: DataFrame, number: int) -> None:
+        held = stored(batch.withColumn("_came", F.lit(number).cast("long")), "arrived")
+        if number > 0:
+            held = held.unionByName(spark.read.schema(schema).parquet(f"{path}/waiting/{number - 1}"))
+        counted = stored(_open_batches(held, landed.read()), "open-batches")
+        whole = stored(counted.where("got = parts").groupBy("route").agg(F.max("batch").alias("batch")), "whole-batches")
+        found = _of_batches(held, whole).dropDuplicates(["route", "batch", "part"])
+        land_objects(found.withColumn("object", object_name(F.col("route"))), f"{path}/lake")
+        rest = counted.where("got < parts").join(whole.withColumnRenamed("batch", "_last"), "route", "left")
+        judged = rest.withColumn("reason", F.when(F.col("batch") < F.col("_last"), "a later batch is whole").when(
+            F.col("first") <= number - patience, "still incomplete"))
+        gone = judged.where("reason is not null").select("route", "batch", "reason")
+        held.join(gone, ["route", "batch"]).drop("_came").write.mode("overwrite").parquet(f"{path}/rejects/batch={number}")
+        _of_batches(held, judged.where("reason is null").select("route", "batch")).write.mode("overwrite").parquet(f"{path}/waiting/{number}")
+        landed.update(whole, lambda current, new: latest_by(current.unionByName(new), ["route"], ["batch"]), writer="stream", batch=number)
+        # a repeat of this micro-batch starts from the one before, none from earlier ones
+        delete_folder(spark, f"{path}/waiting/{number - 2}")
+
+    return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
+
+
+def _open_batches(held: DataFrame, landed: DataFrame) -> DataFrame:
+    """route, batch, got, parts and the first micro-batch of batches that are later than what has landed."""
+    known = landed.select(F.col("route").alias("_route"), F.col("batch").alias("_batch"))
+    counted = batch_parts(held, "route").join(held.groupBy("route", "batch").agg(F.min("_came").alias("first")), ["route", "batch"])
+    return counted.join(known, F.col("route") == F.col("_route"), "left").where("_batch is null or batch > _batch").drop("_route", "_batch")
+
+
+def _of_batches(held: DataFrame, batches: DataFrame) -> DataFrame:
+    return held.join(batches, ["route", "batch"], "left_semi")
+
+
 def read_routes(spark, path: str, latest_only: bool = False) -> DataFrame:
     """The landed records of all batches, or for every route those of its last batch only."""
     landed = spark.read.parquet(path)

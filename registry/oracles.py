@@ -249,6 +249,8 @@ ORACLES = {
     "pack_batch_messages": "select event_type as key, event_id, user_id, value, props, true as bounded from events",
     "land_packed_batches": """
         select 's' || event_type || '_data.json' as object, event_id, event_type, value from events where event_id % 2 = 1""",
+    "stream_land_batches": """
+        select 's' || event_type || '_data.json' as object, event_id, event_type, value from events where event_id % 2 = 1""",
     "pack_batch_messages_one_key": "select 'aviation_data' as key, event_type, event_id, value from events",
     "pack_record_messages": """
         select event_type || '_data' as key, event_id, user_id, case when value > 20 then props end as note, true as has_note

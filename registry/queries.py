@@ -14,7 +14,7 @@ from flightlane.operators import documents as d
 from flightlane.operators import lookup, messages, quality, reshape
 from flightlane.operators.snapshots import SnapshotTable, index_schema
 from flightlane.plans import flights, ingest, jobs, ratings, states
-from flightlane.session import new_path
+from flightlane.session import new_path, stored
 from flightlane.sources import files, html_tables, vectors
 from flightlane.sources.messages import stream_files
 from flightlane.streaming import landing
@@ -408,16 +408,41 @@ def pack_batch_messages(spark, sf):
     return messages.unpack_batches(bounded, schema, keep=["key", "bounded"]).select("key", *columns, "bounded")
 
 
+def _packed(spark, sf):
+    """Batches 9, 10 and 11 of many parts per source: even events, odd ones, and all without the last part of each source.
+
+    One part of batch 10 comes twice.
+    """
+    events = i.table(spark, sf, "events").repartition(7, "event_id")
+    source, columns = F.concat(F.lit("s"), F.col("event_type")), ["event_id", "event_type", "value"]
+    ninth, tenth = (messages.pack_batches(events.where(F.col("event_id") % 2 == n), source, columns, 9 + n, 4_000) for n in (0, 1))
+    last = messages.pack_batches(events, source, columns, 11, 4_000)
+    ends = last.groupBy(F.col("key").alias("_key")).agg(F.max("part").alias("_end"))
+    cut = last.join(ends, (F.col("key") == F.col("_key")) & (F.col("part") == F.col("_end")), "left_anti")
+    return stored(ninth.unionByName(tenth).unionByName(tenth.where("part = '0-0'")).unionByName(cut), "batches")
+
+
+EVENT_RECORD = "event_id BIGINT, event_type STRING, value DOUBLE"
+
+
 @query
 def land_packed_batches(spark, sf):
-    """Batches of many parts per source: the last one of each lands with all its parts and is read back."""
-    events = i.table(spark, sf, "events").repartition(7, "event_id")
-    columns = ["event_id", "event_type", "value"]
-    first, second = (messages.pack_batches(events.where(F.col("event_id") % 2 == n), F.concat(F.lit("s"), F.col("event_type")), columns, str(n), 4_000) for n in (0, 1))
+    """Batches of many parts per source: the last whole one of each lands with all its parts and is read back."""
     path = new_path(spark, "batches")
-    landing.land_objects(ingest.land_latest_batches(first.unionByName(second), route=F.col("key")), path)
-    landed = spark.read.text(path)
-    return messages.unpack_batches(landed, "event_id BIGINT, event_type STRING, value DOUBLE", keep=["object"])
+    landing.land_objects(ingest.land_latest_batches(_packed(spark, sf), route=F.col("key")), path)
+    return messages.unpack_batches(spark.read.text(path), EVENT_RECORD, keep=["object"])
+
+
+@query
+def stream_land_batches(spark, sf):
+    """The same batches as a stream that is stopped and started again, their parts spread over three micro-batches."""
+    path = new_path(spark, "stream-batches")
+    packed = _packed(spark, sf).withColumn("turn", F.pmod(F.xxhash64("key", "batch", "part"), F.lit(3)))
+    for turn in range(3):
+        packed.where(F.col("turn") == turn).drop("turn").write.mode("append").parquet(f"{path}/topic")
+        topic = spark.readStream.schema(packed.drop("turn").schema).parquet(f"{path}/topic")
+        landing.stream_batches(topic, path, f"{path}/checkpoint", F.col("key")).awaitTermination()
+    return messages.unpack_batches(spark.read.text(f"{path}/lake"), EVENT_RECORD, keep=["object"])
 
 
 @query
@@ -451,14 +476,14 @@ def route_by_field(spark, sf):
 @query
 def land_latest_per_source(spark, sf):
     received = i.event_messages(i.table(spark, sf, "events"))
-    latest = landing.latest_per_source(received, "key", ["timestamp", "offset"])
+    latest = landing.latest_per_source(received, "key", ["timestamp", "offset"], unique=True)
     return latest.select("key", "value", "offset", t.iso_millis("timestamp").alias("at"))
 
 
 @query
 def land_history_by_epoch(spark, sf):
     received = i.event_messages(i.table(spark, sf, "events"))
-    history = landing.history_per_second(received, "key", ["timestamp", "offset"])
+    history = landing.history_per_second(received, "key", ["timestamp", "offset"], unique=True)
     path = new_path(spark, "history")
     landing.land_history(history, path, "key")
     landed = landing.read_history(spark, path, "key", ["timestamp", "offset"])
@@ -476,7 +501,7 @@ def _event_stream(spark, sf):
 def stream_land_latest(spark, sf):
     received = i.event_messages(_event_stream(spark, sf))
     order = ["timestamp", "offset"]
-    table = SnapshotTable(spark, new_path(spark, "latest"), landing.latest_schema(received, "key", order))
+    table = SnapshotTable(spark, new_path(spark, "latest"), landing.latest_schema(received, "key", order), buckets=4, key="key")
     table.create_if_absent()
     landing.stream_latest(received, table, "key", order).awaitTermination()
     return table.read().select("key", "value", "offset", t.iso_millis("timestamp").alias("at"))
@@ -581,10 +606,11 @@ def ratings_upsert(spark, sf):
 
 
 def _fetched(spark, sf):
+    """The topic: messages of fetched pages and payloads, written as a topic holds them."""
     pages = i.rating_pages(i.table(spark, sf, "customer")).withColumn("fetch_no", F.col("c_custkey"))
     payloads = i.vector_payloads(i.table(spark, sf, "events")).withColumn("fetch_no", F.col("event_id"))
-    return (ingest.rating_messages(pages.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")), "Skytrax", ["fetch_no", "ts"])
-            .unionByName(ingest.state_messages(payloads, "OpenSky", ["fetch_no", "ts"])))
+    return stored(ingest.rating_messages(pages.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")), "Skytrax", ["fetch_no", "ts"])
+                  .unionByName(ingest.state_messages(payloads, "OpenSky", ["fetch_no", "ts"])), "topic")
 
 
 def _first_record(landed):
@@ -594,7 +620,7 @@ def _first_record(landed):
 
 @query
 def ingest_land_latest(spark, sf):
-    landed = ingest.land_latest(_fetched(spark, sf), ["fetch_no"])
+    landed = ingest.land_latest(_fetched(spark, sf), ["fetch_no"], unique=True)
     return _first_record(landed).select("route", "object", "fetch_no", "records", "first")
 
 
@@ -602,13 +628,13 @@ def ingest_land_latest(spark, sf):
 def ingest_read_landed(spark, sf):
     """The landed object of the last fetch, read as the states job reads it."""
     path = new_path(spark, "objects")
-    landing.land_objects(ingest.land_latest(_fetched(spark, sf), ["fetch_no"]), path)
+    landing.land_objects(ingest.land_latest(_fetched(spark, sf), ["fetch_no"], unique=True), path)
     return files.read_json(spark, landing.object_path(path, "opensky_data.json"), v.STATE_FILE_SCHEMA)
 
 
 @query
 def ingest_land_history(spark, sf):
-    landed = ingest.land_history(_fetched(spark, sf), ["fetch_no"], "ts")
+    landed = ingest.land_history(_fetched(spark, sf), ["fetch_no"], "ts", unique=True)
     return _first_record(landed).select("route", "object", "fetch_no", "records", "first")
 
 

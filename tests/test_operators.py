@@ -1,5 +1,7 @@
 import json
+import os
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from hypothesis import given, settings
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flightlane.operators import documents as d
 from flightlane.operators import lookup, messages, quality, reshape
+from flightlane.operators.commits import CommitLog
 from flightlane.operators.snapshots import SnapshotTable, index_schema
 
 # --- reshape, quality
@@ -142,7 +145,35 @@ def test_latest_by_reduces_before_the_shuffle(spark):
     df = spark.range(0, 10_000, 1, 4).select(F.lit("hot").alias("id"), F.col("id").alias("at"), F.col("id").alias("v"))
     latest = d.latest_by(df, ["id"], ["at"])
     assert latest.first()["v"] == 9999
-    assert "partial_max_by" in plan(latest) and "Window" not in plan(latest)
+    assert "partial_max" in plan(latest) and "Window" not in plan(latest)
+
+
+@pytest.mark.parametrize("order", [["at"], ["ts", "at"], ["ts"], ["text"], ["ts", "text"]])
+def test_latest_by_any_order_is_the_last_row(spark, rows, order):
+    made = [(k, None if n % 7 == 0 else 1_700_000_000 + (n * 37) % 50, -n if n % 2 else n, f"{(n * 31) % 97:03d}") for n in range(400) for k in (None, f"k{n % 3}")]
+    df = spark.createDataFrame(made, "k string, s long, at long, text string").withColumn("ts", F.timestamp_seconds("s"))
+    names = ["k", "s", "at", "text", "ts"]
+    found = {r["k"]: r for r in rows(d.latest_by(df, ["k"], order))}
+    value = lambda r: tuple((r[names.index(o)] is not None, r[names.index(o)] or 0) for o in ["s" if o == "ts" else o for o in order])
+    for key in {r[0] for r in made}:
+        best = max(value(r) for r in made if r[0] == key)
+        assert value([found[key][n] for n in names]) == best
+    assert len(found) == 4
+
+
+def test_payloads_of_the_last_rows_are_neither_sorted_nor_aggregated(spark):
+    messages_ = spark.range(1000).select((F.col("id") % 5).alias("k"), F.timestamp_seconds("id").alias("ts"), "id", F.repeat(F.lit("x"), 100).alias("value"))
+    for order in (["id"], ["ts", "id"]):
+        text = plan(d.latest_by(messages_, ["k"], order, unique=True))
+        assert "SortAggregate" not in text and "max_by" not in text and text.count("HashAggregate") == 2
+    few = plan(d.latest_by(messages_, ["k"], ["id"], unique=True, few=True))
+    assert "BroadcastHashJoin" in few and "Sort" not in few
+
+
+def test_orders_that_tie_leave_one_row(spark):
+    df = spark.range(100).select(F.lit(None).cast("string").alias("k"), F.lit(None).cast("long").alias("at"), F.col("id").alias("v"))
+    assert d.latest_by(df, ["k"], ["at"]).count() == 1
+    assert d.latest_by(df.where("v < 0"), ["k"], ["at"]).count() == 0
 
 
 def test_latest_by_ranks_nulls_lowest(spark, rows):
@@ -171,7 +202,7 @@ def test_random_ids(spark):
 def test_two_writers_of_one_version_do_not_both_win(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([("a",)], "id string")
     one, two = (SnapshotTable(spark, str(tmp_path / "t"), df.schema) for _ in range(2))
-    checked, lost = one._checked, []
+    checked = one._checked
 
     def meanwhile(rows):
         monkeypatch.setattr(one, "_checked", checked)
@@ -179,11 +210,96 @@ def test_two_writers_of_one_version_do_not_both_win(spark, tmp_path, monkeypatch
         return checked(rows)
 
     monkeypatch.setattr(one, "_checked", meanwhile)
-    try:
+    with pytest.raises(RuntimeError):
         one.replace(df)
-    except RuntimeError:
-        lost.append(1)
-    assert two.read().count() == (2 if lost else 1) and two.version() == 0
+    assert two.read().count() == one.read().count() == 2 and two.version() == 0
+
+
+@pytest.mark.parametrize("way", ["_link", "_rename"])
+def test_a_commit_number_is_created_once(spark, tmp_path, way):
+    log = CommitLog(spark, str(tmp_path / "with space" / "log"))
+    log.create(0, {"n": 0})
+    getattr(log, way)(f"{1:020d}.json", b'{"n": 1}')
+    with pytest.raises(FileExistsError):
+        getattr(log, way)(f"{1:020d}.json", b'{"n": 2}')
+    assert log.numbers() == [0, 1] and log.newest() == {"n": 1}
+    assert sorted(n for n in os.listdir(tmp_path / "with space" / "log") if not n.endswith(".crc")) == [f"{n:020d}.json" for n in (0, 1)]
+
+
+def test_many_writers_at_once_have_one_winner(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+
+    def write(n):
+        try:
+            log.create(0, {"n": n})
+            return n
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [n for n in pool.map(write, range(40)) if n is not None]
+    assert [log.newest()["n"]] == won
+
+
+def test_a_writer_that_slept_through_retired_versions_loses(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("a", 1)], "id string, v int")
+    slow, fast = (SnapshotTable(spark, str(tmp_path / "t"), df.schema, keep=2) for _ in range(2))
+    slow.create_if_absent()
+    checked = slow._checked
+
+    def meanwhile(rows):
+        monkeypatch.setattr(slow, "_checked", checked)
+        for _ in range(4):
+            fast.replace(df.unionAll(df))
+        return checked(rows)
+
+    monkeypatch.setattr(slow, "_checked", meanwhile)
+    with pytest.raises(RuntimeError):
+        slow.replace(df)
+    assert slow.version() == 4 and slow.read().count() == 2 and slow._log.numbers() == [3, 4]
+
+
+def files_of(table):
+    return {os.path.relpath(os.path.join(folder, name), table.path): os.stat(os.path.join(folder, name)).st_mtime_ns
+            for folder, _, names in os.walk(f"{table.path}/data") for name in names if name.endswith(".parquet")}
+
+
+def test_an_update_of_one_id_rewrites_one_bucket(spark, tmp_path, rows):
+    df = spark.range(200).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"), F.lit(0).cast("long").alias("at"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), df.schema, buckets=8)
+    table.replace(df)
+    before, reader = files_of(table), table.read()
+    assert len(before) == 8
+    change = spark.createDataFrame([("17", -1, 5), ("17", -2, 4)], "id string, v long, at long")
+    combine = lambda current, new: d.replace_documents(current, new, ["v", "at"], ["at"])
+    assert table.update(change, combine) == 1
+    after = files_of(table)
+    assert set(before.items()) <= set(after.items()) and len(after) == 9
+    assert {r["id"]: r["v"] for r in rows(table.read())} == {str(n): -1 if n == 17 else n for n in range(200)}
+    assert reader.where("v < 0").count() == 0 and reader.count() == 200
+    assert table.update(change.limit(0), combine) == 2 and len(files_of(table)) == 9
+    # all rows of a bucket may go
+    bucket = table.read().where(table.bucket() == 3)
+    assert table.update(bucket, lambda current, new: current.join(new, "id", "left_anti")) == 3
+    assert table.read().count() == 200 - bucket.count() > 0
+    with pytest.raises(ValueError):
+        SnapshotTable(spark, table.path, df.schema, buckets=4).read()
+
+
+def test_updates_name_their_batch_and_old_versions_go(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), df.schema, buckets=4, keep=2)
+    combine = lambda current, new: d.replace_documents(current, new, ["v"], ["v"])
+    assert table.create_if_absent()
+    for batch in range(5):
+        new = df.where(f"id < 10 or id % 5 = {batch}").withColumn("v", F.col("v") + batch)
+        assert table.update(new, combine, "stream", batch) == batch + 1
+        assert table.update(new.withColumn("v", F.lit(-1).cast("long")), combine, "stream", batch) == batch + 1
+    assert table.update(df, combine, "other", 0) == 6 and table.update(df.limit(1), combine, "stream", 3) == 5
+    assert len(table._log.numbers()) == 2 and table.version() == 6
+    named = {f for n in table._log.numbers() for f in table._log.read(n)["folders"].values()}
+    assert {os.path.dirname(f).removeprefix("data/") for f in files_of(table)} == named
+    assert table.read().agg(F.sum("v")).first()[0] == sum(range(100))
 
 
 def test_snapshot_table(spark, tmp_path):
@@ -219,10 +335,10 @@ def test_uncommitted_version_is_not_seen(spark, tmp_path):
 
 def test_pack_batches_is_bounded_and_whole(spark):
     df = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") < 700, "hot").otherwise("cold").alias("source"))
-    packed = messages.pack_batches(df, F.col("source"), ["id"], "7", max_bytes=600)
+    packed = messages.pack_batches(df, F.col("source"), ["id"], 7, max_bytes=600)
     got = packed.collect()
     assert max(len(r["value"]) for r in got) <= 620 and {r["key"] for r in got} == {"hot", "cold"}
-    assert {r["batch"] for r in got} == {"7"}
+    assert {r["batch"] for r in got} == {7}
     for key in ("hot", "cold"):
         parts = [r["part"] for r in got if r["key"] == key]
         assert len(set(parts)) == len(parts) == next(r["parts"] for r in got if r["key"] == key) > 4

@@ -34,7 +34,7 @@ def routed(spark, folder):
 
 def test_latest_over_restarts_is_the_batch_result(spark, folder, tmp_path):
     stream = routed(spark, folder)
-    table = SnapshotTable(spark, str(tmp_path / "latest"), landing.latest_schema(stream, "route", ORDER))
+    table = SnapshotTable(spark, str(tmp_path / "latest"), landing.latest_schema(stream, "route", ORDER), buckets=4, key="route")
     table.create_if_absent()
     landing.stream_latest(stream, table, "route", ORDER).awaitTermination()
     assert table.version() == 2
@@ -51,28 +51,102 @@ def test_latest_over_restarts_is_the_batch_result(spark, folder, tmp_path):
 
 
 def test_a_batch_that_was_committed_already_and_other_writers_do_not_stop_the_stream(spark, folder, tmp_path, monkeypatch):
-    table = SnapshotTable(spark, str(tmp_path / "latest"), landing.latest_schema(routed(spark, folder), "route", ORDER))
-    replace, killed = table.replace, []
+    table = SnapshotTable(spark, str(tmp_path / "latest"), landing.latest_schema(routed(spark, folder), "route", ORDER), buckets=4, key="route")
+    update, killed = table.update, []
+    table.create_if_absent()
 
     def commit_and_die(*rows, **which):
-        done = replace(*rows, **which)
+        done = update(*rows, **which)
         if not killed:
             killed.append(1)
             raise RuntimeError("killed behind the commit")
         return done
 
-    monkeypatch.setattr(table, "replace", commit_and_die)
+    monkeypatch.setattr(table, "update", commit_and_die)
     with pytest.raises(StreamingQueryException):
         landing.stream_latest(routed(spark, folder), table, "route", ORDER).awaitTermination()
-    monkeypatch.setattr(table, "replace", replace)
+    monkeypatch.setattr(table, "update", update)
     landing.stream_latest(routed(spark, folder), table, "route", ORDER).awaitTermination()
-    table.replace(table.read().limit(0))
+    table.replace(table.read())
     write(spark, folder, BATCHES[2])
     landing.stream_latest(routed(spark, folder), table, "route", ORDER).awaitTermination()
     batch = landing.latest_per_source(spark.read.parquet(folder).withColumn("route", route_by_key()), "route", ORDER)
     assert sorted(map(str, table.read().select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
 
 
+def test_a_micro_batch_rewrites_the_buckets_of_its_sources_only(spark, tmp_path):
+    path, table_path = str(tmp_path / "in"), str(tmp_path / "t")
+    write(spark, path, [(f"k{n}", f"v{n}", 0, n, 100.0 + n) for n in range(100)])
+    read = lambda: stream_files(spark, path, MESSAGE_SCHEMA)
+    table = SnapshotTable(spark, table_path, landing.latest_schema(read(), "key", ORDER), buckets=16, key="key")
+    table.create_if_absent()
+    landing.stream_latest(read(), table, "key", ORDER).awaitTermination()
+    first = table._log.newest()["folders"]
+    write(spark, path, [("k7", "new", 0, 200, 300.0), ("k7", "old", 0, 201, 1.0)])
+    landing.stream_latest(read(), table, "key", ORDER).awaitTermination()
+    second = table._log.newest()["folders"]
+    assert len(first) == len(second) == 16 and sum(first[b] != second[b] for b in first) == 1
+    batch = landing.latest_per_source(spark.read.parquet(path), "key", ORDER)
+    assert sorted(map(str, table.read().select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+    with pytest.raises(ValueError):
+        landing.stream_latest(read(), SnapshotTable(spark, table_path, table.schema, 16, "value"), "key", ORDER)
+
+
+def parts_of(source, batch, parts, only=None):
+    return [(source, batch, f"0-{n}", parts, f'[{{"id":{batch * 100 + n}}}]') for n in range(parts) if only is None or n in only]
+
+
+def send(spark, path, messages):
+    spark.createDataFrame(messages, "key string, batch long, part string, parts long, value string").repartition(3).write.mode("append").parquet(path)
+
+
+def ids_in(spark, path):
+    return sorted(r["id"] for r in spark.read.schema("id long").json(path).collect())
+
+
+def test_batches_land_when_all_their_parts_are_there(spark, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    rounds = [
+        # batch 9 whole, two parts of 10, of another source a part alone
+        parts_of("a", 9, 3) + parts_of("a", 10, 4, {0, 3}) + parts_of("b", 1, 2, {0}),
+        # a part of 10 again, and the first one of 11
+        parts_of("a", 10, 4, {0, 1}) + parts_of("a", 11, 2, {0}),
+        parts_of("a", 10, 4, {2}) + parts_of("a", 8, 1),
+        parts_of("b", 1, 2, {0}), parts_of("c", 1, 1), parts_of("b", 1, 2, {1}),
+    ]
+    seen = []
+    for messages in rounds:
+        send(spark, topic, messages)
+        stream = spark.readStream.schema("key string, batch long, part string, parts long, value string").parquet(topic)
+        landing.stream_batches(stream, out, str(tmp_path / "cp"), F.col("key"), patience=4).awaitTermination()
+        seen.append(ids_in(spark, landing.object_path(f"{out}/lake", "a_data.json")))
+    assert seen[0] == seen[1] == [900, 901, 902] and all(s == [1000, 1001, 1002, 1003] for s in seen[2:])
+    schema = "key string, batch long, part string, reason string"
+    rejects = [tuple(r) for n in range(6) for r in spark.read.schema(schema).parquet(f"{out}/rejects/batch={n}").select("batch", "key", "part", "reason").collect()]
+    # batch 1 of b came in micro-batch 0 and went in 4; the part that came in 5 starts it anew; 11 of a came in 1
+    assert sorted(rejects) == [(1, "b", "0-0", "still incomplete")] * 2 + [(11, "a", "0-0", "still incomplete")]
+    left = spark.read.parquet(f"{out}/waiting/5")
+    assert sorted((r["key"], r["batch"], r["part"]) for r in left.collect()) == [("b", 1, "0-1")]
+    assert ids_in(spark, landing.object_path(f"{out}/lake", "c_data.json")) == [100]
+    with pytest.raises(ValueError):
+        landing.stream_objects(stream, out, ["batch"], out, F.col("key"))
+
+
+def test_incomplete_batches_go_when_a_later_one_is_whole(spark, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    send(spark, topic, parts_of("a", 9, 2, {0}) + parts_of("a", 10, 2))
+    stream = spark.readStream.schema("key string, batch long, part string, parts long, value string").parquet(topic)
+    landing.stream_batches(stream, out, str(tmp_path / "cp"), F.col("key")).awaitTermination()
+    assert [(r["batch"], r["reason"]) for r in spark.read.parquet(f"{out}/rejects/batch=0").collect()] == [(9, "a later batch is whole")]
+
+
+def test_last_whole_batch_in_batch(spark):
+    rows = parts_of("a", 9, 3) + parts_of("a", 10, 2) + parts_of("a", 10, 2, {1}) + parts_of("a", 11, 5, {0, 1, 2, 3}) + parts_of("b", 2, 2, {0}) + parts_of(None, 1, 1)
+    df = spark.createDataFrame(rows, "key string, batch long, part string, parts long, value string")
+    found = landing.latest_batches(df, "key").collect()
+    assert sorted((str(r["key"]), r["batch"], r["part"]) for r in found) == [("None", 1, "0-0"), ("a", 10, "0-0"), ("a", 10, "0-1")]
+
+
 def test_keys_of_the_history_come_back_as_they_are(spark, tmp_path):
     keys = ["001", "002", "", None, "a/b=c", "k_none"]
     rows = spark.createDataFrame([(k, "v", n) for n, k in enumerate(keys)], "key string, value string, epoch_second bigint")
