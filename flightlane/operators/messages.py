@@ -58,19 +58,45 @@ def pack_arrays(rows: DataFrame, source: str | Column, array: str, keep: list[st
 
 
 def parse_payload(messages: DataFrame, schema: str, value: str = "value", out: str = "payload") -> DataFrame:
-    """The value decoded by ``schema``, and whether it is one JSON text and nothing else.
+    """The value decoded by ``schema``, whether it is one JSON text and nothing else, and whether a field has another type.
 
-    Of repeated names the last one counts. What stands behind the text makes it none: in brackets it
-    is an array of one element then, and so it is in double ones, whatever brackets it has itself.
+    Of repeated names the last one counts; a field of another type is null. A text is parsed once: between
+    brackets and before a mark of our own, so that it is one record exactly when the mark comes second, and
+    what does not fit the schema shows in the corrupt-record column. Only what is no record that way is
+    asked again whether it is JSON of another kind: it is, when it is the one element of an array
+    in brackets and, whatever brackets it has itself, in double ones.
     """
-    text = F.col(value)
-    inside = [F.json_array_length(F.concat(F.lit("[" * n), text, F.lit("]" * n))) == 1 for n in (1, 2)]
-    return messages.withColumns({out: F.from_json(text, schema), "is_json": F.coalesce(inside[0] & inside[1], F.lit(False))})
+    wrapped = F.concat(F.lit('{"_wrapped":['), F.col(value), F.lit(',{"_mark":1}]}'))
+    parsed = F.from_json(wrapped, f"_wrapped ARRAY<STRUCT<{schema}, _mark INT>>, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+    once = settled(messages.withColumn("_parsed", parsed), ["_parsed"])
+    items = F.col("_parsed._wrapped")
+    record = F.coalesce((F.size(items) == 2) & (F.get(items, F.lit(1))["_mark"] == 1), F.lit(False))
+    inside = [F.json_array_length(F.concat(F.lit("[" * n), F.col(value), F.lit("]" * n))) == 1 for n in (1, 2)]
+    first = F.get(items, F.lit(0))
+    judged = once.withColumns({
+        out: F.when(record & first.isNotNull(), first.dropFields("_mark")),
+        "is_json": F.when(record, True).otherwise(F.coalesce(inside[0] & inside[1], F.lit(False))),
+        "_fits": record & F.col("_parsed._corrupt").isNull(),
+    })
+    return settled(judged.drop("_parsed"), ["is_json"]).withColumn("mistyped", F.col("is_json") & ~F.col("_fits")).drop("_fits")
+
+
+def unreadable(value: str) -> Column:
+    """Why a text that is not JSON is none; to be asked for rejects only, as it reads them again."""
+    return (
+        F.when(F.col(value).isNull(), "no text").when(F.trim(value) == "", "empty text")
+        .when(F.try_parse_json(F.col(value)).isNotNull(), "more behind the text").otherwise("cut or no JSON")
+    )
+
 
+def split_rejects(parsed: DataFrame, value: str = "value", strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Messages that are JSON, and the rest as they came, each with a reason.
 
-def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages that are JSON, and the rest as they came."""
-    return parsed.where("is_json").drop("is_json"), parsed.where("not is_json").drop("is_json", "payload")
+    ``strict`` rejects messages with a field of another type, too.
+    """
+    good = F.col("is_json") & ~F.col("mistyped") if strict else F.col("is_json")
+    reason = F.when(F.col("is_json"), "field of another type").otherwise(unreadable(value))
+    return parsed.where(good).drop("is_json", "mistyped"), parsed.where(~good).withColumn("reason", reason).drop("is_json", "mistyped", "payload")
 
 
 def unpack_batches(messages: DataFrame, schema: str, value: str = "value", keep: list[str] | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Rows out of HTML pages, by regular expressions that run in the JVM.
 
-Markup is expected to close its rows and cells; rows do not nest.
+They expect markup that closes its rows and cells and does not nest tables. Pages with a ratings table
+for which that does not hold have their rows repaired first, in Arrow batches (``html_repair``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from flightlane.fixed_values import RATING_NAME_CLASS, RATING_STARS_CLASS, RATING_TABLE_ID
 from flightlane.functions.text import decode_entities, digits_to_int, strip
 from flightlane.operators.reshape import explode_once
+from flightlane.sources.html_repair import irregular, repair
 
 # what may stand inside an opening tag, quoted values with a '>' in them included
 _PIECE = r"""(?:[^>"'\s]++|\s|"[^"]*+"|'[^']*+')"""
@@ -87,8 +89,10 @@ def with_ratings(pages: DataFrame, out: str = "ratings", html: str = "html") ->
             attribute(F.regexp_extract(name, link, 1), "href"),
         ]
 
-    tables = pages.where(F.col(html).contains(RATING_TABLE_ID))
-    decoded = _decoded_fields(tables, row_fragments(F.col(html), regions, element("tr")), read, 3)
+    odd = irregular(F.regexp_replace(F.col(html), _COMMENT, ""))
+    tables = pages.where(F.col(html).contains(RATING_TABLE_ID)).withColumn("_repaired", repair(F.when(odd, F.col(html)), RATING_TABLE_ID))
+    fragments = F.coalesce("_repaired", row_fragments(F.col(html), regions, element("tr")))
+    decoded = _decoded_fields(tables, fragments, read, 3).drop("_repaired")
     ratings = F.transform(
         "_fields",
         lambda f: F.struct(

@@ -9,7 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from flightlane.operators.commits import delete_folder
 from flightlane.operators.documents import latest_by
-from flightlane.operators.messages import route_by_field
+from flightlane.operators.messages import route_by_field, unreadable
 from flightlane.operators.reshape import settled
 from flightlane.operators.snapshots import SnapshotTable
 from flightlane.session import stored
@@ -113,15 +113,19 @@ def stream_routes(
 ) -> StreamingQuery:
     """Land records by the fields they have: one folder per micro-batch and route.
 
-    Records that fit no route, unreadable ones among them, go as they came to ``rejects``, one folder
-    per micro-batch, or are dropped without it. A repeated batch overwrites its own folders.
+    Records that fit no route, unreadable ones among them, go as they came and with a reason to
+    ``rejects``, one folder per micro-batch, or are dropped without it. With it the micro-batch is written first, so
+    that it is computed once. A repeated batch overwrites its own folders.
     """
     routed = settled(messages.withColumn("route", route_by_field() if route is None else route), ["route"])
 
     def land(batch: DataFrame, number: int) -> None:
+        batch = stored(batch, "routed") if rejects else batch
         batch.where("route is not null").write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={number}")
         if rejects:
-            batch.where("route is null").drop("route").write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+            keys = F.json_object_keys("value")
+            reason = F.when(keys.isNotNull(), "no field of a route").otherwise(unreadable("value"))
+            batch.where("route is null").drop("route").withColumn("reason", reason).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
 
     return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
 

@@ -115,7 +115,8 @@ def vector_payloads(events: DataFrame) -> DataFrame:
 
 def rating_pages(customers: DataFrame) -> DataFrame:
     """A page per customer with a ratings table: a rated row with an entity and a nested tag,
-    a row without link, and for nation 0 nothing but a page without the table."""
+    a row without link, and for nation 0 nothing but a page without the table. Nations 1, 2 and 4 have
+    pages that leave the ends of cells and rows out, that nest a table, and that end within a link."""
     key = F.col("c_custkey").cast("string")
     stars = F.floor(F.col("c_acctbal") / 2000).cast("string")
     rated = F.concat(
@@ -127,7 +128,12 @@ def rating_pages(customers: DataFrame) -> DataFrame:
         F.lit('<html><!-- <table id="tablepress-1"> --><table class="t" id="tablepress-1"><thead><tr><th>Stars</th></tr></thead><tbody>'),
         rated, unlinked, F.lit("</tbody></table></html>"),
     )
-    return customers.select("c_custkey", F.when(F.col("c_nationkey") != 0, page).otherwise("<html><p>none</p></html>").alias("html"))
+    nation = F.col("c_nationkey")
+    unclosed = F.regexp_replace(page, "</t[dr]>", "")
+    nested = F.replace(page, F.lit("<a title"), F.lit('<table><tr><td class="column-1">9</td></tr></table><a title'))
+    cut = F.regexp_replace(page, "</a>|</tbody></table></html>", "")
+    html = (F.when(nation == 0, "<html><p>none</p></html>").when(nation == 1, unclosed).when(nation == 2, nested).when(nation == 4, cut).otherwise(page))
+    return customers.select("c_custkey", html.alias("html"))
 
 
 def rating_run(customers: DataFrame, run: int) -> DataFrame:

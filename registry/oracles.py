@@ -156,7 +156,10 @@ ORACLES = {
     "json_payload_parse": f"""{PAYLOADS}
         select event_id, coalesce(json_valid(t), false) as is_json,
                case when json_valid(t) then cast(regexp_extract(t, '"k": *([0-9]+)[^"]*$', 1) as bigint) end as k from r""",
-    "json_payload_rejects": f"""{PAYLOADS} select event_id, t as value from r where not coalesce(json_valid(t), false)""",
+    "json_payload_rejects": f"""{PAYLOADS}
+        select event_id, t as value, case when t is null then 'no text' when trim(t) = '' then 'empty text'
+                                          when ends_with(t, ' trailing') or contains(t, '],[') then 'more behind the text' else 'cut or no JSON' end as reason
+        from r where not coalesce(json_valid(t), false)""",
     "positional_array_to_struct": f"""{STATES}
         select event_id, icao24, callsign, origin_country, time_position, last_contact, longitude, latitude, altitude,
                on_ground, velocity, heading, vertical_rate, geo_altitude, squawk, spi from t
@@ -337,7 +340,7 @@ ORACLES["duration_hours_zone_aware"] = f"""
                when 'view' then 'America/New_York' when 'error' then 'Asia/Tokyo' else 'UTC' end as zone from events)
     select event_id, round((floor(epoch(timezone('Asia/Kolkata', ts))) - floor(epoch(timezone(zone, day)))) / 3600.0::double, 1) + 0.0::double as hours from e"""
 ORACLES["stream_route_rejects"] = """
-    select event_id, '{"event_id":' || cast(event_id as varchar) || ',"value":' || cast(value as varchar) || '}' as value
+    select event_id, 'no field of a route' as reason, '{"event_id":' || cast(event_id as varchar) || ',"value":' || cast(value as varchar) || '}' as value
     from events where event_type not in ('click', 'view', 'error')"""
 ORACLES["stream_land_objects"] = f"""
     with last_page as (select * from ({RATED_PAGES}) order by c_custkey desc limit 1),

@@ -520,7 +520,7 @@ def stream_route_rejects(spark, sf):
     path = new_path(spark, "routes")
     records = i.event_state(_event_stream(spark, sf))
     landing.stream_routes(records, f"{path}/data", f"{path}/checkpoint", rejects=f"{path}/rejects").awaitTermination()
-    return spark.read.parquet(f"{path}/rejects").select("event_id", "value")
+    return spark.read.parquet(f"{path}/rejects").select("event_id", "value", "reason")
 
 
 @query

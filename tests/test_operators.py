@@ -382,7 +382,18 @@ def test_what_is_json(spark, text, valid):
 
 
 def test_rejects(spark, rows):
-    df = spark.createDataFrame([('{"k":1}',), ('{"k":',), (None,)], "value string")
-    good, bad = messages.split_rejects(messages.parse_payload(df, "k BIGINT"))
-    assert rows(good) == [{"value": '{"k":1}', "payload": {"k": 1}}]
-    assert sorted(str(r["value"]) for r in rows(bad)) == ["None", '{"k":']
+    texts = ['{"k":1}', '{"k":', None, "  ", '{"k":1} x', '{"k":"x","j":2}', "[1]", "null"]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    good, bad = messages.split_rejects(messages.parse_payload(df, "k BIGINT, j INT"))
+    assert [r["payload"] for r in rows(good)] == [{"k": 1, "j": None}, {"k": None, "j": 2}, None, None]
+    assert [(r["value"], r["reason"]) for r in rows(bad)] == [
+        ('{"k":', "cut or no JSON"), (None, "no text"), ("  ", "empty text"), ('{"k":1} x', "more behind the text")]
+    good, bad = messages.split_rejects(messages.parse_payload(df, "k BIGINT, j INT"), strict=True)
+    assert [r["value"] for r in rows(good)] == ['{"k":1}', "null"]
+    assert {r["value"] for r in rows(bad) if r["reason"] == "field of another type"} == {'{"k":"x","j":2}', "[1]"}
+
+
+def test_a_text_is_parsed_once(spark):
+    df = spark.createDataFrame([("{}",)], "value string")
+    good, _ = messages.split_rejects(messages.parse_payload(df, "k BIGINT"))
+    assert plan(good).count("from_json") == 1

@@ -1,10 +1,13 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from flightlane.fixed_values import AIRPORT_SCHEMA, FLIGHT_DOCUMENT_SCHEMA, RATING_FILE_SCHEMA, STATE_FILE_SCHEMA
 from flightlane.session import object_store_settings
 from flightlane.sources.files import read_dimension, read_json
+from flightlane.sources import html_tables
 from flightlane.sources.html_tables import element, extract_links, extract_ratings
 from flightlane.sources.messages import decode_messages, topic_options
 from flightlane.sources.vectors import decode_vectors, with_vectors
@@ -122,3 +125,23 @@ def test_object_store_settings():
     settings = object_store_settings("http://store:1")
     assert settings["spark.hadoop.fs.s3a.endpoint"] == "http://store:1"
     assert settings["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+TABLE = '<table id="tablepress-1"><thead><tr><th>H</th></tr></thead><tbody>{}</tbody></table>'
+ROW = '<tr><td class="column-1">{}</td><td class="column-2"><a href="/{}">{}</a></td></tr>'
+
+
+@pytest.mark.parametrize("page, expected", [
+    (TABLE.format(ROW.format(5, "a", "ANA") + ROW.format(4, "b", "B")).replace("</td>", "").replace("</tr>", ""), [("ANA", 5, "/a"), ("B", 4, "/b")]),
+    (TABLE.format(ROW.format(5, "a", "ANA")).replace("<a href", '<table><tbody><tr><td class="column-1">1<td></table><a href'), [("ANA", 5, "/a")]),
+    (TABLE.format(ROW.format(5, "a", "ANA")).partition("</a>")[0], [("ANA", 5, "/a")]),
+    ("<table><tr><td>" + TABLE.format(ROW.format(5, "a", "ANA") + "</div></b></tr></td>") + "</td></tr></table>", [("ANA", 5, "/a")]),
+    ("<!-- " + TABLE.format(ROW.format(1, "x", "no")) + " -->" + TABLE.format(ROW.format(5, "a", "ANA").replace("</tr>", "")), [("ANA", 5, "/a")]),
+    ("<script>'<table id=\"tablepress-1\"><tbody><tr><td>'</script>" + TABLE.format(ROW.format(5, "a", "ANA")), [("ANA", 5, "/a")]),
+    (TABLE.format(ROW.format(5, "a", "A<br>N<img src=x>A").replace("</td>", "")), [("ANA", 5, "/a")]),
+    (TABLE.format(ROW.format(5, "a", "ANA") + "<tr>") + TABLE.format(ROW.format(4, "b", "second table")), [("ANA", 5, "/a")]),
+    ("<p>tablepress-1<table><tr><td>", []), (TABLE.format("<tr><td"), []), ("tablepress-1" + "<td>" * 5000, []),
+])
+def test_tables_of_broken_markup(spark, page, expected):
+    found = html_tables.extract_ratings(spark.createDataFrame([(page,)], "html string"))
+    assert [(r["Airline"], r["Stars"], r["URL"]) for r in found.collect()] == expected
