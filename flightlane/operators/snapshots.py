@@ -51,6 +51,10 @@ class SnapshotTable:
         commit = self._log.newest()
         return commit["version"] if commit else None
 
+    def has(self, writer: str, batch: int) -> bool:
+        """Whether the writer has committed this batch or a later one."""
+        return self._done(self._newest(), writer, batch) is not None
+
     def create_if_absent(self) -> bool:
         """Create the table empty; an existing one is left as it is. Says whether it did."""
         if self._log.numbers():

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.operators.messages import pack_arrays, route_by_key
+from flightlane.fixed_values import BATCH_KEY, RATING_FILE_SCHEMA, SOURCE_ROUTES, STATE_POSITIONS
+from flightlane.operators.messages import pack_arrays, pack_records, route_by_key
+from flightlane.operators.reshape import explode_once
 from flightlane.sources.html_tables import with_ratings
 from flightlane.sources.vectors import with_vectors
 from flightlane.streaming.landing import history_per_second, latest_batches, latest_per_source, object_name
 
+RATING_COLUMNS = [part.split()[0] for part in RATING_FILE_SCHEMA.split(", ")]
+STATE_COLUMNS = [name for name, _ in STATE_POSITIONS]
+
 
 def rating_messages(pages: DataFrame, source: str, keep: list[str], html: str = "html") -> DataFrame:
     """One message per fetched page that has ratings, its records in an array."""
@@ -24,6 +29,25 @@ def state_messages(
     return pack_arrays(vectors.withColumnRenamed(value, "_payload"), source, "_records", keep)
 
 
+def record_messages(pages: DataFrame, payloads: DataFrame, keep: list[str], html: str = "html", value: str = "value") -> DataFrame:
+    """One message per record of fetched pages and payloads, keyed by what it comes from.
+
+    ``place`` counts the records of one fetch from 0.
+    """
+    rated = explode_once(with_ratings(pages, "_records", html), F.col("_records"), "_record", keep, pos="place")
+    flown = explode_once(with_vectors(payloads, value, out="_records"), F.col("_records"), "_record", keep, pos="place")
+    sent = [pack_records(rows.select(*keep, "place", "_record.*"), route, columns, [*keep, "place"]) for rows, route, columns in (
+        (rated, SOURCE_ROUTES["Skytrax"], RATING_COLUMNS), (flown, SOURCE_ROUTES["OpenSky"], STATE_COLUMNS))]
+    return sent[0].unionByName(sent[1])
+
+
+def land_raw(messages: DataFrame, order_by: list[str], timestamp: str = "timestamp", name: str = BATCH_KEY, unique: bool = False) -> DataFrame:
+    """Messages of all sources as they came, the last one of each second under its stamped object name."""
+    history = history_per_second(messages.withColumn("route", F.lit(name)), "route", order_by, timestamp, unique)
+    stamped = F.concat_ws("_", "route", F.col("epoch_second").cast("string"))
+    return history.withColumn("object", F.concat(stamped, F.lit(".json")))
+
+
 def land_latest(messages: DataFrame, order_by: list[str], route: Column | None = None, unique: bool = False) -> DataFrame:
     """Per route the last message, under its fixed object name.
 

@@ -24,10 +24,15 @@ from flightlane.sources.files import read_dimension, read_json
 BUCKETS = 16
 
 
+def index_table(spark: SparkSession, path: str, incoming: DataFrame, fields: list[str], geo: list[str]) -> SnapshotTable:
+    """The table of documents like ``incoming``, with its geo fields declared."""
+    schema = incoming.select("id", *fields).schema
+    return SnapshotTable(spark, path, index_schema(schema, {name: "geo_point" for name in geo}), BUCKETS)
+
+
 def _write(spark: SparkSession, path: str, incoming: DataFrame, fields: list[str], order_by: list[str], geo: list[str],
            combine: Callable[..., DataFrame], seen: Observation) -> tuple[SnapshotTable, dict[str, int]]:
-    schema = incoming.select("id", *fields).schema
-    table = SnapshotTable(spark, path, index_schema(schema, {name: "geo_point" for name in geo}), BUCKETS)
+    table = index_table(spark, path, incoming, fields, geo)
     table.create_if_absent()
     table.update(incoming, lambda current, new: combine(current, new, fields, order_by))
     return table, seen.get

@@ -100,7 +100,7 @@ def stream_latest(
     def land(batch: DataFrame, number: int) -> None:
         table.update(latest_per_source(batch, source, order_by), newer, writer="stream", batch=number)
 
-    return _start(messages.writeStream.foreachBatch(land), f"{table.path}/checkpoint", interval)
+    return start(messages.writeStream.foreachBatch(land), f"{table.path}/checkpoint", interval)
 
 
 def latest_schema(messages: DataFrame, source: str, order_by: list[str]) -> StructType:
@@ -127,7 +127,7 @@ def stream_routes(
             reason = F.when(keys.isNotNull(), "no field of a route").otherwise(unreadable("value"))
             batch.where("route is null").drop("route").withColumn("reason", reason).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
 
-    return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
+    return start(routed.writeStream.foreachBatch(land), checkpoint, interval)
 
 
 def stream_objects(messages: DataFrame, path: str, order_by: list[str], checkpoint: str, route: Column, interval: str | None = None) -> StreamingQuery:
@@ -144,7 +144,7 @@ def stream_objects(messages: DataFrame, path: str, order_by: list[str], checkpoi
         last = latest_per_source(batch, "route", order_by)
         land_objects(last.withColumn("object", object_name(F.col("route"))), path)
 
-    return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
+    return start(routed.writeStream.foreachBatch(land), checkpoint, interval)
 
 
 #: What ``stream_batches`` remembers of each route: the batch that stands in the lake.
@@ -192,7 +192,7 @@ def stream_batches(
         # a repeat of this micro-batch starts from the one before, none from earlier ones
         delete_folder(spark, f"{path}/waiting/{number - 2}")
 
-    return _start(routed.writeStream.foreachBatch(land), checkpoint, interval)
+    return start(routed.writeStream.foreachBatch(land), checkpoint, interval)
 
 
 def _open_batches(held: DataFrame, landed: DataFrame) -> DataFrame:
@@ -225,9 +225,10 @@ def stream_history(
         history = history_per_second(batch, source, order_by)
         _by_folder(history, source).write.mode("overwrite").partitionBy("folder").parquet(f"{path}/batch={number}")
 
-    return _start(messages.writeStream.foreachBatch(land), checkpoint, interval)
+    return start(messages.writeStream.foreachBatch(land), checkpoint, interval)
 
 
-def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
+def start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Start a stream; without an interval it takes what is there and stops."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -347,3 +347,29 @@ ORACLES["stream_land_objects"] = f"""
     last_event as (select event_type from events order by event_id desc limit 1)
     select 'skytrax' as route, "Airline" as name from last_page
     union all select 'opensky', event_type from last_event union all select 'opensky', 'x'"""
+
+ORACLES["stream_index_states"] = f"""{STATES},
+    r as (select {STATE_COLUMNS}, icao24 || '_' || timestamp as id,
+                 row_number() over (partition by icao24, timestamp order by event_id % 2 desc, event_id desc) as n from t where {STATE_GATE})
+    select * exclude (n) from r where n = 1"""
+ORACLES["stream_index_report"] = f"""{STATES},
+    ok as (select event_id % 2 as batch, count(*) as n from t where {STATE_GATE} group by 1)
+    select e.batch, coalesce(ok.n, 0) as succeeded, 2 * e.n - coalesce(ok.n, 0) as failed
+    from (select event_id % 2 as batch, count(*) as n from events group by 1) e left join ok on ok.batch = e.batch"""
+ORACLES["stream_index_ratings"] = ORACLES["ratings_upsert"]
+ORACLES["stream_index_flights"] = f"""{FLIGHTS},
+    k as (select *, concat_ws('_', flight_number, flight_date, departure_hour) as id from valid where flight_duration_hours > 0),
+    r as (select *, row_number() over (partition by id order by cast(substring(flight_iata, 2) as bigint) % 2 desc, departure_scheduled desc,
+                 arrival_scheduled desc, airline_name desc, flight_iata desc, departure_iata desc, arrival_iata desc) as n from k)
+    select * exclude (n, flight_duration_minutes) from r where n = 1"""
+RECORDS = f"""
+    select 'skytrax' as route, 'skytrax_data' as key, timestamp '2023-12-31 00:00:00' as ts, c_custkey * 2 as "offset", "Airline" as name
+    from ({RATED_PAGES})
+    union all
+    select 'opensky', 'opensky_data', ts::timestamp, event_id * 2, event_type from events
+    union all
+    select 'opensky', 'opensky_data', ts::timestamp, event_id * 2 + 1, 'x' from events"""
+ORACLES["ingest_land_records"] = f"""
+    with m as ({RECORDS}), r as (select *, {EPOCH} as s, row_number() over (partition by {EPOCH} order by "offset" desc) as n from m)
+    select 'aviation_data_' || cast(s as varchar) || '.json' as object, key, "offset", name from r where n = 1"""
+ORACLES["ingest_route_records"] = f"""select route, key, "offset", name from ({RECORDS})"""

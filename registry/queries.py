@@ -13,11 +13,11 @@ from flightlane.functions import text as x
 from flightlane.operators import documents as d
 from flightlane.operators import lookup, messages, quality, reshape
 from flightlane.operators.snapshots import SnapshotTable, index_schema
-from flightlane.plans import flights, ingest, jobs, ratings, states
+from flightlane.plans import flights, ingest, jobs, ratings, states, streams
 from flightlane.session import new_path, stored
 from flightlane.sources import files, html_tables, vectors
 from flightlane.sources.messages import stream_files
-from flightlane.streaming import landing
+from flightlane.streaming import indexing, landing
 from registry import inputs as i
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -674,3 +674,83 @@ def job_upsert_ratings(spark, sf):
         i.rating_run(i.table(spark, sf, "customer"), run).write.mode("overwrite").json(f"{path}/run{run}")
         table, report = jobs.upsert_ratings(spark, f"{path}/run{run}", f"{path}/table", stamp)
     return _reported(table, report)
+
+
+# --- streams into the index ---------------------------------------------------------------
+
+
+def _two_turns(spark, path, rows, second, fmt, run):
+    """Rows as files in two turns, the stream started anew for each."""
+    for turn in (False, True):
+        rows.where(second == turn).write.mode("append").format(fmt).save(f"{path}/topic")
+        table, stream = run(spark.readStream.schema(rows.schema).format(fmt).load(f"{path}/topic"))
+        stream.awaitTermination()
+    return table
+
+
+def _streamed_states(spark, sf):
+    path = new_path(spark, "stream-states")
+    payloads = i.vector_payloads(i.table(spark, sf, "events")).withColumn("offset", F.col("event_id"))
+    sent = ingest.state_messages(payloads, "OpenSky", ["offset"])
+    return path, _two_turns(spark, path, sent, F.col("offset") % 2 == 1, "parquet", lambda topic: streams.stream_states(topic, path))
+
+
+@query
+def stream_index_states(spark, sf):
+    """From message files to the table of states: even events, then, after a restart, odd ones."""
+    return _streamed_states(spark, sf)[1].read()
+
+
+@query
+def stream_index_report(spark, sf):
+    """What each micro-batch of that stream took and rejected."""
+    return indexing.read_reports(spark, _streamed_states(spark, sf)[0])
+
+
+@query
+def stream_index_ratings(spark, sf):
+    """From messages of a record each, of two runs, to the table of ratings."""
+    path = new_path(spark, "stream-ratings")
+    customers = i.table(spark, sf, "customer")
+    sent = [messages.pack_records(i.rating_run(customers, run).withColumn("timestamp", F.lit(stamp).cast("timestamp")), "skytrax",
+                                  ["Airline", "Stars", "URL"], ["timestamp"]) for run, stamp in ((1, FIRST_RUN), (2, SECOND_RUN))]
+    late = F.col("timestamp") == F.lit(SECOND_RUN).cast("timestamp")
+    return _two_turns(spark, path, sent[0].unionByName(sent[1]), late, "parquet", lambda topic: streams.stream_ratings(topic, path)).read()
+
+
+@query
+def stream_index_flights(spark, sf):
+    """From landed documents to the table of flights: those of even events, then of odd ones."""
+    path = new_path(spark, "stream-flights")
+    blank = F.lit("x")
+    i.airports(i.table(spark, sf, "customer")).select(
+        F.lit(1), blank, blank, blank, "iata", blank, "latitude", "longitude", F.lit(0), F.lit(0), blank, blank, blank, blank).write.csv(f"{path}/airports")
+    landed = stored(i.flight_documents(i.table(spark, sf, "events")), "flight-documents")
+    odd = F.substring(F.col("data")[0]["flight"]["iata"], 2, 20).cast("long") % 2 == 1
+    return _two_turns(spark, path, landed, odd, "json", lambda files_: streams.stream_flights(files_, f"{path}/airports", path)).read()
+
+
+def _records(spark, sf):
+    pages = i.rating_pages(i.table(spark, sf, "customer")).select(F.col("c_custkey").alias("fetch_no"), F.lit("2023-12-31 00:00:00").cast("timestamp_ntz").alias("ts"), "html")
+    payloads = i.vector_payloads(i.table(spark, sf, "events")).select(F.col("event_id").alias("fetch_no"), "ts", "value")
+    sent = ingest.record_messages(pages, payloads, ["fetch_no", "ts"])
+    return stored(sent.select("key", "value", "ts", (F.col("fetch_no") * 2 + F.col("place")).alias("offset")), "topic")
+
+
+@query
+def ingest_land_records(spark, sf):
+    """Pages and payloads to a message per record, landed raw under one stamped name per second."""
+    landed = ingest.land_raw(_records(spark, sf), ["offset"], "ts", unique=True)
+    name = F.coalesce(F.get_json_object("value", "$.Airline"), F.get_json_object("value", "$.icao24"))
+    return landed.select("object", "key", "offset", name.alias("name"))
+
+
+@query
+def ingest_route_records(spark, sf):
+    """Pages and payloads to a message per record, routed as a stream by the fields the records have."""
+    path = new_path(spark, "route-records")
+    _records(spark, sf).write.parquet(f"{path}/topic")
+    topic = spark.readStream.schema("key STRING, value STRING, ts TIMESTAMP_NTZ, offset BIGINT").parquet(f"{path}/topic")
+    landing.stream_routes(topic, f"{path}/data", f"{path}/checkpoint").awaitTermination()
+    name = F.coalesce(F.get_json_object("value", "$.Airline"), F.get_json_object("value", "$.icao24"))
+    return landing.read_routes(spark, f"{path}/data").select("route", "key", "offset", name.alias("name"))

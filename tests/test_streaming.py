@@ -2,10 +2,12 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from flightlane.operators.commits import CommitLog
 from flightlane.operators.messages import route_by_key
 from flightlane.operators.snapshots import SnapshotTable
 from flightlane.sources.messages import MESSAGE_SCHEMA, stream_files
-from flightlane.streaming import landing
+from flightlane.plans import streams
+from flightlane.streaming import indexing, landing
 
 ORDER = ["timestamp", "offset"]
 BATCHES = [
@@ -179,3 +181,41 @@ def test_landed_history_settles_two_runs(spark, folder, tmp_path):
     landing.land_history(history, out, "key")
     landing.land_history(history, out, "key")
     assert landing.read_history(spark, out, "key", ORDER).count() == history.count() == 4
+
+
+def test_a_stream_into_an_index_that_dies_at_any_step_leaves_each_micro_batch_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "job")
+    value = '{{"icao24":"{0}","origin_country":"F","time_position":1737799200,"longitude":{1},"latitude":1.0,"altitude":1.0,"on_ground":{2},' \
+            '"velocity":1.0,"heading":1.0,"vertical_rate":1.0,"squawk":"7"}}'
+    rounds = [[("a", 1, "false"), ("b", 2, "false"), ("c", 3, "true")], [("a", 4, "false"), ("d", 5, "false")]]
+    for n, rows in enumerate(rounds):
+        write(spark, f"{path}/topic", [("OpenSky", value.format(*r), 0, 10 * n + i, 1.0) for i, r in enumerate(rows)])
+    # the second try dies before the commit, the third one behind it
+    dies = {"before": True, "behind": True}
+    create = CommitLog.create
+
+    def dying(self, number, commit):
+        if number == 1 and dies.pop("before", None):
+            raise RuntimeError("killed before the commit")
+        create(self, number, commit)
+        if number == 2 and dies.pop("behind", None):
+            raise RuntimeError("killed behind the commit")
+
+    monkeypatch.setattr(CommitLog, "create", dying)
+    for _ in range(3):
+        table, stream = streams.stream_states(stream_files(spark, f"{path}/topic", files_per_batch=1), path)
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException:
+            pass
+    assert not dies and table.version() == 2
+    assert sorted((r["icao24"], r["longitude"]) for r in table.read().collect()) == [("a", 4.0), ("b", 2.0), ("d", 5.0)]
+    assert sorted(tuple(r) for r in indexing.read_reports(spark, path).collect()) == [(0, 2, 1), (1, 2, 0)]
+
+
+def test_rejects_of_routes_say_why(spark, tmp_path):
+    source, out, rejects = (str(tmp_path / name) for name in ("in", "out", "rejects"))
+    write(spark, source, [("k", v, 0, 1, 1.0) for v in ['{"icao24":1}', '{"x":1}', "no", "", None]])
+    landing.stream_routes(stream_files(spark, source), out, str(tmp_path / "cp"), rejects=rejects).awaitTermination()
+    assert sorted((str(r["value"]), r["reason"]) for r in spark.read.parquet(rejects).collect()) == [
+        ("", "empty text"), ("None", "no text"), ("no", "cut or no JSON"), ('{"x":1}', "no field of a route")]
