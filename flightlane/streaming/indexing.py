@@ -44,4 +44,4 @@ def stream_documents(
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
     """batch, succeeded and failed of every micro-batch of a stream into an index table."""
-    return spark.read.schema(REPORT_SCHEMA).parquet(f"{path}/reports")
+    return spark.read.schema(REPORT_SCHEMA).parquet(f"{path}/reports").select("batch", "succeeded", "failed")
