@@ -225,8 +225,9 @@ class WordIds(dict):
         self.update((w, data[a:b]) for w, a, b in zip(words, (starts * width).tolist(), (ends * width).tolist(), strict=True))
 
 
-#: A point or comma that ends a word behind a letter or digit.
-_TAIL = re.compile(r"[.,](?<=[^\W_][.,])(?=[ \t-\r]|\Z)")
+#: A point or comma that ends a word behind a letter or digit. U+0130 is none of them, as its lower case
+#: ends in a mark that the tokenizer takes together with the point.
+_TAIL = re.compile(r"[.,](?<=[^\W_\u0130][.,])(?=[ \t-\r]|\Z)")
 
 
 def _words(text: str, ids: WordIds) -> list[bytes]:

@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import math
+import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -335,3 +337,14 @@ def test_tree_finds_a_link_of_every_linked_pair():
             classes.join(a, b)
         expected = components_by_hand(rows, 1, 70)
         assert collections.Counter((i, len(s), classes.of(i)) for i, s in enumerate(sets)) == expected
+
+
+def test_ids_of_odd_letters_are_the_librarys():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = wavelet.WordIds(open(path).read())
+    letters = [c for c in map(chr, range(0x80, 0x3000)) if c.isalnum() and (len(c.lower()) != 1 or unicodedata.normalize("NFD", c.lower()) != c)]
+    made = random.Random(5)
+    texts = [c + "." for c in letters] + ["".join(made.choice(["\u0130", "i", "I", ".", ",", " ", "\u0307", "2", "'", made.choice(letters)])
+                                                  for _ in range(made.randint(1, 8))) for _ in range(5000)]
+    for text, ids in zip(texts, wavelet.encoded(texts, words, 1)):
+        assert ids.tolist() == [*words.tokenizer.encode(text, add_special_tokens=False).ids, 1], text
