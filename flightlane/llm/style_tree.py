@@ -42,41 +42,55 @@ ASIDE = LABELLED_TAGS - {"form"}
 LABELLED_WORDS = frozenset((
     "ad ads advert advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal "
     "newsletter subscribe signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget footer header "
-    "masthead comment comments respond disqus share sharing social related recommended pagination pager toolbar search "
+    "masthead share sharing social related recommended pagination pager toolbar search "
     "complementary contentinfo").split())
+#: Words that a name may have beside those and still be such a name: "ad-box" is one, "ad-hoc" is none.
+PLAIN_WORDS = frozenset((
+    "area bar block bottom box button buttons container content desktop global inner item items left link links list main mobile module "
+    "outer page panel placeholder post posts primary right row secondary section site slot small sticky top unit wrap wrapper").split())
+#: Blocks of these names hold what readers wrote. Their text differs from page to page like an article's, so no
+#: importance can tell it from one; it is left out before the tree is made.
+COMMENT_WORDS = frozenset("comment comments commentlist commentarea disqus respond".split())
+COMMENT_TAGS = frozenset("div section article aside ol ul li".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 class Node:
     """An open element: its path of tags and names, whether it is labelled as no content, the path of the article it is
-    in, whether it is in an element of ASIDE, and the paths of the labelled elements that it is or is in."""
+    in, whether it is in an element of ASIDE, the paths of the labelled elements that it is or is in, and whether it is
+    in readers' comments."""
 
-    __slots__ = ("tag", "path", "labelled", "article", "aside", "labels", "children")
+    __slots__ = ("tag", "path", "labelled", "article", "aside", "labels", "comment", "children")
 
-    def __init__(self, tag: str, path: str, labelled: bool, article: str | None, aside: bool, labels: tuple[str, ...]):
-        self.tag, self.path, self.labelled, self.article, self.aside, self.labels = tag, path, labelled, article, aside, labels
+    def __init__(self, tag: str, path: str, labelled: bool, article: str | None, aside: bool, labels: tuple[str, ...], comment: bool):
+        self.tag, self.path, self.labelled, self.article, self.aside, self.labels, self.comment = tag, path, labelled, article, aside, labels, comment
         self.children: list[str] = []
 
-    def below(self, tag: str, name: str, labelled: bool) -> Node:
+    def below(self, tag: str, name: str, labelled: bool, comment: bool) -> Node:
         """An element in this one. Labels pass down, but not into the article or main part of a page."""
         path = f"{self.path}/{name}"
         labelled = labelled or tag in LABELLED_TAGS or (tag == "header" and self.article is None)
         starts = tag in MAIN and self.article is None and not self.aside
         return Node(tag, path, labelled or (self.labelled and not starts), path if starts else self.article,
-                    self.aside or tag in ASIDE, (*self.labels, path) if labelled else self.labels)
+                    self.aside or tag in ASIDE, (*self.labels, path) if labelled else self.labels, self.comment or comment)
 
 
-def _named(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's name in a path (numbers in it do not count), and whether a word of it labels it."""
+def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The element's name in a path (numbers in it do not count), whether a name of it labels it, and whether
+    one says that it holds comments. A name does so with a word of the list and none that says something else."""
     if not attributes or "=" not in attributes:
-        return tag, False
-    words = []
+        return tag, False, False
+    words, labelled, comment = [], False, False
     for key, *values in _NAMES.findall(attributes):
-        value = next((v for v in values if v), "")
-        words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-    labelled = tag not in MAIN and tag not in ("html", "head", "body") and not LABELLED_WORDS.isdisjoint(words)
-    return (f"{tag}.{'.'.join(words)}" if words else tag), labelled
+        for name in next((v for v in values if v), "").split():
+            own = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+            words += own
+            if any(w in LABELLED_WORDS for w in own) and all(w in LABELLED_WORDS or w in PLAIN_WORDS or w in COMMENT_WORDS for w in own):
+                labelled = labelled or (tag not in MAIN and tag not in ("html", "head", "body"))
+            if any(w in COMMENT_WORDS for w in own) and all(w in COMMENT_WORDS or w in PLAIN_WORDS for w in own):
+                comment = comment or tag in COMMENT_TAGS
+    return (f"{tag}.{'.'.join(words)}" if words else tag), labelled, comment
 
 
 def _script_end(page: str, at: int, tag: str) -> int:
@@ -123,13 +137,15 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
     """The blocks of text of a page in page order with their elements, and the layout of every element.
 
     Open ends, missing end tags and stray ones are taken as browsers do in the simple cases: a block
-    closes an open paragraph, an end tag closes what is open inside.
+    closes an open paragraph, an end tag closes what is open inside. Readers' comments are left out.
     """
     page = (page or "").removeprefix("\ufeff")  # a byte order mark is no text
-    root = Node("", "", False, None, False, ())
+    root = Node("", "", False, None, False, (), False)
     stack, blocks, shapes, parts = [root], [], [], []
 
     def flush() -> None:
+        if stack[-1].comment:
+            parts.clear()
         if parts:
             text = "".join(parts)
             text = " ".join((html.unescape(text) if "&" in text else text).split())
@@ -141,7 +157,7 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
         flush()
         while len(stack) > to:
             node = stack.pop()
-            if node.children:
+            if node.children and not node.comment:
                 shapes.append((node.path, " ".join(node.children)))
 
     at = 0
@@ -168,7 +184,7 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
         if tag in VOID:
             parts.append("\n" if tag in ("br", "hr") else "")
             continue
-        name, labelled = _named(tag, attributes)
+        name, labelled, comment = _named(tag, attributes)
         if tag not in BLOCKS and not labelled and tag not in LABELLED_TAGS:
             continue  # inline elements are text
         if tag in BLOCKS:
@@ -191,7 +207,7 @@ def parse(page: str | None) -> tuple[list[tuple[Node, str]], list[tuple[str, str
         above = stack[-1]
         if not above.children or above.children[-1] != name:
             above.children.append(name)
-        stack.append(above.below(tag, name, labelled))
+        stack.append(above.below(tag, name, labelled, comment))
     if at < len(page):
         parts.append(re.sub(r"<[a-zA-Z/!][^>]*\Z", "", page[at:]))
     close(1)

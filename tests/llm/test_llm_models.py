@@ -455,3 +455,21 @@ def test_stages_of_the_pipeline(spark, documents):
     assert kept["sentencepiece"] == kept["mixing"]
     assert all(r.decoded == text[r.doc_id] for r in docs.collect())
     assert corpus_pipeline.run(spark, SF).count() == sum(kept["mixing"].values())
+
+
+@pytest.mark.parametrize("inside, after, kept, gone", [
+    ("", '<section id="comments"><h2>Comments</h2><article class="comment"><p>Reader {0} says this {0}</p></article></section>', "", "Reader"),
+    ("", '<ol class="commentlist"><li class="comment" id="comment-{0}"><p>Reader {0} says</p></li><li>Reader again {0}</li></ol>', "", "Reader"),
+    ('<div class="comments-area"><div>Reader {0} within</div></div>', "", "", "Reader"),
+    ('<p class="ad-hoc">An ad hoc remark of page {0} on {0}</p>', "", "An ad hoc remark of page {0} on {0}", "Reader"),
+    ('<section class="related-work"><p>Related work of page {0}</p></section>', "", "Related work of page {0}", "Reader"),
+    ('<pre><span class="comment"># code {0}</span></pre>', "", "# code {0}", "Reader"),
+    ('<div class="ad">Buy this now</div>', '<div class="site-footer">All rights</div>', "", "Buy this"),
+])
+def test_comments_go_and_articles_keep_what_only_sounds_like_a_label(spark, inside, after, kept, gone):
+    page = '<html><body class="comments-open"><nav><a>Home</a></nav><article><h1>Title {0}</h1><p>Own text of page {0}, number {0}.</p>' + inside + "</article>" + after + "</body></html>"
+    rows = [(n, f"http://a.example/{n}", page.format(f"n{n * 7919}")) for n in range(40)]
+    found = {r.page_id: r.text for r in style_tree.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n, text in found.items():
+        name = f"n{n * 7919}"
+        assert f"Own text of page {name}" in text and kept.format(name) in text and gone not in text, text
