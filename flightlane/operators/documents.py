@@ -39,14 +39,15 @@ def _actions(rows: DataFrame, index: str, op_type: str, id: Column, fields: list
     )
 
 
-def bulk_lines(actions: DataFrame) -> DataFrame:
-    """Actions as text, two lines each: what to do, then the document."""
+def bulk_lines(actions: DataFrame, gate: Column | None = None) -> DataFrame:
+    """Actions as text, two lines each: what to do, then the document. Null where ``gate`` is not passed."""
     target = F.struct(F.col("index").alias("_index"), F.col("id").alias("_id"))
     head = F.to_json(F.create_map("op_type", target))
     body = F.to_json("source", {"ignoreNullFields": "false"})
     if "doc_as_upsert" in actions.columns:
         body = F.concat(F.lit('{"doc":'), body, F.lit(',"doc_as_upsert":true}'))
-    return actions.select(F.concat_ws("\n", head, body).alias("value"))
+    lines = F.concat_ws("\n", head, body)
+    return actions.select((lines if gate is None else F.when(gate, lines)).alias("value"))
 
 
 def tag_rows(rows: DataFrame, name: str = "unique_id") -> DataFrame:

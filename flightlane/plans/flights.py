@@ -75,13 +75,13 @@ def valid_flights(documents: DataFrame, airports: DataFrame, duration: str = "ho
     return candidate_flights(documents, airports, strategy).where(flight_gate(duration))
 
 
-def flight_actions(flights: DataFrame, index: str) -> DataFrame:
+def flight_actions(flights: DataFrame, index: str, keep: list[str] | None = None) -> DataFrame:
     """Replace-by-key actions; number, date and hour make the key, so airlines can collide."""
     order = F.struct(*FLIGHT_ORDER).alias("order")
-    return index_actions(flights.withColumn("order", order), index, FLIGHT_KEY, FLIGHT_INDEX_FIELDS, ["order"])
+    return index_actions(flights.withColumn("order", order), index, FLIGHT_KEY, FLIGHT_INDEX_FIELDS, ["order", *(keep or [])])
 
 
-def flight_minutes_actions(flights: DataFrame, index: str) -> DataFrame:
+def flight_minutes_actions(flights: DataFrame, index: str, keep: list[str] | None = None) -> DataFrame:
     """Append actions of the variant with minutes and random ids."""
     fields = ["flight_duration_minutes" if f == "flight_duration_hours" else f for f in FLIGHT_INDEX_FIELDS]
-    return append_actions(flights, index, fields)
+    return append_actions(flights, index, fields, keep)

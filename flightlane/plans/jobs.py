@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from flightlane.fixed_values import (
     AIRPORT_SCHEMA, FLIGHT_DOCUMENT_SCHEMA, FLIGHT_INDEX_FIELDS, RATING_FIELDS, RATING_FILE_SCHEMA, STATE_FILE_SCHEMA, STATE_INDEX_FIELDS,
 )
 from flightlane.functions.temporal import ingest_stamp
-from flightlane.operators.documents import documents, merge_documents, replace_documents
-from flightlane.operators.quality import observe_gate
+from flightlane.operators.bulk import write_bulk
+from flightlane.operators.documents import bulk_lines, documents, merge_documents, replace_documents
+from flightlane.operators.quality import observe_gate, passes
 from flightlane.operators.snapshots import SnapshotTable, index_schema
 from flightlane.plans import flights, ratings, states
 from flightlane.sources.files import read_dimension, read_json
@@ -60,3 +62,17 @@ def upsert_ratings(spark: SparkSession, ratings_path: str, table_path: str, run_
     named = ratings.named_ratings(read_json(spark, ratings_path, RATING_FILE_SCHEMA, multiline))
     valid = observe_gate(named, ratings.rating_gate(), seen).withColumn("indexed_at", ingest_stamp(run_time))
     return _write(spark, table_path, documents(ratings.rating_actions(valid, "ratings")), RATING_FIELDS, ["indexed_at"], [], merge_documents, seen)
+
+
+def send_flights(spark: SparkSession, documents_path: str, airports_path: str, bulk_path: str, run: str, duration: str = "hours",
+                 multiline: bool = False) -> dict[str, int]:
+    """Flights of landed documents as actions into the bulk sink, once for each ``run``; the run's report.
+
+    With ``duration`` in hours flights replace what has their key; in minutes they are added under random
+    ids, so it is the run's name that keeps a second try from adding them again. Flights that the gate
+    declines reach the sink as nulls: it counts them as failed in the action that sends the others.
+    """
+    found = flights.candidate_flights(read_json(spark, documents_path, FLIGHT_DOCUMENT_SCHEMA, multiline), read_dimension(spark, airports_path, AIRPORT_SCHEMA))
+    gated = found.withColumn("passed", passes(flights.flight_gate(duration)))
+    actions = (flights.flight_actions if duration == "hours" else flights.flight_minutes_actions)(gated, "flights", ["passed"])
+    return write_bulk(bulk_lines(actions, F.col("passed")), bulk_path, run)

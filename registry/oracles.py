@@ -317,6 +317,24 @@ ORACLES["job_index_flights"] = f"""
         found as (select count(*) as n from legs l left join place a on a.iata = l.start left join place b on b.iata = l.stop)
         select (select count(*) from valid where flight_duration_hours > 0) as ok, n from found)
     select docs.*, ok as succeeded, n - ok as failed from docs, counts"""
+CANDIDATES = f"""{FLIGHTS}, place as (
+            select cast(c_custkey as varchar) as iata from customer, (values (1), (2)) copies(n) where n = 1 or c_nationkey = 3),
+        found as (select count(*) as n from legs l left join place a on a.iata = l.start left join place b on b.iata = l.stop)"""
+ORACLES["job_send_flights"] = f"""{CANDIDATES},
+    ok as (select * from valid where flight_duration_hours > 0)
+    select 'index' as op_type, 'flights' as index, concat_ws('_', flight_number, flight_date, departure_hour) as id,
+           ok.* exclude (flight_duration_minutes), (select count(*) from ok) as succeeded, n - (select count(*) from ok) as failed
+    from ok, found"""
+ORACLES["job_append_flights_minutes"] = f"""{CANDIDATES}
+    select 'index' as op_type, 'flights' as index, valid.* exclude (flight_duration_hours),
+           (select count(*) from valid) as succeeded, n - (select count(*) from valid) as failed
+    from valid, found"""
+ORACLES["bulk_send_actions"] = """
+    with c as (select *, case when c_nationkey < 10 then 'run-1' else 'run-2' end as run from customer)
+    select run, 'update' as op_type, 'customers' as index, cast(c_custkey as varchar) as id, c_custkey, c_name, succeeded, failed
+    from c join (select run, count(*) filter (c_acctbal >= 0) as succeeded, count(*) filter (not c_acctbal >= 0) as failed
+                 from c group by run) using (run)
+    where c_acctbal >= 0"""
 ORACLES["job_index_states"] = f"""{STATES},
     ok as (select *, icao24 || '_' || timestamp as id from t where {STATE_GATE}),
     r as (select {STATE_COLUMNS}, id, row_number() over (partition by id order by {", ".join(

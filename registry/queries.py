@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlane import fixed_values as v
 from flightlane.functions import temporal as t
 from flightlane.functions import text as x
 from flightlane.operators import documents as d
-from flightlane.operators import lookup, messages, quality, reshape
+from flightlane.operators import bulk, lookup, messages, quality, reshape
 from flightlane.operators.snapshots import SnapshotTable, index_schema
 from flightlane.plans import flights, ingest, jobs, ratings, states, streams
 from flightlane.session import new_path, stored
@@ -395,6 +396,18 @@ def bulk_action_lines(spark, sf):
         F.get_json_object(parts[1], "$.doc_as_upsert").alias("doc_as_upsert"))
 
 
+@query
+def bulk_send_actions(spark, sf):
+    """Upserts sent in two runs, the first of them twice; customers in debt have no action and fail."""
+    path = new_path(spark, "bulk")
+    customers = i.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    actions = d.upsert_actions(customers, "customers", ["c_custkey"], ["c_custkey", "c_name"], ["c_acctbal", "c_nationkey"])
+    for run, low in (("run-1", True), ("run-2", False), ("run-1", True)):
+        bulk.write_bulk(d.bulk_lines(actions.where((F.col("c_nationkey") < 10) == low), F.col("c_acctbal") >= 0), path, run, 2_000)
+    sent = bulk.sent_documents(bulk.read_bulk(spark, path), actions.schema["source"].dataType, ["run"])
+    return sent.join(bulk.bulk_reports(spark, path), "run")
+
+
 # --- messages and landing -----------------------------------------------------------------
 
 
@@ -642,14 +655,42 @@ def _reported(table, report):
     return table.read().withColumns({name: F.lit(n).cast("bigint") for name, n in report.items()})
 
 
-@query
-def job_index_flights(spark, sf):
-    """From files to the table of flights and its report, run twice."""
+def _flight_files(spark, sf):
     path = new_path(spark, "job-flights")
     i.flight_documents(i.table(spark, sf, "events")).write.json(f"{path}/documents")
     airports = i.airports(i.table(spark, sf, "customer"))
     blank = F.lit("x")
     airports.select(F.lit(1), blank, blank, blank, "iata", blank, "latitude", "longitude", F.lit(0), F.lit(0), blank, blank, blank, blank).write.csv(f"{path}/airports")
+    return path
+
+
+def _flights_sent(spark, sf, duration):
+    """From files into the bulk sink, one run twice; the documents it took over and the run's report."""
+    path = _flight_files(spark, sf)
+    for _ in range(2):
+        report = jobs.send_flights(spark, f"{path}/documents", f"{path}/airports", f"{path}/bulk", "nightly", duration)
+    name = f"flight_duration_{duration}"
+    fields = T.StructType([T.StructField(n, T.IntegerType() if n.endswith("_hour") else T.DoubleType() if n == name else T.StringType())
+                           for n in (name if n == "flight_duration_hours" else n for n in v.FLIGHT_INDEX_FIELDS)])
+    sent = bulk.sent_documents(bulk.read_bulk(spark, f"{path}/bulk"), fields)
+    return sent.withColumns({name: F.lit(n).cast("bigint") for name, n in report.items()})
+
+
+@query
+def job_send_flights(spark, sf):
+    return _flights_sent(spark, sf, "hours")
+
+
+@query
+def job_append_flights_minutes(spark, sf):
+    """The variant with minutes adds under random ids, once."""
+    return _flights_sent(spark, sf, "minutes").drop("id")
+
+
+@query
+def job_index_flights(spark, sf):
+    """From files to the table of flights and its report, run twice."""
+    path = _flight_files(spark, sf)
     for _ in range(2):
         table, report = jobs.index_flights(spark, f"{path}/documents", f"{path}/airports", f"{path}/table")
     return _reported(table, report)
