@@ -183,27 +183,29 @@ def _train_pair(group: pa.Table) -> pa.Table:
     return pa.table({"seed": pa.array([seed], pa.int32()), "toxic": [pair.toxic], "ordinary": [pair.ordinary], "threshold": [pair.threshold]})
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5) -> Detector:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5,
+        toxic_docs: int = TOXIC_DOCS, ordinary_docs: int = ORDINARY_DOCS, toxic_windows: int = TOXIC_WINDOWS,
+        ordinary_windows: int = ORDINARY_WINDOWS) -> Detector:
     """A detector from labelled rows whose crc32 of the key modulo ``folds`` is not 0.
 
-    About TOXIC_DOCS and ORDINARY_DOCS rows are drawn by a hash of their key. A third of them is kept
-    for the calibration, of the others about TOXIC_WINDOWS and ORDINARY_WINDOWS windows are drawn and
-    a task per pair trains its dictionaries, so what a task holds has a fixed size. The driver gets
+    The sample is bounded by ``toxic_docs`` and ``ordinary_docs``, about as many rows being drawn by a hash
+    of their key. A third of them is kept for the calibration; of the windows of the others about
+    ``toxic_windows`` and ``ordinary_windows`` are drawn, anew for each pair, and a task per pair trains its dictionaries, so what a task holds has a fixed size. The driver gets
     the dictionaries and the features of the calibration rows. Rows without a label or key are not
-    learnt from; without any rows every score is one half.
+    learnt from, other columns are ignored; without any rows every score is one half.
     """
-    known = labels.where(F.col(label).isin(0, 1) & (crc_remainder(key, folds) != 0)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
-    counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
-    draw = F.pmod(F.xxhash64("_key", F.lit("toxicity")), F.lit(1 << 20)) / float(1 << 20)
-    share = F.when(F.col("_label") == 1, TOXIC_DOCS / max(1, counts.get(1, 0))).otherwise(ORDINARY_DOCS / max(1, counts.get(0, 0)))
-    picked = known.where(draw < share).groupBy("_key").agg(F.max("_label").alias("_label"))
+    known = labels.where(F.col(label).isin(0, 1) & (crc_remainder(key, folds) != 0)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    draw = F.pmod(F.xxhash64("key", F.lit("toxicity")), F.lit(1 << 20)) / float(1 << 20)
+    share = F.when(F.col("label") == 1, toxic_docs / max(1, counts.get(1, 0))).otherwise(ordinary_docs / max(1, counts.get(0, 0)))
+    picked = known.where(draw < share).groupBy("key").agg(F.max("label").alias("label"))
     # a sample of fixed size on average, so broadcasting its keys is bounded
-    sample = stored(docs.join(F.broadcast(picked), F.col(key) == F.col("_key")).select(
-        F.col("_key").alias("key"), F.col("_label").alias("label"), F.col(text).alias("text")), "toxicity-sample")
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    sample = stored(texts.join(F.broadcast(picked), F.col("doc") == F.col("key")).select("key", "label", "text"), "toxicity-sample")
     last = F.pmod(F.xxhash64("key", F.lit("calibration")), F.lit(3)) == 0
     cuts = stored(sample.where(~last).select("label", "text").mapInArrow(_cut, "label int, w binary"), "toxicity-windows")
     sizes = {r["label"]: r["count"] for r in cuts.groupBy("label").count().collect()}
-    part = F.when(F.col("label") == 1, TOXIC_WINDOWS / max(1, sizes.get(1, 0))).otherwise(ORDINARY_WINDOWS / max(1, sizes.get(0, 0)))
+    part = F.when(F.col("label") == 1, toxic_windows / max(1, sizes.get(1, 0))).otherwise(ordinary_windows / max(1, sizes.get(0, 0)))
     seeds = F.explode(F.array(*map(F.lit, range(1, PAIRS + 1)))).alias("seed")
     dealt = cuts.select("label", "w", seeds).where(F.pmod(F.xxhash64("w", "seed"), F.lit(1 << 20)) / float(1 << 20) < part)
     found = dealt.groupBy("seed").applyInArrow(_train_pair, "seed int, toxic binary, ordinary binary, threshold double").collect()
