@@ -84,4 +84,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     left = docs.withColumns({name: F.col(key), sha: F.sha2(ascii_lower(whole(text)), 256)}).join(small(gone), [name, sha], "left_anti")
     if not twice.isEmpty():
         left = left.join(twice, [name, sha], "left_anti").unionByName(left.join(twice, [name, sha], "left_semi").dropDuplicates([name, sha]))
-    return left.select(*docs.columns)
+    return left.drop(name, sha)
