@@ -291,7 +291,7 @@ class Transducer:
         if len(self.chunks) >= CHUNKS_KEPT:
             self.chunks.clear()
         cuts = [0, *(i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.joined), len(chunk)]
-        ids = b""
+        parts = []
         for a, b in zip(cuts, cuts[1:]):
             part = chunk[a:b]
             found = self.chunks.get(part)
@@ -299,7 +299,8 @@ class Transducer:
                 found = array("i", self._encode_part(part)).tobytes()
                 if len(part) <= 64:
                     self.chunks[part] = found
-            ids += found
+            parts.append(found)
+        ids = b"".join(parts)
         if len(chunk) <= 64:
             self.chunks[chunk] = ids
         return ids
