@@ -4,6 +4,7 @@ import collections
 import html
 import re
 import struct
+import time
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flightlane.llm import mixing, registered, sentencepiece_fst, style_tree, token_counts, toxicity
+from flightlane.llm import exact_dedup, mixing, registered, sentencepiece_fst, style_tree, token_counts, toxicity
 from flightlane.llm.components import components
 from flightlane.llm.packing import bucket_cuts, pack, pack_sorted, unpack, unpack_sorted
 from flightlane.session import stored
@@ -384,6 +385,116 @@ def test_targets_that_no_rates_meet_are_reported(spark):
     assert now == pytest.approx([best / 2] * 2, rel=1e-3) and targets == pytest.approx([4050, 450])
 
 
+def membership_rows(spark, tokens, p):
+    return spark.createDataFrame([(i, int(t), q.tolist()) for i, (t, q) in enumerate(zip(tokens, p))], "doc_id long, n_tokens long, p array<double>")
+
+
+@pytest.mark.parametrize(("weights", "seed"), [([0.55, 0.17, 0.17, 0.11], 1), ([0.01, 0.9, 0.05, 0.04], 2)])
+def test_projected_gradient_alone_meets_the_targets(spark, monkeypatch, weights, seed):
+    dice = np.random.default_rng(seed)
+    p, tokens = dice.dirichlet([0.3] * 4, 600), dice.lognormal(5, 2, 600).round()
+    monkeypatch.setattr(mixing, "_solved", None)  # the dual is not asked for
+    rate, now, targets = mixing.fit_rates(membership_rows(spark, tokens, p), weights)
+    got = np.array([r.r for r in membership_rows(spark, tokens, p).orderBy("doc_id").select(rate.alias("r")).collect()])
+    assert got.min() >= 0 and (got[tokens == 0] == 1).all()
+    assert (tokens * got @ p).tolist() == pytest.approx(targets, rel=2e-5) and now == pytest.approx(targets, rel=1e-5) and mixing.meets(now, targets)
+
+
+def test_a_step_is_the_projected_step_by_hand(spark):
+    p, tokens = np.array([[1.0, 0.0], [0.0, 1.0], [0.5, 0.5], [0.2, 0.8]]), [100, 50, 10, 4]
+    steps = [mixing.Step((-2.0, 0.5), (1.0, -0.1)), mixing.Step((0.5, 1.0), (1.0, -2.0)), mixing.Step((0.5, 1.0), (-1.0, 0.0))]
+    rates = np.ones(4)
+    for step in steps:
+        held = (rates <= 0) & (p @ step.slope >= 0)
+        rates = np.where(held, rates, np.maximum(0, rates + p @ step.move))
+    got = membership_rows(spark, tokens, p).orderBy("doc_id").select(mixing._rate(steps, 0.0).alias("r")).collect()
+    assert [r.r for r in got] == pytest.approx(rates.tolist()) and rates[0] == 0.5  # held by the second, moved by the third
+
+
+def test_gradient_and_dual_agree_where_nothing_is_held(spark):
+    dice = np.random.default_rng(9)
+    p, tokens = np.eye(3)[dice.integers(0, 3, 300)] * 0.9 + 0.1 / 3, dice.integers(1, 200, 300)
+    rows, weights = membership_rows(spark, tokens, p), [0.4, 0.35, 0.25]
+    rate, _, targets = mixing.fit_rates(rows, weights)
+    move, _ = mixing._solved(rows, np.array(targets) / sum(targets), 0.0, sum(targets), 1e-6)
+    both = rows.select(rate.alias("a"), mixing._moved(move, 0.0)[1].alias("b")).collect()
+    assert [r.a for r in both] == pytest.approx([r.b for r in both], rel=1e-4)
+
+
+def test_memberships_are_those_computed_by_hand(spark):
+    docs = spark.createDataFrame([(1, "red RED blue", "a"), (2, "blue sky sky", "b"), (3, "red sky", None), (4, None, "a")], "doc_id long, text string, lang string")
+    bucket = {r.w: r.b for r in spark.createDataFrame([("red",), ("blue",), ("sky",)], "w string").select("w", mixing._bucket(F.col("w")).alias("b")).collect()}
+    assert len(set(bucket.values())) == 3
+    counts = {"a": {"red": 2, "blue": 1, "sky": 0}, "b": {"red": 0, "blue": 1, "sky": 2}}
+
+    def posterior(words):
+        likely = [np.prod([(counts[d][w] + 1) / (3 + mixing.BUCKETS) for w in words]) for d in ("a", "b")]
+        return [x / sum(likely) for x in likely]
+
+    got = {r.doc_id: (r.n_tokens, r.p) for r in mixing.memberships(docs, ["a", "b"]).collect()}
+    for key, words in {1: ["red", "red", "blue"], 2: ["blue", "sky", "sky"], 3: ["red", "sky"], 4: []}.items():
+        assert got[key][0] == len(words) and got[key][1] == pytest.approx(posterior(words))
+
+
+def test_rates_say_whether_the_targets_are_met(spark):
+    docs = spark.createDataFrame([(1, "red red blue", "a"), (2, "sky sea sea", "b")], "doc_id long, text string, lang string")
+    assert {r.met for r in mixing.mixing_rates(docs, {"a": 0.5, "b": 0.5}).collect()} == {True}
+    same = spark.createDataFrame([(1, "red", "a"), (2, "red", "b")], "doc_id long, text string, lang string")
+    with pytest.warns(UserWarning, match="meet the targets"):
+        assert {r.met for r in mixing.mixing_rates(same, {"a": 0.9, "b": 0.1}).collect()} == {False}
+
+
+# --- columns of any name ------------------------------------------------------------------
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(1, "x y", "a", 1, 2, 3), (2, "X y", "a", 4, 5, 6), (3, "z", "b", 7, 8, 9), (3, "z", "b", 7, 8, 9)],
+                                 "doc_id long, text string, lang string, `a.b` int, _key int, _label int")
+    left = exact_dedup.dedup(rows)
+    assert left.columns == rows.columns
+    assert sorted((r.doc_id, r["a.b"]) for r in left.collect()) == [(2, 4), (3, 7)]
+    mixed = mixing.mix(rows, {"a": 0.5, "b": 0.5}, least=1.0)
+    assert mixed.columns == rows.columns and {r["a.b"] for r in mixed.collect()} == {1, 4, 7}
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], "doc_id long, toxic int, _key int")
+    assert toxicity.without_toxic(rows, labels).columns == rows.columns
+
+
+def test_bounds_of_the_toxicity_sample_are_parameters(trained):
+    docs, known, _ = trained
+    small = toxicity.fit(docs, known, toxic_docs=60, ordinary_docs=90, toxic_windows=50, ordinary_windows=80)
+    assert len(small.pairs) == toxicity.PAIRS and small.pairs != trained[2].pairs
+
+
+def test_gains_and_features_are_those_computed_by_hand():
+    pair = toxicity.Pair(b"you awful stupid people " * 8, b"a quiet walk in the park " * 8)
+    some = toxicity.windows("You awful stupid people " * 6 + "a quiet walk in the park")
+    expected = []
+    for w in some:
+        sizes = [len(toxicity._compressor(content).compress(w)) for content in (pair.ordinary, pair.toxic)]
+        expected.append(sizes[0] - sizes[1])
+    g = toxicity.gains(pair.compressors(), some)
+    assert g.tolist() == expected and len(some) == 2 and g[0] > 0 > g[1]
+    assert toxicity.features(g, 1.0) == pytest.approx([sum(expected) / 2**0.5, 1 / 2**0.5, 0.5, min(max(expected), 20) - 1])
+
+
+def test_calibration_is_where_the_penalised_likelihood_is_flat():
+    dice = np.random.default_rng(5)
+    rows = dice.normal(0, 1, (300, 2))
+    labels = (rows @ [2.0, -1.0] + dice.normal(0, 1, 300) > 0.3).astype(float)
+    detector = toxicity.calibrate((), rows, labels)
+    p = detector.score(rows)
+    x = np.column_stack([np.ones(300), rows])
+    assert np.abs(x.T @ (labels - p) - 1e-2 * np.array(detector.weights)).max() < 1e-4
+
+
+def test_texts_without_spaces_take_linear_time():
+    transducer = sentencepiece_fst.Transducer(sentencepiece_fst.model_bytes(public_tokenizers.path("piece_bpe_32k.model")))
+    text = "".join(map(chr, np.random.default_rng(2).integers(0x4E00, 0x9FA5, 300_000)))
+    start = time.process_time()
+    ids = transducer.encode(text)
+    assert time.process_time() - start < 5 and transducer.decode(ids) == text
+
+
 # --- helpers ------------------------------------------------------------------------------
 
 
