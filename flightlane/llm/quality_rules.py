@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlane.llm.common import whole, words
+from flightlane.llm.common import free_name, whole, words
 from flightlane.session import stored
 
 #: Rows that the order of the rules is estimated on, on average; the order never changes a verdict.
 SAMPLE_ROWS = 1000
+#: How often a job that times a rule repeats the rows of the sample; the next where a rule does not stand out yet.
+COPIES = (2, 16, 128)
 
 
 @dataclass(frozen=True)
@@ -98,16 +100,23 @@ def rule_sample(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     return docs.sample(min(1.0, sample_rows / max(1, docs.count())), seed=7)
 
 
-def order_rules(sample: DataFrame, rules: Iterable[Rule]) -> list[Rule]:
+def order_rules(sample: DataFrame, rules: Iterable[Rule], prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> list[Rule]:
     """The rules by rejections per second among what the rules before them let through.
 
-    Each rule is timed on the sample; which rules reject together is one count per pattern of
-    verdicts. An empty sample leaves the order as given.
+    ``prepare`` adds the columns that rules read. A rule costs what its own work takes: that of
+    the columns it reads (the others are pruned) and its own, without what any job takes. Which rules
+    reject together is one count per pattern of verdicts. An empty sample leaves the order as given.
     """
-    rules, sample = list(rules), stored(sample, "rule-sample")
-    flags = [F.coalesce(r.reject, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
-    patterns = [(row[:-1], row[-1]) for row in sample.select(*flags).groupBy(*(f"r{i}" for i in range(len(rules)))).count().collect()]
-    left, order = {i: _seconds(sample, flag) for i, flag in enumerate(flags)}, []
+    rules = list(rules)
+    # about SAMPLE_ROWS rows, in one task, so that a job's time is its work
+    sample = stored(sample, "rule-sample").coalesce(1)
+    flags = [F.coalesce(r.reject, F.lit(False)) for r in rules]
+    names = [f"r{i}" for i in range(len(rules))]
+    verdicts = prepare(sample).select(*(f.alias(n) for f, n in zip(flags, names)))
+    patterns = [(row[:-1], row[-1]) for row in verdicts.groupBy(*names).count().collect()] if rules else []
+    if not patterns:
+        return rules
+    left, order = dict(enumerate(_costs(sample, flags, prepare))), []
     while left:
         best = max(left, key=lambda i: sum(n for hit, n in patterns if hit[i]) / left[i])
         order.append(rules[best])
@@ -116,14 +125,34 @@ def order_rules(sample: DataFrame, rules: Iterable[Rule]) -> list[Rule]:
     return order
 
 
-def _seconds(sample: DataFrame, flag: Column) -> float:
-    """The shorter of two runs; the first one also compiles."""
-    took = []
-    for _ in range(2):
-        start = time.perf_counter()
-        sample.agg(F.count_if(flag)).collect()
-        took.append(time.perf_counter() - start)
-    return max(min(took), 1e-6)
+def _costs(sample: DataFrame, flags: list[Column], prepare: Callable[[DataFrame], DataFrame]) -> list[float]:
+    """Seconds that each of the flags takes for the sample once, a tenth of an empty job's share at least.
+
+    The job repeats the sample's rows, so that a rule's work outgrows the start of a job, and a job
+    over as many rows without a rule is taken off.
+    """
+    copy = free_name(sample, "copy")
+
+    def seconds(copies: int, flag: Column) -> float:
+        rows = prepare(sample.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(copies)))))
+        took = []
+        for _ in range(2):  # the first run also compiles
+            start = time.perf_counter()
+            rows.agg(F.count_if(flag)).collect()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    empty: dict[int, float] = {}
+    costs = []
+    for flag in flags:
+        for copies in COPIES:
+            if copies not in empty:
+                empty[copies] = seconds(copies, F.col(copy) < 0)
+            took = seconds(copies, flag)
+            if took >= 2 * empty[copies]:
+                break
+        costs.append(max(took - empty[copies], empty[copies] / 10) / copies)
+    return costs
 
 
 def cascade(rules: Iterable[Rule]) -> Column:
@@ -139,11 +168,12 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     """One row per row of ``docs``: key, counts, base_failed, failed_rule, kept.
 
     Null and empty texts have no words, so they fail. Repeated rows and null keys are judged like
-    any other; other columns of ``docs`` are ignored; an empty table gives an empty result.
+    any other; other columns of ``docs`` are ignored; an empty table gives an empty result. The
+    counts are part of the result, so the cascade saves the work of rules beyond them only.
     """
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     rows = with_text_counts(texts)
-    order = order_rules(with_text_counts(rule_sample(texts)), standard_rules())
+    order = order_rules(rule_sample(texts), standard_rules(), with_text_counts)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), cascade(order).alias("failed_rule"),

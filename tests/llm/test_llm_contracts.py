@@ -182,6 +182,26 @@ def test_cascade_verdict_does_not_depend_on_the_order(documents):
     assert not quality_rules.order_rules(quality_rules.with_text_counts(documents.limit(0)), [])
 
 
+def test_a_dear_rule_that_rejects_little_comes_last(documents):
+    """What a rule reads is part of its cost, and a job's start is not."""
+    def prepare(rows):
+        text = F.coalesce("text", F.lit(""))
+        for _ in range(40):
+            text = F.sha2(F.concat(text, F.col("text")), 512)
+        return rows.withColumns({"digest": text, "size": F.length("text")})
+
+    dear = quality_rules.Rule("dear", F.col("digest") < "01")
+    cheap = [quality_rules.Rule("none", F.col("doc_id") < 0), quality_rules.Rule("long", F.col("size") > 2000), quality_rules.Rule("most", F.col("size") > 100)]
+    sample = quality_rules.rule_sample(documents.where("text is not null").select("doc_id", "text"))
+    flags = [F.coalesce(r.reject, F.lit(False)) for r in [dear, *cheap]]
+    costs = quality_rules._costs(sample.coalesce(1), flags, prepare)
+    assert costs[0] > 5 * max(costs[1:])
+    rejecting = [dear, *cheap[1:]]
+    assert [r.name for r in quality_rules.order_rules(sample, rejecting, prepare)][0] == "most"
+    assert [r.name for r in quality_rules.order_rules(sample, [dear, cheap[2]], prepare)] == ["most", "dear"]
+    assert [r.name for r in quality_rules.order_rules(sample.limit(0), rejecting, prepare)] == ["dear", "long", "most"]
+
+
 def test_later_rules_are_not_evaluated(spark):
     rules = [quality_rules.Rule("first", F.col("x") > 0), quality_rules.Rule("second", F.raise_error(F.lit("evaluated")).cast("boolean"))]
     assert spark.range(1, 3).toDF("x").select(quality_rules.cascade(rules)).distinct().first()[0] == "first"
