@@ -20,8 +20,8 @@ THRESHOLD = 0.35
 LABELLED_SHARE, ARTICLE_LEAST = 0.3, 0.5
 #: How fast the layout of a branch counts for more than its contents, by different layouts.
 GAMMA = 0.9
-#: Sites with fewer pages are judged by the tree of all sites.
-SITE_PAGES = 20
+#: The tree of all sites counts for as much as that of a site with so many pages.
+PRIOR_PAGES = 5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg title textarea select object canvas".split())
@@ -263,16 +263,17 @@ def style_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
     a page's own text for all of it. A branch around an article is worth ARTICLE_LEAST at least, one in
     it only where no part of the article tells the pages apart.
 
+    Few pages say little: the value of a site with n pages is n parts its own and PRIOR_PAGES parts
+    that of '*', whatever n is. A branch that no other site has is worth there what it is on its site.
+
     Only counts of elements, texts and layouts move, added up in each task first, so one site may
-    have any share of the pages. Sites with fewer than SITE_PAGES pages have the values of '*'.
+    have any share of the pages.
     """
     schema = "site string, kind string, path string, feature long, labelled boolean, article string, n long"
     counted = pages.select(site(url).alias("site"), F.col(page).cast("string")).mapInArrow(_features, schema)
     added = [F.sum("n").alias("n"), F.max("labelled").alias("labelled"), F.max("article").alias("article")]
     by_site = stored(counted.groupBy("site", "kind", "path", "feature").agg(*added), "style-counts")
-    large = by_site.where(f"kind = 'page' and n >= {SITE_PAGES}").select("site")
-    rows = by_site.join(large, "site", "left_semi").unionByName(
-        by_site.groupBy("kind", "path", "feature").agg(*added).withColumn("site", F.lit("*")))
+    rows = by_site.unionByName(by_site.groupBy("kind", "path", "feature").agg(*added).withColumn("site", F.lit("*")))
     key = ["site", "path"]
     elements = rows.where("kind = 'element'").select(*key, F.col("n").alias("m"), "labelled", "article")
     texts = rows.where("kind = 'text'").groupBy(key).agg(F.count("*").alias("texts"), F.sum(F.ln("n")).alias("logs"))
@@ -298,8 +299,10 @@ def style_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
     floor = F.when((F.col("around") > 0) | (F.col("whole") < THRESHOLD), ARTICLE_LEAST).otherwise(0.0)
     importance = F.greatest(F.col("best") * F.greatest(F.coalesce("share", F.lit(1.0)), F.lit(LABELLED_SHARE)), floor)
     judged = stored(composite.join(best, key).join(whole, ["site", "article"], "left").select(*key, importance.alias("importance")), "branches")
-    small = by_site.where("kind = 'element'").join(large, "site", "left_anti").select("site", F.explode(above).alias("path")).distinct()
-    return judged.unionByName(small.join(judged.where("site = '*'").drop("site"), "path").select(*key, "importance"))
+    counts = by_site.where("kind = 'page'").select("site", F.col("n").alias("pages"))
+    common = judged.where("site = '*'").select("path", F.col("importance").alias("common"))
+    blended = (F.col("pages") * F.col("importance") + PRIOR_PAGES * F.col("common")) / (F.col("pages") + PRIOR_PAGES)
+    return judged.join(counts, "site", "left").join(common, "path").select(*key, F.coalesce(blended, "importance").alias("importance"))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

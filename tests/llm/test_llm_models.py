@@ -269,6 +269,25 @@ def test_what_a_site_repeats_goes_and_what_a_page_has_stays(spark, none):
     assert style_tree.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_small_sites_are_judged_by_their_own_pages_too(spark):
+    """A value moves with the number of pages, and no number of them switches it."""
+    def pages(site, n, line):
+        return [(None, f"http://{site}.example/", f"<div class=x><p>{line(i)}</p></div><div class=c><p>{own_text(1000 * len(site) + i)}</p></div>") for i in range(n)]
+
+    rows = pages("other", 60, lambda i: f"line {i} of its own")
+    for n in (1, 2, 5, 15, 19, 20, 21, 40):
+        rows += pages("s" * n, n, lambda i: "Same line")
+    trees = style_tree.style_trees(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4))
+    worth = {r.site.count("s"): r.importance for r in trees.where("path = '/div.x' and site like 's%'").collect()}
+    common, = (r.importance for r in trees.where("path = '/div.x' and site = '*'").collect())
+    for n, value in worth.items():
+        own = 1.0 if n == 1 else 0.0
+        assert abs(value - (n * own + style_tree.PRIOR_PAGES * common) / (n + style_tree.PRIOR_PAGES)) < 1e-9
+    sizes = sorted(worth)[1:]
+    assert [worth[n] for n in sizes] == sorted((worth[n] for n in sizes), reverse=True) and worth[15] < style_tree.THRESHOLD
+    assert trees.where("path = '/div.c' and importance < 0.9").count() == 0
+
+
 def test_copies_of_an_article_on_one_site_keep_it(spark):
     pages = spark.createDataFrame([(i, "http://a.example/", "<nav>m</nav><article><p>Equal on all.</p></article>") for i in range(50)], "page_id long, url string, html string")
     assert {r.text for r in style_tree.main_texts(pages).collect()} == {"Equal on all."}
