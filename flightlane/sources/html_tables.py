@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flightlane.fixed_values import RATING_NAME_CLASS, RATING_STARS_CLASS, RATING_TABLE_ID
 from flightlane.functions.text import decode_entities, digits_to_int, strip
-from flightlane.operators.reshape import explode_once
+from flightlane.operators.reshape import explode_once, settled
 from flightlane.sources.html_repair import irregular, repair
 
 # what may stand inside an opening tag, quoted values with a '>' in them included
@@ -49,9 +49,12 @@ def without_padded_tags(markup: Column) -> Column:
     return F.regexp_replace(markup, rf"\s*{_TAG}\s*", "")
 
 
-def row_fragments(html: Column, regions: list[str], row: str) -> Column:
-    """The content of every ``row`` element inside the nested ``regions``, in page order."""
-    region = F.regexp_replace(html, _COMMENT, "")
+def without_comments(html: Column) -> Column:
+    return F.regexp_replace(html, _COMMENT, "")
+
+
+def row_fragments(region: Column, regions: list[str], row: str) -> Column:
+    """The content of every ``row`` element inside the nested ``regions`` of a page without comments, in page order."""
     for pattern in regions:
         region = F.regexp_extract(region, pattern, 2)
     return F.regexp_extract_all(region, F.lit(row), F.lit(2))
@@ -64,7 +67,7 @@ def with_links(pages: DataFrame, regions: list[str], row: str, out: str = "links
     def read(fragment: Column) -> list[Column]:
         return [without_tags(F.regexp_extract(fragment, link, 2)), attribute(F.regexp_extract(fragment, link, 1), "href")]
 
-    decoded = _decoded_fields(pages, row_fragments(F.col(html), regions, row), read, 2)
+    decoded = _decoded_fields(pages, row_fragments(without_comments(F.col(html)), regions, row), read, 2)
     links = F.transform(
         "_fields", lambda f, i: F.struct(i.alias("pos"), strip(f[0]).alias("text"), f[1].alias("href"))
     )
@@ -89,10 +92,11 @@ def with_ratings(pages: DataFrame, out: str = "ratings", html: str = "html") ->
             attribute(F.regexp_extract(name, link, 1), "href"),
         ]
 
-    odd = irregular(F.regexp_replace(F.col(html), _COMMENT, ""))
-    tables = pages.where(F.col(html).contains(RATING_TABLE_ID)).withColumn("_repaired", repair(F.when(odd, F.col(html)), RATING_TABLE_ID))
-    fragments = F.coalesce("_repaired", row_fragments(F.col(html), regions, element("tr")))
-    decoded = _decoded_fields(tables, fragments, read, 3).drop("_repaired")
+    tables = pages.where(F.col(html).contains(RATING_TABLE_ID)).withColumn("_plain", without_comments(F.col(html)))
+    tables = settled(tables, ["_plain"])
+    tables = tables.withColumn("_repaired", repair(F.when(irregular(F.col("_plain")), F.col(html)), RATING_TABLE_ID))
+    fragments = F.coalesce("_repaired", row_fragments(F.col("_plain"), regions, element("tr")))
+    decoded = _decoded_fields(tables, fragments, read, 3).drop("_plain", "_repaired")
     ratings = F.transform(
         "_fields",
         lambda f: F.struct(
@@ -106,12 +110,14 @@ def _decoded_fields(
     pages: DataFrame, fragments: Column, read: Callable[[Column], list[Column]], width: int
 ) -> DataFrame:
     """Pages with ``_fields``: per fragment the ``width`` texts that ``read`` takes from it,
-    entities decoded. All texts of a page go through the decoder together."""
-    raw = pages.withColumn("_raw", F.transform(fragments, lambda fragment: F.array(*read(fragment))))
-    flat = raw.withColumn("_flat", F.flatten("_raw")).withColumn("_decoded", decode_entities(F.col("_flat")))
+    entities decoded. All texts of a page go through the decoder together, and both they and the decoded
+    ones are settled: what follows names them several times, and would run the patterns again each time."""
+    raw = settled(pages.withColumn("_raw", F.transform(fragments, lambda fragment: F.array(*read(fragment)))), ["_raw"])
+    flat = F.flatten("_raw")
+    texts = settled(raw.withColumn("_texts", F.coalesce(decode_entities(flat), flat)), ["_texts"])
     # the lambda runs per fragment: it may only touch finished columns
-    fields = F.transform("_raw", lambda _, i: F.slice(F.coalesce("_decoded", "_flat"), i * width + 1, F.lit(width)))
-    return flat.withColumn("_fields", fields).drop("_raw", "_flat", "_decoded")
+    fields = F.transform("_raw", lambda _, i: F.slice("_texts", i * width + 1, F.lit(width)))
+    return texts.withColumn("_fields", fields).drop("_raw", "_texts")
 
 
 def extract_links(pages: DataFrame, regions: list[str], row: str, keep: list[str], html: str = "html") -> DataFrame:

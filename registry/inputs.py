@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlane.session import prepare
+from flightlane.operators.reshape import settled
+from flightlane.session import prepare, spread
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 HALF = "timestamp_ntz'2024-01-16 00:00:00'"
@@ -95,7 +96,10 @@ def airports(customers: DataFrame) -> DataFrame:
 
 
 def vector_payloads(events: DataFrame) -> DataFrame:
-    """A payload per event: a vector cut to a length by event type, then one of a lone value."""
+    """A payload per event: a vector cut to a length by event type, then one of a lone value.
+
+    Events are narrow and their payloads are parsed, so they are spread over tasks first."""
+    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value", "props"))
     k = F.get_json_object("props", "$.k")
     hour = F.unix_timestamp(F.date_trunc("hour", "ts"))
     quote = F.lit('"')
@@ -116,7 +120,10 @@ def vector_payloads(events: DataFrame) -> DataFrame:
 def rating_pages(customers: DataFrame) -> DataFrame:
     """A page per customer with a ratings table: a rated row with an entity and a nested tag,
     a row without link, and for nation 0 nothing but a page without the table. Nations 1, 2 and 4 have
-    pages that leave the ends of cells and rows out, that nest a table, and that end within a link."""
+    pages that leave the ends of cells and rows out, that nest a table, and that end within a link.
+
+    A customer has some twenty bytes in its file and a page some hundreds, so customers are spread over tasks first."""
+    customers = spread(customers.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
     key = F.col("c_custkey").cast("string")
     stars = F.floor(F.col("c_acctbal") / 2000).cast("string")
     rated = F.concat(
@@ -133,7 +140,7 @@ def rating_pages(customers: DataFrame) -> DataFrame:
     nested = F.replace(page, F.lit("<a title"), F.lit('<table><tr><td class="column-1">9</td></tr></table><a title'))
     cut = F.regexp_replace(page, "</a>|</tbody></table></html>", "")
     html = (F.when(nation == 0, "<html><p>none</p></html>").when(nation == 1, unclosed).when(nation == 2, nested).when(nation == 4, cut).otherwise(page))
-    return customers.select("c_custkey", html.alias("html"))
+    return settled(customers.select("c_custkey", html.alias("html")), ["html"])
 
 
 def rating_run(customers: DataFrame, run: int) -> DataFrame:

@@ -11,6 +11,7 @@ from flightlane.sources import html_tables
 from flightlane.sources.html_tables import element, extract_links, extract_ratings
 from flightlane.sources.messages import decode_messages, topic_options
 from flightlane.sources.vectors import decode_vectors, with_vectors
+from registry import inputs
 
 
 def test_multiline_document_and_array(spark, tmp_path, rows):
@@ -145,3 +146,19 @@ ROW = '<tr><td class="column-1">{}</td><td class="column-2"><a href="/{}">{}</a>
 def test_tables_of_broken_markup(spark, page, expected):
     found = html_tables.extract_ratings(spark.createDataFrame([(page,)], "html string"))
     assert [(r["Airline"], r["Stars"], r["URL"]) for r in found.collect()] == expected
+
+
+def test_patterns_of_ratings_run_once(spark):
+    plan = extract_ratings(spark.createDataFrame([("x",)], "html string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("<tbody") <= 2  # the count of tags and the region, each once
+
+
+def test_inputs_of_few_bytes_fill_the_tasks(spark, rows):
+    customers = spark.range(1_000).coalesce(1).selectExpr(
+        "id as c_custkey", "concat('c', id) as c_name", "cast(id % 25 as int) as c_nationkey", "id * 1.5D as c_acctbal", "'m' as c_mktsegment")
+    pages = inputs.rating_pages(customers)
+    assert pages.rdd.getNumPartitions() >= 8 and sorted(r.c_custkey for r in pages.collect()) == list(range(1_000))
+    events = spark.range(1_000).coalesce(1).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "id as user_id", "'view' as event_type", "1.5D as value", "'{\"k\":1}' as props")
+    payloads = inputs.vector_payloads(events)
+    assert payloads.rdd.getNumPartitions() >= 8 and sorted(r.event_id for r in payloads.collect()) == list(range(1_000))
