@@ -191,6 +191,29 @@ def test_chat_against_brute_force(spark, part_turns):
         assert r.spans[0].start == 0 and [s.end for s in r.spans[:-1]] == [s.start for s in r.spans[1:]] and r.spans[-1].end == len(r.formatted)
 
 
+def looks_back(far):
+    """A template that numbers its turns, and one that repeats the turn ``far`` turns before."""
+    return (lambda turns: "".join(f"<{i}:{r}:{t}>" for i, (r, t) in enumerate(turns)),
+            lambda turns: "".join(f"<{r}:{t}:{turns[i - far][1] if i >= far else ''}>" for i, (r, t) in enumerate(turns)))
+
+
+@pytest.mark.parametrize("part_turns,context", [(1_000, chat.CONTEXT), (1_000, None), (5, None)])
+def test_templates_that_look_back_over_the_whole_conversation(spark, part_turns, context):
+    turns = spark.createDataFrame([(c, i, "user", f"{c}-{i}") for c, n in ((1, 30), (2, 3)) for i in range(n)], "conv_id long, turn long, role string, text string")
+    for template in looks_back(20):
+        formatted = {r.conv_id: r for r in chat.format_conversations(turns, template, part_turns=part_turns, context=context).collect()}
+        for c, n in ((1, 30), (2, 3)):
+            row = formatted[c]
+            assert row.formatted == template([("user", f"{c}-{i}") for i in range(n)]) and len(row.spans) == n and not row.rewrites
+
+
+def test_context_reaches_over_several_parts(spark):
+    turns = spark.createDataFrame([(1, i, "user", str(i)) for i in range(30)], "conv_id long, turn long, role string, text string")
+    template = looks_back(11)[1]
+    rows = chat.format_conversations(turns, template, part_turns=3, context=12).orderBy("part", "slice").collect()
+    assert len(rows) == 10 and "".join(r.formatted for r in rows) == template([("user", str(i)) for i in range(30)])
+
+
 def test_chat_of_nothing(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_conversations(none)).count() == 0
